@@ -122,7 +122,7 @@ def activity_histogram(users: DataFrame, bins: int = HISTOGRAM_BINS, quantile: f
     counts = users.groupBy("total_events").agg(F.count("*").alias("users"))
     edges = counts.agg(
         F.min("total_events").cast("double").alias("low"),
-        F.percentile("total_events", quantile, "users").alias("high"),
+        F.percentile("total_events", quantile, F.col("users")).alias("high"),
     )
     low, high = edges.select("low").scalar(), edges.select("high").scalar()
     clipped = counts.select(
