@@ -85,6 +85,11 @@ class Lab:
     def metadata(self) -> DataFrame:
         return curation.item_metadata(self.category_latest, self.availability_latest, self.tree)
 
+    @cached_property
+    def stored_metadata(self) -> DataFrame:
+        """Metadata as the table that training and serving read several times."""
+        return materialise(self.metadata, "metadata")
+
     @cached_property
     def interactions(self) -> DataFrame:
         return curation.as_interactions(self.events)
@@ -137,7 +142,7 @@ class Lab:
 
     @cached_property
     def content_model(self) -> DataFrame:
-        rows = content.candidate_items(self.train_split(split.CONTENT_RULE), self.metadata, C.MODEL_TOP_N)
+        rows = content.candidate_items(self.train_split(split.CONTENT_RULE), self.stored_metadata, C.MODEL_TOP_N)
         return materialise(rows, "model")
 
     @cached_property
@@ -150,7 +155,7 @@ class Lab:
 
     @cached_property
     def content(self) -> training.Training:
-        return training.train_content(self.interactions, self.metadata, test_days=self.days)
+        return training.train_content(self.interactions, self.stored_metadata, test_days=self.days)
 
     @cached_property
     def datasets(self) -> dict[str, DataFrame]:
@@ -364,7 +369,7 @@ def user_profiles(lab: Lab) -> DataFrame:
 
 
 def content_recommendations(lab: Lab) -> DataFrame:
-    return serving.recommend_content(lab.history.select("user_id"), lab.history, lab.metadata, lab.content_model)
+    return serving.recommend_content(lab.history.select("user_id"), lab.history, lab.stored_metadata, lab.content_model)
 
 
 def content_metrics(lab: Lab) -> DataFrame:
@@ -384,7 +389,7 @@ def active_user_recommendations(lab: Lab) -> DataFrame:
     users = materialise(serving.active_users(lab.user_view), "users")
     return stack(
         serving.recommend_popularity(users, lab.history, lab.popularity_model),
-        serving.recommend_content(users, lab.history, lab.metadata, lab.content_model),
+        serving.recommend_content(users, lab.history, lab.stored_metadata, lab.content_model),
     )
 
 

@@ -25,8 +25,11 @@ EVALUATION_TIES = (
 )
 SERVING_TIES = (("train_event_count", False), ("item_id", False))
 
+# Wider than the rounding of a score, so that a floor never cuts a tie.
+FLOOR_SLACK = 1e-8
+
 # kinds of row in the per-user working table
-_CATEGORY, _PARENT, _USER, _SEEN = "c", "p", "u", "s"
+_CATEGORY, _PARENT, _USER, _SEEN = 1, 2, 3, 4
 
 
 def candidate_order() -> list[Column]:
@@ -137,8 +140,7 @@ def _slots(candidates: DataFrame, ties: tuple[tuple[str, bool], ...]) -> DataFra
 def _working_rows(users: DataFrame, history: DataFrame, metadata: DataFrame, slots: DataFrame) -> DataFrame:
     """Per user: weight and number of seen candidates by category, parent and overall.
 
-    Kinds: c = category, p = parent category, u = whole user, s = one seen
-    candidate. A candidate's stored category may differ from the item's
+    Kinds: a category, a parent category, the whole user, one seen candidate. A candidate's stored category may differ from the item's
     current one; profiles use the current one, seen counts the stored one.
     """
     stored = slots.select(
@@ -148,7 +150,7 @@ def _working_rows(users: DataFrame, history: DataFrame, metadata: DataFrame, slo
     rows = _categorised(history, metadata).join(F.broadcast(stored), "item_id", "left")
     is_candidate = F.col("slot").isNotNull()
 
-    def row(kind: str, key: Column, weight: Column, seen: Column) -> Column:
+    def row(kind: int, key: Column, weight: Column, seen: Column) -> Column:
         return F.struct(
             F.lit(kind).alias("kind"),
             key.cast("bigint").alias("key"),
@@ -186,23 +188,50 @@ def _working_rows(users: DataFrame, history: DataFrame, metadata: DataFrame, slo
     )
 
 
-def _slot_lists(slots: DataFrame) -> DataFrame:
-    """Candidate slots in static order, by category, by parent and overall.
+def _lists(slots: DataFrame) -> DataFrame:
+    """Candidates by category, by parent and overall, placed in static order.
 
-    A category's list is split by parent, so that within one list all items
-    get the same profile score from a user.
+    Columns: list_id, kind, key, parent, place, size, slot, static_score. A
+    category's list is split by parent, so that within one list all items get
+    the same profile score from a user. At most three rows per candidate.
     """
-    sorted_slots = F.array_sort(F.collect_list("slot")).alias("slots")
-    by_category = slots.groupBy("category_id", "parent_category_id").agg(sorted_slots).select(
-        F.lit(_CATEGORY).alias("kind"), F.col("category_id").alias("key"), F.col("parent_category_id").alias("parent"), "slots"
+    category, parent, none = F.col("category_id"), F.col("parent_category_id"), F.lit(0).cast("bigint")
+
+    def entry(kind: int, key: Column, of_parent: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.alias("key"), of_parent.alias("parent"))
+
+    listed = slots.select(
+        "slot",
+        "static_score",
+        F.inline(F.array(entry(_CATEGORY, category, parent), entry(_PARENT, parent, parent), entry(_USER, none, none))),
     )
-    by_parent = slots.groupBy("parent_category_id").agg(sorted_slots).select(
-        F.lit(_PARENT).alias("kind"), F.col("parent_category_id").alias("key"), F.col("parent_category_id").alias("parent"), "slots"
+    own = Window.partitionBy("kind", "key", "parent")
+    return listed.select(
+        F.dense_rank().over(Window.orderBy("kind", "key", "parent")).alias("list_id"),
+        "kind", "key", "parent", "slot", "static_score",
+        F.row_number().over(own.orderBy("slot")).alias("place"),
+        F.count("*").over(own).cast("int").alias("size"),
     )
-    overall = slots.agg(sorted_slots).select(
-        F.lit(_USER).alias("kind"), F.lit(0).cast("bigint").alias("key"), F.lit(None).cast("bigint").alias("parent"), "slots"
+
+
+def _score_floor(rows: DataFrame, places: DataFrame, k: int) -> DataFrame:
+    """Adds ``floor``: a score that k unseen candidates of the user reach.
+
+    The first unseen item of a category list stands at place seen + 1 or
+    before, so it scores at least what that place scores. Category lists are
+    disjoint: the k-th highest of these values is a floor for the k-th best
+    recommendation. NULL when fewer than k lists give a value.
+    """
+    first_unseen = places.select("list_id", (F.col("place") - 1).alias("seen"), F.col("static_score").alias("_static"))
+    sure = F.when(F.col("kind") == _CATEGORY, F.col("offset") + F.col("_static"))
+    per_user = Window.partitionBy("user_id")
+    return (
+        rows.join(F.broadcast(first_unseen), ["list_id", "seen"], "left")
+        .withColumn("_sure", sure)
+        .withColumn("_nth", F.row_number().over(per_user.orderBy(F.col("_sure").desc_nulls_last())))
+        .withColumn("floor", F.max(F.when(F.col("_nth") == k, F.col("_sure"))).over(per_user))
+        .drop("_static", "_sure", "_nth")
     )
-    return by_category.unionByName(by_parent).unionByName(overall)
 
 
 def recommend(
@@ -222,8 +251,10 @@ def recommend(
     holds for parent lists (items whose category is not in the profile) and
     for the overall list (items the profile does not touch). Their union
     contains the exact top k: an item left out of its list has k unseen items
-    before it that score at least as high and win ties. Work per user grows
-    with the profile and the history, not with the number of candidates.
+    before it that score at least as high and win ties. Entries below a score
+    that k unseen items are known to reach are dropped before they are
+    grouped. Work per user grows with the profile and the history, not with
+    the number of candidates.
 
     ``history``: user_id, item_id, weight, one row per pair; its items count
     as seen. ``n`` bounds the candidate table.
@@ -238,27 +269,46 @@ def recommend(
     shares = rows.withColumn("_total", F.max(F.when(F.col("kind") == _USER, F.col("weight"))).over(per_user)).withColumn(
         "share", F.when(F.col("kind").isin(_CATEGORY, _PARENT), share("weight", "_total"))
     )
-    listed = shares.join(F.broadcast(_slot_lists(slots)), ["kind", "key"], "left").where(
-        F.col("slots").isNotNull() | (F.col("kind") == _SEEN)
+    lists = _lists(slots)
+    heads = lists.where("place = 1").select(
+        "list_id", "kind", "key", "parent", "size", F.col("static_score").alias("top_static")
+    )
+    places = lists.select("list_id", "place", "slot", "static_score")
+
+    is_seen = F.col("kind") == _SEEN
+    is_category = F.col("kind") == _CATEGORY
+    of_parent = F.max(F.when(F.col("kind") == _PARENT, F.col("share"))).over(Window.partitionBy("user_id", "parent"))
+    listed = (
+        shares.join(F.broadcast(heads), ["kind", "key"], "left")
+        .where(F.col("list_id").isNotNull() | is_seen)
+        .withColumn("category_share", F.when(is_category, F.col("share")).otherwise(0.0))
+        .withColumn("parent_share", F.when(F.col("kind").isin(_CATEGORY, _PARENT), F.coalesce(of_parent, F.lit(0.0))).otherwise(0.0))
+        .withColumn("offset", profile_match("category_share", "parent_share"))
     )
-    parent_share = F.max(F.when(F.col("kind") == _PARENT, F.col("share"))).over(Window.partitionBy("user_id", "parent"))
+
+    def reaches_floor(static: str) -> Column:
+        return F.col("floor").isNull() | (F.col("offset") + F.col(static) >= F.col("floor") - FLOOR_SLACK)
+
+    depth = F.least(F.col("size"), F.lit(k) + F.col("seen"))
     picked = (
-        listed.withColumn("parent_share", F.when(F.col("kind").isin(_CATEGORY, _PARENT), parent_share))
+        _score_floor(listed, places, k)
+        .where(is_seen | reaches_floor("top_static"))
         .select(
-            "user_id",
-            F.when(F.col("kind") == _CATEGORY, F.col("share")).alias("category_share"),
-            "parent_share",
-            (F.col("kind") == _SEEN).alias("is_seen"),
-            F.explode(
-                F.when(F.col("kind") == _SEEN, F.array(F.col("key").cast("int"))).otherwise(
-                    F.slice("slots", 1, (F.lit(k) + F.col("seen")).cast("int"))
-                )
-            ).alias("slot"),
+            "user_id", "category_share", "parent_share", "offset", "floor", "list_id",
+            F.when(is_seen, F.col("key").cast("int")).alias("_seen_slot"),
+            F.explode(F.when(is_seen, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), depth))).alias("place"),
+        )
+        .join(F.broadcast(places), ["list_id", "place"], "left")
+        .where(F.col("_seen_slot").isNotNull() | reaches_floor("static_score"))
+        .select(
+            "user_id", "category_share", "parent_share",
+            F.coalesce("_seen_slot", "slot").alias("slot"),
+            F.col("_seen_slot").isNotNull().alias("is_seen"),
         )
         .groupBy("user_id", "slot")
         .agg(
-            F.coalesce(F.max("category_share"), F.lit(0.0)).alias("category_score"),
-            F.coalesce(F.max("parent_share"), F.lit(0.0)).alias("parent_category_score"),
+            F.max("category_share").alias("category_score"),
+            F.max("parent_share").alias("parent_category_score"),
             F.max("is_seen").alias("is_seen"),
         )
         .where(~F.col("is_seen"))
