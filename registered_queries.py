@@ -530,7 +530,7 @@ def ingest_counters(lab: Lab) -> DataFrame:
 
 def raw_quality_report(lab: Lab) -> DataFrame:
     root = _land_deltas(lab)
-    return raw_checks.delta_report(lab.spark, root, C.DELTA_FEED, _delta_schema(), expected_formats=("parquet",))
+    return raw_checks.delta_report(lab.spark, root, C.DELTA_FEED, _delta_schema(), ("parquet",), with_responses=False)
 
 
 def payload_records(lab: Lab) -> DataFrame:

@@ -13,7 +13,7 @@ from shoplens.plans.expectations import FAIL, PASS, check
 from shoplens.schemas import DELTA_RECORD, QUALITY_ROW
 from shoplens.session import path_exists
 from shoplens.sinks.landing import ingest_state
-from shoplens.sources.landing import latest_stamp, read_manifest, read_type, type_path
+from shoplens.sources.landing import latest_stamp, read_manifest, read_type, response_type, type_path
 from shoplens.sources.payloads import parse_payloads
 
 DELTA_DATASET = "raw_api_item_properties_delta"
@@ -102,32 +102,40 @@ def _partition_dataset() -> Column:
 
 def delta_report(
     spark: SparkSession, root: str, data_type: str = DELTA_FEED, schema: StructType = DELTA_RECORD,
-    expected_formats: tuple[str, ...] = ("text", "json", "csv", "parquet"),
+    expected_formats: tuple[str, ...] = ("json", "csv", "parquet"), with_responses: bool = True,
 ) -> DataFrame:
-    """Every delta partition against its manifest row, then totals and state."""
-    manifest = read_manifest(spark, root).where(F.col("data_type") == data_type)
+    """Every delta partition against its manifest row, then totals and state.
+
+    ``with_responses``: the raw responses must have been landed too.
+    """
+    everything = read_manifest(spark, root)
+    manifest = everything.where(F.col("data_type") == data_type)
     if manifest.isEmpty():
         missing = f"no landed partitions of {data_type}"
         return spark.createDataFrame([(DELTA_DATASET, "raw_api_validation", FAIL, missing)], QUALITY_ROW)
     parts = []
 
     # presence: every expected format of every partition, missing ones fail
+    responses = everything.where(F.col("data_type") == response_type(data_type))
+    expected = [*expected_formats, *(["raw_response"] if with_responses else [])]
     wanted = manifest.select("ingestion_timestamp").distinct().select(
-        "ingestion_timestamp", F.explode(F.array(*[F.lit(fmt) for fmt in expected_formats])).alias("format")
+        "ingestion_timestamp", F.explode(F.array(*[F.lit(name) for name in expected])).alias("format")
+    )
+    landed = manifest.select("ingestion_timestamp", "format", "landing_path").unionByName(
+        responses.select("ingestion_timestamp", F.lit("raw_response").alias("format"), "landing_path")
     )
-    landed = manifest.select("ingestion_timestamp", "format", "landing_path")
     presence = wanted.join(landed, ["ingestion_timestamp", "format"], "left")
     found = F.col("landing_path").isNotNull()
     parts.append(presence.select(
         _partition_dataset().alias("dataset_name"),
         F.concat(F.col("format"), F.lit("_exists")).alias("check_name"),
         F.when(found, PASS).otherwise(FAIL).alias("status"),
-        F.when(found, F.concat(F.lit("landed as "), F.col("format"))).otherwise(F.lit("not landed")).alias("details"),
+        F.coalesce("landing_path", F.lit("not landed")).alias("details"),
     ))
 
-    if "text" in expected_formats and path_exists(spark, type_path(root, data_type, "text")):
+    if with_responses and path_exists(spark, type_path(root, response_type(data_type), "parquet")):
         text = StructType().add("value", "string")
-        parts.append(response_checks(read_type(spark, root, data_type, "text", text), manifest))
+        parts.append(response_checks(read_type(spark, root, response_type(data_type), "parquet", text), manifest))
 
     facts = landed_facts(spark, root, data_type, "parquet", schema)
     declared = manifest.where(F.col("format") == "parquet")

@@ -10,7 +10,7 @@ from shoplens.operators.fingerprint import fingerprint
 from shoplens.operators.merge import stack
 from shoplens.schemas import MANIFEST
 from shoplens.session import path_exists
-from shoplens.sources.landing import manifest_path, partition_path
+from shoplens.sources.landing import manifest_path, partition_path, response_type
 from shoplens.sources.payloads import normalise_records, parse_payloads, read_payload_text, require_valid
 
 
@@ -107,7 +107,8 @@ def land_payloads(
 ) -> DataFrame:
     """Land API responses: the raw text, and the records in three formats.
 
-    A response that breaks its contract stops the landing before anything is
+    Responses may span lines, so their text is a column of a Parquet
+    partition of its own type. A response that breaks its contract stops the landing before anything is
     written.
     """
     payloads = parse_payloads(read_payload_text(spark, source, one_per_file))
@@ -121,7 +122,8 @@ def land_payloads(
         F.max_by("next_cursor", F.when(F.col("next_cursor").isNotNull(), F.col("raw_response_file"))).alias("cursor"),
     ).first()
     facts = last.asDict()
-    raw = land(payloads.select(F.col("body").alias("value")), root, data_type, stamp, source_system, ("text",), source, **facts)
+    bodies = payloads.select(F.col("body").alias("value"))
+    raw = land(bodies, root, response_type(data_type), stamp, source_system, ("parquet",), source, **facts)
     records = normalise_records(payloads, stamp, source_system)
     return stack(raw, land(records, root, data_type, stamp, source_system, ("parquet", "csv", "json"), source, **facts))
 

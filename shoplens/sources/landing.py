@@ -22,6 +22,11 @@ def type_path(root: str, data_type: str, fmt: str) -> str:
     return f"{root}/type={data_type}/format={fmt}"
 
 
+def response_type(data_type: str) -> str:
+    """The type under which the raw responses behind a delta type are landed."""
+    return f"{data_type}_response"
+
+
 def partition_path(root: str, data_type: str, fmt: str, stamp: str) -> str:
     return f"{type_path(root, data_type, fmt)}/ingestion_timestamp={stamp}"
 

@@ -13,7 +13,7 @@ RECORDS_CONTRACT = "records_contract"
 
 def read_payload_text(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
     """Responses as text: one per file, or one per line (splittable)."""
-    return spark.read.option("wholetext", one_per_file).text(path).select(
+    return spark.read.text(path, wholetext=one_per_file).select(
         F.col("value").alias("body"), F.col("_metadata.file_path").alias("raw_response_file")
     )
 

@@ -15,7 +15,7 @@ from shoplens.constants import SELECTED_PROPERTIES
 from shoplens.operators.merge import stack
 from shoplens.operators.ranking import first_per_key
 from shoplens.plans.latest import newest_first
-from shoplens.session import path_exists
+from shoplens.session import delete_path, path_exists
 
 
 class LatestPropertyState:
@@ -68,6 +68,19 @@ class LatestPropertyState:
         if last is not None and last != self._base_upto():
             self._write_base(self.current(), last)
 
+    def vacuum(self) -> None:
+        """Delete what the newest committed base replaces; no reader may be running."""
+        upto = self._base_upto()
+        if upto is None:
+            return
+        commits = self.spark.read.schema("upto bigint").parquet(self._commits).where(F.col("upto") < upto)
+        for row in commits.collect():
+            delete_path(self.spark, self._base(row["upto"]))
+        if path_exists(self.spark, self._log):
+            log = self.spark.read.parquet(self._log).select("batch_id").where(F.col("batch_id") <= upto).distinct()
+            for row in log.collect():
+                delete_path(self.spark, f"{self._log}/batch_id={row['batch_id']}")
+
     def _write_base(self, rows: DataFrame, upto: int) -> None:
         rows.write.mode("overwrite").parquet(self._base(upto))
         commit = self.spark.createDataFrame([(upto,)], "upto bigint")
