@@ -254,11 +254,7 @@ _AVAILABILITY_LATEST = f"""
            {datetime('availability_timestamp_ms')} as availability_datetime, _source_system from availability_latest"""
 _WITH_FILE = "select *, case when _source_system = 'catalog_batch' then 'batch' else 'delta' end as _source_file from ({0})"
 
-_LANDED = """
-    select "timestamp", itemid, property, value, source_system, seq,
-           case seq % 5 when 0 then '20260101_000000' when 1 then '20260101_003000' when 2 then '20260101_010000'
-                        when 3 then '20260101_013000' else '20260101_020000' end as ingestion_timestamp
-    from raw_properties where source_system = 'catalog_api'"""
+_LANDED = "select * from landed_delta"
 
 # statements on the order events; "{s}" stands for the source
 _BOTH = {
@@ -413,6 +409,97 @@ _ORDERS_ONLY = {
 }
 
 
+_VIEW_COLUMNS = {
+    "user_features": (
+        "user_id total_events unique_items view_events addtocart_events transaction_events total_interaction_score "
+        "avg_interaction_weight first_event_timestamp_ms last_event_timestamp_ms first_event_datetime last_event_datetime "
+        "active_days addtocart_event_rate transaction_event_rate events_per_unique_item"
+    ).split(),
+    "item_features": (
+        "item_id total_events unique_users view_events addtocart_events transaction_events total_interaction_score "
+        "avg_interaction_weight first_event_timestamp_ms last_event_timestamp_ms first_event_datetime last_event_datetime "
+        "category_id parent_category_id is_available available_raw_value has_category_metadata has_availability_metadata "
+        "addtocart_rate transaction_rate cart_to_transaction_rate"
+    ).split(),
+    "user_item_features": (
+        "user_id item_id total_events view_count addtocart_count transaction_count interaction_score max_event_weight "
+        "first_event_timestamp_ms last_event_timestamp_ms first_event_datetime last_event_datetime has_transaction "
+        "has_addtocart category_id parent_category_id is_available has_category_metadata has_availability_metadata "
+        "user_item_addtocart_rate user_item_transaction_rate user_item_cart_to_transaction_rate implicit_label "
+        "strongest_event_type"
+    ).split(),
+}
+_VIEW_KEYS = {"user_features": ["user_id"], "item_features": ["item_id"], "user_item_features": ["user_id", "item_id"]}
+_DESCRIPTIVE = {
+    "category_id", "parent_category_id", "is_available", "available_raw_value", "has_category_metadata",
+    "has_availability_metadata", "first_event_timestamp_ms", "last_event_timestamp_ms", "first_event_datetime",
+    "last_event_datetime", "strongest_event_type",
+}
+_NOT_WHOLE = ("_rate", "_score", "_weight", "_label", "_datetime", "events_per_unique_item")
+
+
+def _documented(view: str, name: str, place: int) -> str:
+    role = "entity_key" if name in _VIEW_KEYS[view] else "metadata" if name in _DESCRIPTIVE else "feature"
+    source = name.replace("_datetime", "_timestamp_ms")
+    extremes = ", ".join(
+        f"cast(null as varchar) as {end}_value" if name.endswith(_NOT_WHOLE) else f"cast({end}({source}) as varchar) as {end}_value"
+        for end in ("min", "max")
+    )
+    return f"""
+    select '{view}' as feature_view_name, '{name}' as column_name, {place} as ordinal_position, '{role}' as feature_role,
+           round(count(*) filter (where {source} is null)::double / count(*), 6) as null_rate, {extremes} from {view}_{{s}}"""
+
+
+def _registered(view: str) -> str:
+    keys = _VIEW_KEYS[view]
+    names = [name for name in _VIEW_COLUMNS[view] if name not in keys]
+    quoted = ", ".join(f'"{key}"' for key in keys)
+    return f"""
+    select '{view}' as feature_view_name, 'v1' as feature_view_version, '[{quoted}]' as entity_keys,
+           'features.{view}' as source_table, true as source_exists, {len(names)} as feature_count,
+           '{", ".join(names)}' as feature_names, count(*) as row_count, count(distinct ({", ".join(keys)})) as distinct_keys
+    from {view}_{{s}}"""
+
+
+_STRONGEST = """
+    select user_id, item_id from user_item_features_{s}
+    order by has_transaction desc, has_addtocart desc, interaction_score desc, user_id, item_id limit 1"""
+
+
+def _retrieved(view: str) -> str:
+    keys = _VIEW_KEYS[view]
+    text = " || ',' || ".join(f"'{key}=' || p.{key}" for key in keys)
+    match = " and ".join(f"v.{key} = p.{key}" for key in keys)
+    return f"""
+    select '{view}' as retrieval_type, '{view}' as feature_view_name, 'v1' as feature_view_version, {text} as entity_filter,
+           1 as rows_returned, {len(_VIEW_COLUMNS[view])} as columns_returned, cast(v.total_events as varchar) as total_events,
+           cast(v.first_event_timestamp_ms as varchar) as first_event_timestamp_ms
+    from {view}_{{s}} v join ({_STRONGEST}) p on {match}"""
+
+
+_ORDERS_ONLY |= {
+    "feature_documentation": "\nunion all\n".join(
+        _documented(view, name, place) for view, names in _VIEW_COLUMNS.items() for place, name in enumerate(names, 1)
+    ),
+    "registry_summary": "\nunion all\n".join(_registered(view) for view in _VIEW_COLUMNS),
+    "retrieval_summary": "\nunion all\n".join(_retrieved(view) for view in _VIEW_COLUMNS),
+    "raw_quality_report": """
+        select 'raw_api_item_properties_delta:ingestion_timestamp=' || ingestion_timestamp as dataset_name,
+               check_name, 'PASS' as status,
+               case check_name when 'normalized_parquet_row_count' then cast(n as varchar)
+                               when 'source_system' then 'catalog_api' end as details
+        from landed_counts, (values ('parquet_exists'), ('normalized_parquet_schema'), ('normalized_parquet_row_count'),
+                             ('checksum_matches_metadata'), ('source_system')) c(check_name)
+        union all
+        select 'raw_api_item_properties_delta', check_name, 'PASS',
+               case check_name when 'partition_count_positive' then 'Found ' || partitions || ' API delta partitions'
+                               when 'total_partition_rows_positive' then 'Total rows across API partitions: ' || total
+                               when 'state_file_exists' then last_stamp else '3' end
+        from (select count(*) as partitions, sum(n) as total, max(ingestion_timestamp) as last_stamp from landed_counts),
+             (values ('partition_count_positive'), ('total_partition_rows_positive'), ('state_file_exists'), ('state_cursor')) c(check_name)""",
+}
+
+
 def all_statements() -> dict[str, str]:
     found = {}
     for name, body in {**_BOTH, **_ORDERS_ONLY}.items():

@@ -62,7 +62,12 @@ VIEWS: dict[str, str] = {
         from (select *, row_number() over (partition by item_id
                      order by property_timestamp_ms desc, source_system desc, seq desc) as rn
               from combined where property_name = 'available') where rn = 1""",
-    "registry": "",
+    "landed_delta": """
+        select "timestamp", itemid, property, value, source_system, seq,
+               case seq % 5 when 0 then '20260101_000000' when 1 then '20260101_003000' when 2 then '20260101_010000'
+                            when 3 then '20260101_013000' else '20260101_020000' end as ingestion_timestamp
+        from raw_properties where source_system = 'catalog_api'""",
+    "landed_counts": "select ingestion_timestamp, count(*) as n from landed_delta group by ingestion_timestamp",
 }
 
 _PER_SOURCE = {
@@ -282,7 +287,6 @@ def _fill() -> None:
                    coalesce(sum(1.0::double / log2(recommendation_rank + 1)) filter (where item_id = target_item_id), 0.0) as gain
             from train_lists_{s} l join content_targets_{s} t on l.user_id = t.user_id where recommendation_rank <= 10""",
         )
-    VIEWS.pop("registry")
 
 
 _fill()

@@ -119,8 +119,18 @@ class Lab:
         return features.user_item_features(self.user_items)
 
     @cached_property
-    def views(self) -> dict[str, DataFrame]:
-        return {"user_features": self.user_view, "item_features": self.item_view, "user_item_features": self.user_item_view}
+    def stored_views(self) -> dict[str, DataFrame]:
+        """The feature views as the tables that retrieval and reports read."""
+        pairs = materialise(self.pairs, "pairs")
+        metadata = self.stored_metadata
+        items = curation.curated_items(pairs, metadata)
+        return {
+            "user_features": materialise(features.user_features(features.mart_user_features(pairs)), "users"),
+            "item_features": materialise(features.item_features(features.mart_item_features(items)), "items"),
+            "user_item_features": materialise(
+                features.user_item_features(curation.curated_user_items(pairs, metadata)), "user-items"
+            ),
+        }
 
     @cached_property
     def window(self) -> split.Window:
@@ -158,18 +168,25 @@ class Lab:
         return training.train_content(self.interactions, self.stored_metadata, test_days=self.days)
 
     @cached_property
-    def datasets(self) -> dict[str, DataFrame]:
+    def stored_datasets(self) -> dict[str, DataFrame]:
+        """What the quality checks read: layers that others build on are stored once."""
+        events, combined = materialise(self.events, "events"), materialise(self.combined, "combined")
+        categories = materialise(latest.item_category_latest(combined), "categories")
+        availability = materialise(latest.item_availability_latest(combined), "availability")
+        metadata = materialise(curation.item_metadata(categories, availability, self.tree), "metadata")
+        pairs = materialise(curation.event_pairs(events), "pairs")
+        is_batch = F.col("source_system") == C.BATCH_SOURCE
         return {
-            "events": self.events,
+            "events": events,
             "category_tree": self.tree,
-            "item_properties_batch": self.batch,
-            "item_properties_api_delta": self.delta,
-            "item_properties_combined": self.combined,
-            "item_category_latest": self.category_latest,
-            "item_availability_latest": self.availability_latest,
-            "curated_interactions": curation.curated_interactions(self.events, self.metadata),
-            "curated_items": self.items,
-            "curated_user_item_interactions": self.user_items,
+            "item_properties_batch": combined.where(is_batch).drop("ingestion_timestamp"),
+            "item_properties_api_delta": combined.where(~is_batch),
+            "item_properties_combined": combined,
+            "item_category_latest": categories,
+            "item_availability_latest": availability,
+            "curated_interactions": curation.curated_interactions(events, metadata),
+            "curated_items": curation.curated_items(pairs, metadata),
+            "curated_user_item_interactions": curation.curated_user_items(pairs, metadata),
         }
 
 
@@ -206,7 +223,7 @@ def item_availability_latest(lab: Lab) -> DataFrame:
 # --- curation, marts, features ---------------------------------------------
 
 def curated_interactions(lab: Lab) -> DataFrame:
-    return lab.datasets["curated_interactions"]
+    return curation.curated_interactions(lab.events, lab.metadata)
 
 
 def curated_items(lab: Lab) -> DataFrame:
@@ -282,15 +299,15 @@ def top_item_bars(lab: Lab) -> DataFrame:
 # --- expectations -------------------------------------------------------------
 
 def quality_report(lab: Lab) -> DataFrame:
-    return expectations.quality_report(lab.spark, lab.datasets)
+    return expectations.quality_report(lab.spark, lab.stored_datasets)
 
 
 def quality_status(lab: Lab) -> DataFrame:
-    return expectations.status_counts(expectations.quality_report(lab.spark, lab.datasets))
+    return expectations.status_counts(expectations.quality_report(lab.spark, lab.stored_datasets))
 
 
 def quality_problems(lab: Lab) -> DataFrame:
-    return expectations.problems(expectations.quality_report(lab.spark, lab.datasets))
+    return expectations.problems(expectations.quality_report(lab.spark, lab.stored_datasets))
 
 
 def duplicate_events(lab: Lab) -> DataFrame:
@@ -403,10 +420,9 @@ def feature_retrieval(lab: Lab) -> DataFrame:
 
 
 def feature_point_lookup(lab: Lab) -> DataFrame:
-    pair = registry.sample_pair(lab.user_item_view).first()
-    return registry.point_lookup(
-        lab.user_item_view, registry.USER_ITEM_VIEW, user_id=pair["user_id"], item_id=pair["item_id"]
-    )
+    source = lab.stored_views["user_item_features"]
+    pair = registry.sample_pair(source).first()
+    return registry.point_lookup(source, registry.USER_ITEM_VIEW, user_id=pair["user_id"], item_id=pair["item_id"])
 
 
 def sample_pair(lab: Lab) -> DataFrame:
@@ -414,16 +430,37 @@ def sample_pair(lab: Lab) -> DataFrame:
 
 
 def retrieval_summary(lab: Lab) -> DataFrame:
-    pair = materialise(registry.sample_pair(lab.user_item_view), "pair")
-    return stack(*[registry.retrieval_summary(pair, lab.views[view.name], view) for view in registry.VIEWS])
+    """Retrieval of the strongest pair; two values are read back from the JSON."""
+    pair = materialise(registry.sample_pair(lab.stored_views["user_item_features"]), "pair")
+    parts = [registry.retrieval_summary(pair, lab.stored_views[view.name], view) for view in registry.VIEWS]
+    values = F.col("sample_values_json")
+    return stack(*parts).select(
+        "retrieval_type", "feature_view_name", "feature_view_version", "entity_filter", "rows_returned", "columns_returned",
+        F.get_json_object(values, "$.total_events").alias("total_events"),
+        F.get_json_object(values, "$.first_event_timestamp_ms").alias("first_event_timestamp_ms"),
+    )
 
 
 def registry_summary(lab: Lab) -> DataFrame:
-    return registry.registry_summary(lab.spark, lab.views)
+    return registry.registry_summary(lab.spark, lab.stored_views).select(
+        "feature_view_name", "feature_view_version", "entity_keys", "source_table", "source_exists", "feature_count",
+        "feature_names", "row_count", "distinct_keys",
+    )
 
 
 def feature_documentation(lab: Lab) -> DataFrame:
-    return registry.feature_documentation(lab.spark, lab.views)
+    """Every column with role and exact statistics; extremes of whole numbers and text."""
+    comparable_type = F.col("data_type").isin("bigint", "int", "string")
+    return registry.feature_documentation(lab.spark, lab.stored_views).select(
+        "feature_view_name", "column_name", "ordinal_position", "feature_role", "null_rate",
+        F.when(comparable_type, F.col("min_value")).alias("min_value"),
+        F.when(comparable_type, F.col("max_value")).alias("max_value"),
+    )
+
+
+def feature_statistics(lab: Lab) -> DataFrame:
+    """The whole documentation, with types and estimated distinct counts."""
+    return registry.feature_documentation(lab.spark, lab.stored_views)
 
 
 # --- comparison and reports ---------------------------------------------------------
@@ -530,7 +567,10 @@ def ingest_counters(lab: Lab) -> DataFrame:
 
 def raw_quality_report(lab: Lab) -> DataFrame:
     root = _land_deltas(lab)
-    return raw_checks.delta_report(lab.spark, root, C.DELTA_FEED, _delta_schema(), ("parquet",), with_responses=False)
+    report = raw_checks.delta_report(lab.spark, root, C.DELTA_FEED, _delta_schema(), ("parquet",), with_responses=False)
+    # paths and fingerprints differ from run to run
+    run_specific = F.col("check_name").isin("parquet_exists", "checksum_matches_metadata", "normalized_parquet_schema")
+    return report.withColumn("details", F.when(~run_specific, F.col("details")))
 
 
 def payload_records(lab: Lab) -> DataFrame:
@@ -608,7 +648,7 @@ _ON_ORDERS = (
     popularity_topn, popularity_ranking, popularity_metrics, popularity_summary, popularity_examples,
     active_users, popularity_recommendations, content_candidates, user_profiles, content_recommendations,
     content_metrics, content_summary, content_examples, active_user_recommendations,
-    feature_retrieval, feature_point_lookup, sample_pair, retrieval_summary, registry_summary, feature_documentation,
+    feature_retrieval, feature_point_lookup, sample_pair, retrieval_summary, registry_summary, feature_documentation, feature_statistics,
     model_comparison, metric_matrix, inference_summary, report_merge,
     landing_manifest, landing_fingerprints, landed_delta_rows, latest_partition_rows, ingest_counters,
     raw_quality_report, payload_records, table_inventory,

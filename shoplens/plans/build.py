@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from shoplens import constants as C
 from shoplens.operators.merge import stack
 from shoplens.plans import comparison, curation, expectations, features, latest, registry, serving, staging, training
+from shoplens.session import temporary_tables
 from shoplens.sinks.reports import write_model_report
 from shoplens.sinks.tables import LayerStore, relation_counts
 
@@ -81,19 +82,24 @@ def _interactions(store: LayerStore) -> DataFrame:
     return curation.as_interactions(store.load("staged", "events", "build"))
 
 
-def train(store: LayerStore, key: str, **parameters) -> training.Training:
-    """Fit and evaluate one model; store model, summary and examples."""
+def train(store: LayerStore, key: str, **parameters) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fit and evaluate one model; store and return model, summary, examples.
+
+    Intermediate tables of the run are deleted at its end.
+    """
     metadata = store.load("curated", "item_metadata", "build")
     fit = training.train_popularity if key == C.POPULARITY_KEY else training.train_content
-    run = fit(_interactions(store), metadata, **parameters)
     model_name, summary_name, _ = MODEL_SPECS[key]
-    store.save(run.model, "models", model_name)
-    store.save(run.summary, "models", summary_name)
-    store.save(run.examples, "models", f"{key}_examples")
-    if key == C.POPULARITY_KEY:
-        exported = run.all_scores.where(F.col("rank") <= C.EXPORTED_TOP_N)
-        store.save(exported, "models", "popularity_item_scores")
-    return run
+    with temporary_tables(store.spark):
+        run = fit(_interactions(store), metadata, **parameters)
+        if key == C.POPULARITY_KEY:
+            exported = run.all_scores.where(F.col("rank") <= C.EXPORTED_TOP_N)
+            store.save(exported, "models", "popularity_item_scores")
+        return (
+            store.save(run.model, "models", model_name),
+            store.save(run.summary, "models", summary_name),
+            store.save(run.examples, "models", f"{key}_examples"),
+        )
 
 
 def recommend(

@@ -10,6 +10,8 @@ from shoplens.operators.ranking import rank_all, top_k_per_key, top_n
 from shoplens.operators.rollup import train_item_stats
 from shoplens.plans.curation import with_metadata
 
+_RANK_BLOCK = 10_000
+
 ORDER_KEYS = ("popularity_score", "train_interaction_score", "train_unique_users")
 
 
@@ -123,13 +125,22 @@ def recommend_from_full_ranking(users: DataFrame, seen: DataFrame, ranked: DataF
 
     The k + s ranks a user can need are joined to the ranking by rank, then
     seen items are dropped: rows in proportion to the history, no broadcast.
+    Ranks are spelled out block by block, so a long history makes many rows
+    and never a long array.
     """
     wanted = users.select("user_id").distinct()
     history = seen.select("user_id", "item_id").join(wanted, "user_id", "left_semi")
     counts = history.groupBy("user_id").agg(F.count("*").alias("_seen"))
-    reach = (F.lit(k) + F.coalesce("_seen", F.lit(0))).cast("bigint")
-    slots = wanted.join(counts, "user_id", "left").select(
-        "user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), reach)).alias("rank")
+    block = F.lit(_RANK_BLOCK)
+    reach = F.col("_reach")
+    slots = (
+        wanted.join(counts, "user_id", "left")
+        .select("user_id", (F.lit(k) + F.coalesce("_seen", F.lit(0))).cast("bigint").alias("_reach"))
+        .select("user_id", "_reach", F.explode(F.sequence(F.lit(0), F.floor((reach - 1) / block).cast("int"))).alias("_block"))
+        .select(
+            "user_id",
+            F.explode(F.sequence(F.col("_block") * block + 1, F.least((F.col("_block") + 1) * block, reach))).alias("rank"),
+        )
     )
     unseen = slots.join(ranked, "rank").join(history, ["user_id", "item_id"], "left_anti")
     return top_k_per_key(unseen, ["user_id"], [F.col("rank")], k, "recommendation_rank").drop("rank")

@@ -14,6 +14,7 @@ from shoplens.constants import (
 from shoplens.functions.columns import preferred
 from shoplens.functions.values import clip_upper, instant
 from shoplens.operators.merge import stack
+from shoplens.session import materialise
 
 # --- fixed values: leading columns of the profile report ------------------
 PROFILE_COLUMNS = (
@@ -116,10 +117,10 @@ def source_profile(events: DataFrame, properties: DataFrame, tree: DataFrame, ap
 def activity_histogram(users: DataFrame, bins: int = HISTOGRAM_BINS, quantile: float = CLIP_QUANTILE) -> DataFrame:
     """Users per bin of events-per-user, clipped at a quantile.
 
-    Works on the frequency table of the counts, which stays small however
-    many users there are. Columns: bin, bin_start, bin_end, user_count.
+    Works on the frequency table of the counts, stored once; it stays small
+    however many users there are. Columns: bin, bin_start, bin_end, user_count.
     """
-    counts = users.groupBy("total_events").agg(F.count("*").alias("users"))
+    counts = materialise(users.groupBy("total_events").agg(F.count("*").alias("users")), "activity-counts")
     edges = counts.agg(
         F.min("total_events").cast("double").alias("low"),
         F.percentile("total_events", quantile, F.col("users")).alias("high"),

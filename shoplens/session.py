@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,8 +49,25 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scratch_paths: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/shoplens/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/shoplens/{label}-{uuid.uuid4().hex}"
+    _scratch_paths.append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, the scratch tables made inside the block."""
+    known = len(_scratch_paths)
+    try:
+        yield
+    finally:
+        for path in _scratch_paths[known:]:
+            delete_path(spark, path)
+        del _scratch_paths[known:]
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
