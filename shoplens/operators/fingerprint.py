@@ -10,8 +10,9 @@ def fingerprint_columns(names: list[str]) -> tuple[Column, Column]:
 
     The fingerprint joins the xor and the sum of the row hashes. The sum keeps
     duplicate rows from cancelling out; both can be partially aggregated.
+    Columns are hashed in name order, so their order does not matter either.
     """
-    row_hash = F.xxhash64(*[F.col(name) for name in names])
+    row_hash = F.xxhash64(*[F.col(name) for name in sorted(names)])
     total = F.sum(row_hash.cast("decimal(20,0)"))
     return (
         F.count(F.lit(1)),
