@@ -472,7 +472,7 @@ def _retrieved(view: str) -> str:
     match = " and ".join(f"v.{key} = p.{key}" for key in keys)
     return f"""
     select '{view}' as retrieval_type, '{view}' as feature_view_name, 'v1' as feature_view_version, {text} as entity_filter,
-           1 as rows_returned, {len(_VIEW_COLUMNS[view])} as columns_returned, cast(v.total_events as varchar) as total_events,
+           cast(1 as bigint) as rows_returned, {len(_VIEW_COLUMNS[view])} as columns_returned, cast(v.total_events as varchar) as total_events,
            cast(v.first_event_timestamp_ms as varchar) as first_event_timestamp_ms
     from {view}_{{s}} v join ({_STRONGEST}) p on {match}"""
 

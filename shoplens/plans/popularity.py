@@ -37,7 +37,7 @@ def score_items(split: DataFrame, metadata: DataFrame) -> DataFrame:
 
 def top_items(scored: DataFrame, n: int) -> DataFrame:
     """The saved model: the first ``n`` items with their rank."""
-    return top_n(scored, popularity_order(), n, "rank")
+    return top_n(scored, popularity_order(), n, "rank").withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def rank_items(scored: DataFrame) -> DataFrame:
