@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from shoplens.constants import (
     ADD_TO_CART,
@@ -15,6 +16,9 @@ from shoplens.constants import (
 )
 
 
+_schemas: dict[str, StructType] = {}
+
+
 class FixtureTables:
     """The four source-shaped inputs over one folder of test tables."""
 
@@ -23,7 +27,11 @@ class FixtureTables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its schema is read from the file once per process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     @staticmethod
     def _millis(column: str):
