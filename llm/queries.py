@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import bpe, chunks, jaccard, mixing, sharding, token_files, toxicity, vectors
+from llm import bpe, chunks, jaccard, mixing, quality, sharding, token_files, toxicity, vectors
 from llm.common import documents, need, table
 
 #: Target shares of the mix; all other sources together are "other".
@@ -14,6 +14,10 @@ SHARD_WEIGHTS = [1.0] * 16
 TOXIC_FROM = 0.5
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_pq_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -56,7 +60,7 @@ def op10_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pq_near_dedup, op3_byte_bpe, op4_rendezvous_shards, op5_pfair_mix, op6_token_files, op7_toxic_severity,
+    op1_quality_rules, op2_pq_near_dedup, op3_byte_bpe, op4_rendezvous_shards, op5_pfair_mix, op6_token_files, op7_toxic_severity,
     op8_ngram_jaccard, op10_chunk_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
