@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import bpe, chunks, jaccard, mixing, quality, sharding, token_files, toxicity, vectors
+from llm import bpe, chunks, html_text, jaccard, mixing, quality, sharding, token_files, toxicity, vectors
 from llm.common import documents, need, table
 
 #: Target shares of the mix; all other sources together are "other".
@@ -55,12 +55,16 @@ def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"))
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(table(spark, folder, "pages"))
+
+
 def op10_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.dedup(documents(table(spark, folder, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_pq_near_dedup, op3_byte_bpe, op4_rendezvous_shards, op5_pfair_mix, op6_token_files, op7_toxic_severity,
-    op8_ngram_jaccard, op10_chunk_dedup)}
+    op8_ngram_jaccard, op9_main_text, op10_chunk_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
