@@ -135,8 +135,8 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def signatures(docs: DataFrame, classes: np.ndarray, percent: int, prefix: bool) -> DataFrame:
-    """doc_id, n, the set's digest (k1, k2) and the group's digest g; with ``prefix`` the prefix too."""
+def signatures(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
+    """doc_id, n, the set's digest (k1, k2), the group's digest g and the prefix of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest, xxh3_128_intdigest
 
@@ -150,18 +150,13 @@ def signatures(docs: DataFrame, classes: np.ndarray, percent: int, prefix: bool)
                 rows.append((doc_id, len(found), _signed(key >> 64), _signed(key & (1 << 64) - 1),
                              _signed(xxh3_64_intdigest(first.tobytes(), len(found)))))
                 prefixes.append(first.view(np.int64))
-            names = ["doc_id", "n", "k1", "k2", "g"]
+            ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
-            if prefix:
-                names.append("prefix")
-                ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*prefixes, np.zeros(0, np.int64)]))))
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*prefixes, np.zeros(0, np.int64)]))))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "k1", "k2", "g", "prefix"])
 
     fields = [field(name, LONG) for name in ("doc_id", "n", "k1", "k2", "g")]
-    if prefix:
-        fields.append(field("prefix", ArrayType(LONG)))
-    return documents(docs).mapInArrow(run, StructType(fields))
+    return documents(docs).mapInArrow(run, StructType([*fields, field("prefix", ArrayType(LONG))]))
 
 
 def shared_postings(postings: DataFrame) -> DataFrame:
@@ -243,50 +238,43 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return made.join(ids, "doc_id", "left_semi")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are as similar as asked."""
+def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are as similar as asked, stored; only sets of documents in a pair are made."""
+    pairs = materialise(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = materialise(shingle_sets(docs, ids), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_sb"))
     both = F.size(F.array_intersect("_sa", "_sb"))
-    return pairs.join(right, "b").join(left, "a").where(
-        both * (100 + percent) >= (F.size("_sa") + F.size("_sb")) * percent).select("a", "b")
+    return materialise(pairs.join(right, "b").join(left, "a").where(
+        both * (100 + percent) >= (F.size("_sa") + F.size("_sb")) * percent).select("a", "b"), "links")
 
 
 def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     classes = common_classes(docs)
-    rows = materialise(signatures(docs, classes, percent, prefix=False), "signatures")
-    real = rows.where("n > 0 and doc_id is not null")
+    signed = materialise(signatures(docs, classes, percent), "signatures")
+    real, rows = signed.where("n > 0 and doc_id is not null"), signed.drop("prefix")
     # equal sets are one class, classes of equal prefix and size one group; both named by their least doc_id
     sets = real.groupBy("k1", "k2", "n", "g").agg(F.min("doc_id").alias("rep"))
     heads = sets.groupBy("g", "n").agg(F.min("rep").alias("head"), F.count("*").alias("members"))
     members = materialise(sets.join(heads, ["g", "n"]).select("head", "rep", "members", "n"), "members")
-    grouped = (
-        signatures(docs, classes, percent, prefix=True).where("n > 0 and doc_id is not null")
-        .groupBy("g", "n").agg(F.min("doc_id").alias("head"), F.first("prefix").alias("prefix"))
-    )
+    grouped = real.groupBy("g", "n").agg(F.min("doc_id").alias("head"), F.first("prefix").alias("prefix"))
     postings = grouped.select(F.posexplode("prefix").alias("pos", "token"), "n", "head").select(
         "token", "head", F.col("n").cast("int").alias("n"), "pos")
     shared = materialise(shared_postings(postings), "postings")
 
-    posted = shared.select("head").distinct()
-    wanted = members.join(posted, "head", "left_semi").select("rep").union(
-        members.where("members > 1").select("rep")).distinct().select(F.col("rep").alias("doc_id"))
-    wanted = materialise(wanted, "wanted")
-    full = materialise(shingle_sets(docs, wanted), "sets")
-
     found: DataFrame | None = None
     labels: DataFrame | None = None
     for number in range(star_rounds):
         pairs = _stars(shared, labels, number, percent)
         if number == 0:
             pairs = pairs.union(members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")))
-        new = materialise(verified(pairs, full, percent), "links")
+        new = verified(docs, pairs, percent)
         found = new if found is None else found.union(new)
         labels = materialise(components(found), "labels")
-    rest = materialise(_between(shared, members, labels, percent), "pairs")
-    if not rest.isEmpty():
-        labels = materialise(components(found.union(verified(rest, full, percent))), "labels")
+    found = found.union(verified(docs, _between(shared, members, labels, percent), percent))
+    labels = materialise(components(found), "labels")
 
     near = sets.select("k1", "k2", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
