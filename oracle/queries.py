@@ -63,18 +63,18 @@ def _metrics(view: str) -> str:
 
 _POP_SUMMARY = f"""
     select 'popularity_recommender' as model_name, 'event_weighted_global_popularity' as model_type, 10 as top_k,
-           180 as test_window_days, 10000 as evaluation_sample_users, min_timestamp_ms, max_timestamp_ms, cutoff_timestamp_ms,
+           180 as test_window_days, cast(null as integer) as evaluation_sample_users, min_timestamp_ms, max_timestamp_ms, cutoff_timestamp_ms,
            {datetime('min_timestamp_ms')} as min_event_datetime, {datetime('max_timestamp_ms')} as max_event_datetime,
            (select count(*) from staged_orders, bounds_orders where event_timestamp_ms < cutoff_timestamp_ms) as train_event_count,
            (select count(*) from staged_orders, bounds_orders where event_timestamp_ms >= cutoff_timestamp_ms) as test_event_count,
            (select count(*) from pop_scores_orders) as train_distinct_items,
-           (select least(5000, count(*)) from pop_scores_orders) as model_saved_item_count,
-           (select round(least(5000, count(*))::double / count(*), 6) from pop_scores_orders) as model_item_coverage,
+           (select count(*) from pop_scores_orders) as model_saved_item_count,
+           1.0::double as model_item_coverage,
            (select count(*) from pop_targets_orders) as test_target_users, m.*
     from bounds_orders, ({_metrics('pop_metrics_orders')}) m"""
 _CONTENT_SUMMARY = f"""
     select 'content_based_recommender' as model_name, 'category_content_based_filtering' as model_type, 10 as top_k,
-           180 as test_window_days, 10000 as evaluation_sample_users, min_timestamp_ms, max_timestamp_ms, cutoff_timestamp_ms,
+           180 as test_window_days, cast(null as integer) as evaluation_sample_users, min_timestamp_ms, max_timestamp_ms, cutoff_timestamp_ms,
            (select count(*) from candidates_orders) as candidate_item_count,
            (select count(*) from content_targets_orders) as test_target_users,
            (select count(distinct h.user_id) from train_history_orders h join content_targets_orders t on h.user_id = t.user_id) as user_profile_count,
@@ -93,7 +93,7 @@ _COMPARISON = f"""
 # every user walks the saved list past the items of the whole history
 _POP_SERVED = """
     select u.user_id, r.*, row_number() over (partition by u.user_id order by r.rank) as recommendation_rank
-    from full_users_{s} u cross join (select * from pop_ranked_{s} where rank <= 5000) r
+    from full_users_{s} u cross join pop_ranked_{s} r
     where not exists (select 1 from full_history_{s} x where x.user_id = u.user_id and x.item_id = r.item_id)"""
 _POP_SERVED_ROWS = f"""
     select 'popularity' as model_key, 'popularity_recommender' as model_name, 'event_weighted_global_popularity' as model_type,
@@ -278,9 +278,19 @@ _BOTH = {
     "popularity_metrics": _metrics("pop_metrics_{s}"),
     "popularity_recommendations": _POP_SERVED_ROWS,
     "user_profiles": _PROFILES,
-    "content_candidates": f"""
-        select {_CANDIDATE_COLUMNS} from (select * from candidates_all_{{s}}
-        order by global_content_prior_score desc, train_event_count desc, item_id limit 1000)""",
+    "content_candidates": f"select {_CANDIDATE_COLUMNS} from candidates_all_{{s}}",
+    "popularity_metrics_sampled": _metrics("""(
+        select count(distinct user_id) as evaluated_users, count(*) filter (where item_id = target_item_id) as hits,
+               coalesce(sum(1.0::double / log2(position + 1)) filter (where item_id = target_item_id), 0.0) as gain
+        from pop_lists_{s} where position <= 10 and user_id in (select user_id from pop_sample_{s}))"""),
+    "content_metrics_sampled": _metrics("""(
+        select count(distinct l.user_id) as evaluated_users, count(*) filter (where item_id = target_item_id) as hits,
+               coalesce(sum(1.0::double / log2(recommendation_rank + 1)) filter (where item_id = target_item_id), 0.0) as gain
+        from train_lists_{s} l join content_sample_{s} t on l.user_id = t.user_id where recommendation_rank <= 10)"""),
+    "popularity_recommendations_head": _POP_SERVED_ROWS.replace("cross join pop_ranked_{s} r", "cross join (select * from pop_ranked_{s} where rank <= 100) r"),
+    "content_recommendations_head": _CONTENT_SERVED_ROWS.replace("from full_lists_{s}", """from (
+        select * replace (row_number() over (partition by user_id order by recommendation_rank) as recommendation_rank)
+        from full_lists_{s} where item_id in (select item_id from head_candidates_{s}))"""),
     "content_recommendations": _CONTENT_SERVED_ROWS,
     "content_metrics": _metrics("content_metrics_{s}"),
 }
@@ -324,8 +334,19 @@ _ORDERS_ONLY = {
     "train_test_counts": """
         select count(*) filter (where event_timestamp_ms < cutoff_timestamp_ms) as train_event_count,
                count(*) filter (where event_timestamp_ms >= cutoff_timestamp_ms) as test_event_count from staged_{s}, bounds_{s}""",
-    "hash_user_sample": """
-        select user_id, target_item_id, round(target_weight, 6) as target_weight, last_target_ms from pop_targets_{s}""",
+    "scattered_user_sample": """
+        select user_id, target_item_id, round(target_weight, 6) as target_weight, last_target_ms from pop_sample_{s}""",
+    "first_user_sample": """
+        select user_id, target_item_id, round(target_weight, 6) as target_weight, first_target_ms from content_sample_{s}""",
+    "popularity_examples": """
+        select l.user_id, cast(l.position as integer) as recommendation_rank, l.item_id, l.target_item_id,
+               l.item_id = l.target_item_id as is_hit, round(r.popularity_score, 6) as popularity_score, r.train_event_count,
+               r.train_unique_users, r.train_addtocart_events, r.train_transaction_events, r.category_id, r.parent_category_id,
+               r.is_available
+        from pop_lists_{s} l join pop_ranked_{s} r on l.item_id = r.item_id
+        where l.position <= 5 and l.user_id in (
+            select user_id from pop_targets_{s}
+            order by (user_id % 1000003 + 1000003) % 1000003 * 2654435761 % 4294967296, user_id limit 5)""",
     "train_seen_items": "select s.user_id, s.item_id from pop_seen_{s} s join pop_targets_{s} t on s.user_id = t.user_id",
     "popularity_topn": f"select {_POP_COLUMNS} from pop_ranked_{{s}} where rank <= 10",
     "popularity_summary": _POP_SUMMARY,

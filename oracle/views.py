@@ -208,9 +208,15 @@ _PER_SOURCE = {
                            sum(content_weight) as train_interaction_score
                     from weighted_{s}, bounds_{s} where event_timestamp_ms <= cutoff_timestamp_ms group by item_id)) a
         left join mart_items_{s} f on a.item_id = f.item_id""",
-    "candidates": """
-        select * from candidates_all_{s}
-        order by global_content_prior_score desc, train_event_count desc, item_id limit {candidates}""",
+    "candidates": "select * from candidates_all_{s}",
+    "head_candidates": """
+        select item_id from candidates_all_{s}
+        order by global_content_prior_score desc, train_event_count desc, item_id limit 100""",
+    # user samples: in scattered order for popularity, in id order for content
+    "pop_sample": """
+        select * from pop_targets_{s}
+        order by (user_id % 1000003 + 1000003) % 1000003 * 2654435761 % 4294967296, user_id limit 25""",
+    "content_sample": "select * from content_targets_{s} order by user_id limit 25",
     "content_targets": """
         select user_id, item_id as target_item_id, target_weight, first_target_ms from (
           select *, row_number() over (partition by user_id order by target_weight desc, first_target_ms, item_id) as rn
@@ -254,7 +260,7 @@ _PER_HISTORY = {
 
 def _fill() -> None:
     for source, days in (("clicks", 7), ("orders", 180)):
-        values = {"s": source, "days": str(days), "candidates": "5000"}
+        values = {"s": source, "days": str(days)}
 
         def put(name: str, body: str, **extra: str) -> None:
             for key, value in {**values, **extra}.items():

@@ -20,6 +20,9 @@ from shoplens.streaming.latest_state import LatestPropertyState
 
 TEST_DAYS = {"clicks": 7, "orders": 180}
 
+# bounds that a caller may choose, below the number of users and items of every folder
+SAMPLE_USERS, HEAD_ITEMS = 25, 100
+
 
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles at six decimals and instants as UTC text, for exact comparison."""
@@ -148,11 +151,11 @@ class Lab:
 
     @cached_property
     def popularity_model(self) -> DataFrame:
-        return materialise(popularity.top_items(self.scored_items, C.MODEL_TOP_N), "model")
+        return popularity.rank_items(self.scored_items)
 
     @cached_property
     def content_model(self) -> DataFrame:
-        rows = content.candidate_items(self.train_split(split.CONTENT_RULE), self.stored_metadata, C.MODEL_TOP_N)
+        rows = content.candidate_items(self.train_split(split.CONTENT_RULE), self.stored_metadata)
         return materialise(rows, "model")
 
     @cached_property
@@ -333,11 +336,15 @@ def test_targets_latest(lab: Lab) -> DataFrame:
 
 
 def test_targets_earliest(lab: Lab) -> DataFrame:
-    return split.test_targets(lab.split(split.CONTENT_RULE), split.CONTENT_RULE, C.EVALUATION_SAMPLE_USERS)
+    return split.test_targets(lab.split(split.CONTENT_RULE), split.CONTENT_RULE)
+
+
+def scattered_user_sample(lab: Lab) -> DataFrame:
+    return split.test_targets(lab.split(split.POPULARITY_RULE), split.POPULARITY_RULE, SAMPLE_USERS)
 
 
-def hash_user_sample(lab: Lab) -> DataFrame:
-    return split.test_targets(lab.split(split.POPULARITY_RULE), split.POPULARITY_RULE, C.EVALUATION_SAMPLE_USERS)
+def first_user_sample(lab: Lab) -> DataFrame:
+    return split.test_targets(lab.split(split.CONTENT_RULE), split.CONTENT_RULE, SAMPLE_USERS)
 
 
 def train_seen_items(lab: Lab) -> DataFrame:
@@ -359,6 +366,12 @@ def popularity_metrics(lab: Lab) -> DataFrame:
     return lab.popularity.metrics
 
 
+def popularity_metrics_sampled(lab: Lab) -> DataFrame:
+    """Metrics over a sample of users, smaller than the users there are."""
+    run = training.train_popularity(lab.interactions, lab.metadata, test_days=lab.days, sample_users=SAMPLE_USERS)
+    return run.metrics
+
+
 def popularity_summary(lab: Lab) -> DataFrame:
     return lab.popularity.summary
 
@@ -375,10 +388,15 @@ def popularity_recommendations(lab: Lab) -> DataFrame:
     return serving.recommend_popularity(lab.history.select("user_id"), lab.history, lab.popularity_model)
 
 
+def popularity_recommendations_head(lab: Lab) -> DataFrame:
+    """Lists from the first items only: users who have seen many of them get fewer rows."""
+    return serving.recommend_popularity(lab.history.select("user_id"), lab.history, lab.popularity_model, n=HEAD_ITEMS)
+
+
 # --- content ----------------------------------------------------------------------
 
 def content_candidates(lab: Lab) -> DataFrame:
-    return content.candidate_items(lab.train_split(split.CONTENT_RULE), lab.metadata, C.EXPORTED_TOP_N)
+    return content.candidate_items(lab.train_split(split.CONTENT_RULE), lab.metadata)
 
 
 def user_profiles(lab: Lab) -> DataFrame:
@@ -389,6 +407,17 @@ def content_recommendations(lab: Lab) -> DataFrame:
     return serving.recommend_content(lab.history.select("user_id"), lab.history, lab.stored_metadata, lab.content_model)
 
 
+def content_recommendations_head(lab: Lab) -> DataFrame:
+    return serving.recommend_content(
+        lab.history.select("user_id"), lab.history, lab.stored_metadata, lab.content_model, n=HEAD_ITEMS
+    )
+
+
+def content_metrics_sampled(lab: Lab) -> DataFrame:
+    run = training.train_content(lab.interactions, lab.stored_metadata, test_days=lab.days, sample_users=SAMPLE_USERS)
+    return run.metrics
+
+
 def content_metrics(lab: Lab) -> DataFrame:
     return lab.content.metrics
 
@@ -644,10 +673,12 @@ _ON_ORDERS = (
     profile_events, event_type_summary, profile_properties, top_properties, category_profile,
     category_tree_sample, source_profile, event_distribution, activity_histogram, top_item_bars,
     quality_report, quality_status, quality_problems, duplicate_events, referential_coverage,
-    time_bounds, train_test_counts, test_targets_latest, test_targets_earliest, hash_user_sample, train_seen_items,
+    time_bounds, train_test_counts, test_targets_latest, test_targets_earliest, scattered_user_sample,
+    first_user_sample, train_seen_items,
     popularity_topn, popularity_ranking, popularity_metrics, popularity_summary, popularity_examples,
     active_users, popularity_recommendations, content_candidates, user_profiles, content_recommendations,
-    content_metrics, content_summary, content_examples, active_user_recommendations,
+    content_metrics, content_summary, content_examples, popularity_metrics_sampled, content_metrics_sampled,
+    popularity_recommendations_head, content_recommendations_head, active_user_recommendations,
     feature_retrieval, feature_point_lookup, sample_pair, retrieval_summary, registry_summary, feature_documentation, feature_statistics,
     model_comparison, metric_matrix, inference_summary, report_merge,
     landing_manifest, landing_fingerprints, landed_delta_rows, latest_partition_rows, ingest_counters,
@@ -658,7 +689,8 @@ _ON_CLICKS = (
     stage_events, curated_interactions, curated_items, curated_user_items, user_features, item_features,
     user_item_features, event_type_summary, quality_report, test_targets_latest, test_targets_earliest,
     popularity_ranking, popularity_metrics, popularity_recommendations, user_profiles, content_candidates,
-    content_recommendations, content_metrics,
+    content_recommendations, content_metrics, popularity_metrics_sampled, content_metrics_sampled,
+    popularity_recommendations_head, content_recommendations_head,
 )
 
 

@@ -33,9 +33,6 @@ DELTA_FEED = "item_properties_delta"
 TOP_K = 10
 SERVING_TOP_K = 5
 TEST_WINDOW_DAYS = 14
-EVALUATION_SAMPLE_USERS = 10_000
-MODEL_TOP_N = 5_000
-EXPORTED_TOP_N = 1_000
 PLOTTED_TOP_N = 20
 EXAMPLE_USERS = 5
 EXAMPLE_TOP_K = 5
@@ -62,6 +59,5 @@ DAY_MS = 86_400_000
 # coarse enough that an order never hangs on the last bit of a logarithm.
 SCORE_DECIMALS = 9
 
-# A table may carry a broadcast hint only when a LIMIT or a rank filter
-# proves it has no more rows than this.
-BROADCAST_ROW_BOUND = 100_000
+# Ranks at the head of a ranking that are broadcast; all others are shuffled.
+HEAD_RANKS = 10_000

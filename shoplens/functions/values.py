@@ -15,9 +15,10 @@ def whole_number(text: str | Column) -> Column:
     """Text to BIGINT; fractions round half up, anything else becomes NULL.
 
     ``'12.6'`` -> 13 and ``' 7 '`` -> 7, where a bare ``try_cast`` to BIGINT
-    would turn the fraction into NULL.
+    would turn the fraction into NULL. Eighteen decimals are kept before
+    rounding, so ``'12.4999999'`` is 12.
     """
-    return F.round(as_column(text).try_cast("decimal(38,6)")).try_cast("bigint")
+    return F.round(as_column(text).try_cast("decimal(38,18)")).try_cast("bigint")
 
 
 def instant(ms: str | Column) -> Column:

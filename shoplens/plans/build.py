@@ -93,8 +93,7 @@ def train(store: LayerStore, key: str, **parameters) -> tuple[DataFrame, DataFra
     with temporary_tables(store.spark):
         run = fit(_interactions(store), metadata, **parameters)
         if key == C.POPULARITY_KEY:
-            exported = run.all_scores.where(F.col("rank") <= C.EXPORTED_TOP_N)
-            store.save(exported, "models", "popularity_item_scores")
+            store.save(run.all_scores, "models", "popularity_item_scores")
         return (
             store.save(run.model, "models", model_name),
             store.save(run.summary, "models", summary_name),
@@ -103,7 +102,7 @@ def train(store: LayerStore, key: str, **parameters) -> tuple[DataFrame, DataFra
 
 
 def recommend(
-    store: LayerStore, key: str, users: DataFrame | None = None, k: int = C.SERVING_TOP_K, n: int = C.MODEL_TOP_N
+    store: LayerStore, key: str, users: DataFrame | None = None, k: int = C.SERVING_TOP_K, n: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Recommendations and their summary for the users, default the most active.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shoplens.constants import BROADCAST_ROW_BOUND, UNKNOWN_CATEGORY
+from shoplens.constants import UNKNOWN_CATEGORY
 from shoplens.functions.scores import (
     content_prior,
     conversion_score,
@@ -14,9 +14,10 @@ from shoplens.functions.scores import (
     ratio_or_zero,
     settled,
 )
-from shoplens.operators.ranking import top_k_per_key, top_n
+from shoplens.operators.ranking import rank_all, top_k_per_key, top_n
 from shoplens.operators.rollup import train_item_stats
 from shoplens.plans.curation import with_metadata
+from shoplens.session import materialise
 
 # Orders that decide between equal content scores.
 EVALUATION_TIES = (
@@ -29,7 +30,7 @@ SERVING_TIES = (("train_event_count", False), ("item_id", False))
 FLOOR_SLACK = 1e-8
 
 # kinds of row in the per-user working table
-_CATEGORY, _PARENT, _USER, _SEEN = 1, 2, 3, 4
+_CATEGORY, _PARENT, _USER = 1, 2, 3
 
 
 def candidate_order() -> list[Column]:
@@ -59,9 +60,10 @@ def score_candidates(split: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
-def candidate_items(split: DataFrame, metadata: DataFrame, n: int) -> DataFrame:
-    """The saved model: the ``n`` items with the highest prior."""
-    return top_n(score_candidates(split, metadata), candidate_order(), n)
+def candidate_items(split: DataFrame, metadata: DataFrame, n: int | None = None) -> DataFrame:
+    """The saved model: all items, or the ``n`` with the highest prior."""
+    scored = score_candidates(split, metadata)
+    return scored if n is None else top_n(scored, candidate_order(), n)
 
 
 def _categorised(history: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -134,20 +136,21 @@ def _slots(candidates: DataFrame, ties: tuple[tuple[str, bool], ...]) -> DataFra
         popularity_prior().alias("popularity_prior"),
     ).withColumn("static_score", static_score())
     order = [F.col("static_score").desc_nulls_last(), *tie_order(ties)]
-    return scored.withColumn("slot", F.row_number().over(Window.orderBy(*order)))
+    return rank_all(scored, order, "slot")
 
 
 def _working_rows(users: DataFrame, history: DataFrame, metadata: DataFrame, slots: DataFrame) -> DataFrame:
     """Per user: weight and number of seen candidates by category, parent and overall.
 
-    Kinds: a category, a parent category, the whole user, one seen candidate. A candidate's stored category may differ from the item's
-    current one; profiles use the current one, seen counts the stored one.
+    Kinds: a category, a parent category, the whole user. A candidate's
+    stored category may differ from the item's current one; profiles use the
+    current one, seen counts the stored one.
     """
     stored = slots.select(
         "item_id", "slot", F.col("category_id").alias("_stored_category"),
         F.col("parent_category_id").alias("_stored_parent"),
     )
-    rows = _categorised(history, metadata).join(F.broadcast(stored), "item_id", "left")
+    rows = _categorised(history, metadata).join(stored, "item_id", "left")
     is_candidate = F.col("slot").isNotNull()
 
     def row(kind: int, key: Column, weight: Column, seen: Column) -> Column:
@@ -172,7 +175,6 @@ def _working_rows(users: DataFrame, history: DataFrame, metadata: DataFrame, slo
                     row(_CATEGORY, F.col("category_id"), F.col("weight"), same_category),
                     row(_PARENT, F.col("parent_category_id"), F.col("weight"), same_parent),
                     row(_USER, F.lit(0), F.col("weight"), is_candidate),
-                    F.when(is_candidate, row(_SEEN, F.col("slot"), nothing, one)),
                     F.when(is_candidate & ~same_category, row(_CATEGORY, F.col("_stored_category"), nothing, one)),
                     F.when(is_candidate & ~same_parent, row(_PARENT, F.col("_stored_parent"), nothing, one)),
                 )
@@ -184,16 +186,20 @@ def _working_rows(users: DataFrame, history: DataFrame, metadata: DataFrame, slo
         facts.unionByName(everyone)
         .groupBy("user_id", "kind", "key")
         .agg(F.sum("weight").alias("weight"), F.sum("seen").alias("seen"))
-        .where((F.col("weight") > 0) | F.col("kind").isin(_USER, _SEEN))
+        .where((F.col("weight") > 0) | (F.col("kind") == _USER))
     )
 
 
+_LIST = ["kind", "key", "parent"]
+
+
 def _lists(slots: DataFrame) -> DataFrame:
     """Candidates by category, by parent and overall, placed in static order.
 
-    Columns: list_id, kind, key, parent, place, size, slot, static_score. A
-    category's list is split by parent, so that within one list all items get
-    the same profile score from a user. At most three rows per candidate.
+    Columns: kind, key, parent (which name a list), place, size, slot,
+    static_score. A category's list is split by parent, so that within one
+    list all items get the same profile score from a user. At most three rows
+    per candidate; no list is numbered in one task.
     """
     category, parent, none = F.col("category_id"), F.col("parent_category_id"), F.lit(0).cast("bigint")
 
@@ -205,12 +211,10 @@ def _lists(slots: DataFrame) -> DataFrame:
         "static_score",
         F.inline(F.array(entry(_CATEGORY, category, parent), entry(_PARENT, parent, parent), entry(_USER, none, none))),
     )
-    own = Window.partitionBy("kind", "key", "parent")
-    return listed.select(
-        F.dense_rank().over(Window.orderBy("kind", "key", "parent")).alias("list_id"),
-        "kind", "key", "parent", "slot", "static_score",
-        F.row_number().over(own.orderBy("slot")).alias("place"),
-        F.count("*").over(own).cast("int").alias("size"),
+    ranked = rank_all(listed, [*map(F.col, _LIST), F.col("slot")], "_rank")
+    bounds = ranked.groupBy(*_LIST).agg(F.min("_rank").alias("_first"), F.count("*").alias("size"))
+    return ranked.join(bounds, _LIST).select(
+        *_LIST, (F.col("_rank") - F.col("_first") + 1).alias("place"), "size", "slot", "static_score"
     )
 
 
@@ -222,11 +226,11 @@ def _score_floor(rows: DataFrame, places: DataFrame, k: int) -> DataFrame:
     disjoint: the k-th highest of these values is a floor for the k-th best
     recommendation. NULL when fewer than k lists give a value.
     """
-    first_unseen = places.select("list_id", (F.col("place") - 1).alias("seen"), F.col("static_score").alias("_static"))
+    first_unseen = places.select(*_LIST, (F.col("place") - 1).alias("seen"), F.col("static_score").alias("_static"))
     sure = F.when(F.col("kind") == _CATEGORY, F.col("offset") + F.col("_static"))
     per_user = Window.partitionBy("user_id")
     return (
-        rows.join(F.broadcast(first_unseen), ["list_id", "seen"], "left")
+        rows.join(first_unseen, [*_LIST, "seen"], "left")
         .withColumn("_sure", sure)
         .withColumn("_nth", F.row_number().over(per_user.orderBy(F.col("_sure").desc_nulls_last())))
         .withColumn("floor", F.max(F.when(F.col("_nth") == k, F.col("_sure"))).over(per_user))
@@ -240,7 +244,7 @@ def recommend(
     metadata: DataFrame,
     candidates: DataFrame,
     k: int,
-    n: int,
+    n: int | None = None,
     ties: tuple[tuple[str, bool], ...] = SERVING_TIES,
 ) -> DataFrame:
     """Top k unseen candidates per user, without pairing users and candidates.
@@ -257,30 +261,26 @@ def recommend(
     the number of candidates.
 
     ``history``: user_id, item_id, weight, one row per pair; its items count
-    as seen. ``n`` bounds the candidate table.
+    as seen. Candidates are all of the table, or its first ``n``. Candidates
+    and lists are stored; the planner picks the joins by their size.
     """
-    if n > BROADCAST_ROW_BOUND:
-        raise ValueError(f"a candidate table holds at most {BROADCAST_ROW_BOUND} items")
-    slots = _slots(top_n(candidates, candidate_order(), n), ties)
+    slots = _slots(candidates if n is None else top_n(candidates, candidate_order(), n), ties)
     wanted = users.select("user_id").distinct()
-    rows = _working_rows(wanted, history.join(wanted, "user_id", "left_semi"), metadata, slots)
+    history = history.join(wanted, "user_id", "left_semi")
+    rows = _working_rows(wanted, history, metadata, slots)
 
     per_user = Window.partitionBy("user_id")
     shares = rows.withColumn("_total", F.max(F.when(F.col("kind") == _USER, F.col("weight"))).over(per_user)).withColumn(
         "share", F.when(F.col("kind").isin(_CATEGORY, _PARENT), share("weight", "_total"))
     )
-    lists = _lists(slots)
-    heads = lists.where("place = 1").select(
-        "list_id", "kind", "key", "parent", "size", F.col("static_score").alias("top_static")
-    )
-    places = lists.select("list_id", "place", "slot", "static_score")
+    lists = materialise(_lists(slots), "lists")
+    heads = lists.where("place = 1").select(*_LIST, "size", F.col("static_score").alias("top_static"))
+    places = lists.select(*_LIST, "place", "slot", "static_score")
 
-    is_seen = F.col("kind") == _SEEN
     is_category = F.col("kind") == _CATEGORY
     of_parent = F.max(F.when(F.col("kind") == _PARENT, F.col("share"))).over(Window.partitionBy("user_id", "parent"))
     listed = (
-        shares.join(F.broadcast(heads), ["kind", "key"], "left")
-        .where(F.col("list_id").isNotNull() | is_seen)
+        shares.join(heads, ["kind", "key"])
         .withColumn("category_share", F.when(is_category, F.col("share")).otherwise(0.0))
         .withColumn("parent_share", F.when(F.col("kind").isin(_CATEGORY, _PARENT), F.coalesce(of_parent, F.lit(0.0))).otherwise(0.0))
         .withColumn("offset", profile_match("category_share", "parent_share"))
@@ -290,30 +290,23 @@ def recommend(
         return F.col("floor").isNull() | (F.col("offset") + F.col(static) >= F.col("floor") - FLOOR_SLACK)
 
     depth = F.least(F.col("size"), F.lit(k) + F.col("seen"))
+    seen = history.join(slots.select("item_id", "slot"), "item_id").select("user_id", "slot")
     picked = (
         _score_floor(listed, places, k)
-        .where(is_seen | reaches_floor("top_static"))
-        .select(
-            "user_id", "category_share", "parent_share", "offset", "floor", "list_id",
-            F.when(is_seen, F.col("key").cast("int")).alias("_seen_slot"),
-            F.explode(F.when(is_seen, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), depth))).alias("place"),
-        )
-        .join(F.broadcast(places), ["list_id", "place"], "left")
-        .where(F.col("_seen_slot").isNotNull() | reaches_floor("static_score"))
+        .where(reaches_floor("top_static"))
         .select(
-            "user_id", "category_share", "parent_share",
-            F.coalesce("_seen_slot", "slot").alias("slot"),
-            F.col("_seen_slot").isNotNull().alias("is_seen"),
+            "user_id", "category_share", "parent_share", "offset", "floor", *_LIST,
+            F.explode(F.sequence(F.lit(1).cast("bigint"), depth)).alias("place"),
         )
+        .join(places, [*_LIST, "place"])
+        .where(reaches_floor("static_score"))
         .groupBy("user_id", "slot")
         .agg(
             F.max("category_share").alias("category_score"),
             F.max("parent_share").alias("parent_category_score"),
-            F.max("is_seen").alias("is_seen"),
         )
-        .where(~F.col("is_seen"))
-        .drop("is_seen")
+        .join(seen, ["user_id", "slot"], "left_anti")
     )
-    scored = picked.join(F.broadcast(slots), "slot").withColumn("content_score", content_score())
+    scored = picked.join(slots, "slot").withColumn("content_score", content_score())
     order = [F.col("content_score").desc(), *tie_order(ties)]
     return top_k_per_key(scored, ["user_id"], order, k, "recommendation_rank").drop("slot", "static_score")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoplens.constants import BROADCAST_ROW_BOUND
+from shoplens.constants import HEAD_RANKS
 from shoplens.functions.scores import guarded_ratio, popularity_score
 from shoplens.operators.ranking import rank_all, top_k_per_key, top_n
 from shoplens.operators.rollup import train_item_stats
@@ -86,48 +86,18 @@ def filtered_positions(targets: DataFrame, seen: DataFrame, ranked: DataFrame, k
     )
 
 
-def recommend(users: DataFrame, seen: DataFrame, model: DataFrame, k: int, n: int) -> DataFrame:
-    """The first k unseen items of the saved list for every user.
+def recommend(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int, n: int | None = None) -> DataFrame:
+    """The first k unseen items of the ranking, or of its first ``n`` items, for every user.
 
-    A user needs only the list's first k + s entries, s being how many of its
-    ``n`` items were seen, so at most k rows per user are produced and nothing
-    is paired. Seen ranks per user are bounded by ``n``.
-    """
-    if n > BROADCAST_ROW_BOUND:
-        raise ValueError(f"a saved list holds at most {BROADCAST_ROW_BOUND} items")
-    saved = model.where(F.col("rank") <= n)
-    size = saved.agg(F.count("*")).scalar()
-    wanted = users.select("user_id").distinct()
-    seen_ranks = (
-        seen.select("user_id", "item_id")
-        .join(wanted, "user_id", "left_semi")
-        .join(F.broadcast(saved.select("item_id", "rank")), "item_id")
-        .groupBy("user_id")
-        .agg(F.collect_set("rank").alias("_seen"))
-    )
-    no_ranks = F.array().cast("array<int>")
-    reach = F.least(size, F.lit(k) + F.size("_seen")).cast("int")
-    picks = F.slice(
-        F.array_except(F.when(reach >= 1, F.sequence(F.lit(1), reach)).otherwise(no_ranks), F.col("_seen")), 1, k
-    )
-    return (
-        wanted.join(seen_ranks, "user_id", "left")
-        .withColumn("_seen", F.coalesce("_seen", no_ranks))
-        .select("user_id", F.posexplode(picks).alias("_place", "rank"))
-        .join(F.broadcast(saved), "rank")
-        .withColumn("recommendation_rank", (F.col("_place") + 1).cast("int"))
-        .drop("_place", "rank")
-    )
-
-
-def recommend_from_full_ranking(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int) -> DataFrame:
-    """The first k unseen items of a ranking of any length.
-
-    The k + s ranks a user can need are joined to the ranking by rank, then
-    seen items are dropped: rows in proportion to the history, no broadcast.
-    Ranks are spelled out block by block, so a long history makes many rows
-    and never a long array.
+    The k + s ranks a user can need, s being the seen items, are joined to
+    the ranking by rank, then seen items are dropped: rows in proportion to
+    the history. The head of the ranking, which every user needs, is
+    broadcast, bounded by HEAD_RANKS; later ranks are needed by few users and
+    are shuffled. Ranks are spelled out block by block, so a long history
+    makes many rows and never a long array.
     """
+    if n is not None:
+        ranked = ranked.where(F.col("rank") <= n)
     wanted = users.select("user_id").distinct()
     history = seen.select("user_id", "item_id").join(wanted, "user_id", "left_semi")
     counts = history.groupBy("user_id").agg(F.count("*").alias("_seen"))
@@ -142,5 +112,9 @@ def recommend_from_full_ranking(users: DataFrame, seen: DataFrame, ranked: DataF
             F.explode(F.sequence(F.col("_block") * block + 1, F.least((F.col("_block") + 1) * block, reach))).alias("rank"),
         )
     )
-    unseen = slots.join(ranked, "rank").join(history, ["user_id", "item_id"], "left_anti")
+    is_head = F.col("rank") <= HEAD_RANKS
+    met = slots.where(is_head).join(F.broadcast(ranked.where(is_head)), "rank").unionByName(
+        slots.where(~is_head).join(ranked.where(~is_head), "rank")
+    )
+    unseen = met.join(history, ["user_id", "item_id"], "left_anti")
     return top_k_per_key(unseen, ["user_id"], [F.col("rank")], k, "recommendation_rank").drop("rank")

@@ -10,7 +10,6 @@ from shoplens.constants import (
     CONTENT_NAME,
     CONTENT_TYPE,
     CONTENT_UNKNOWN_WEIGHT,
-    MODEL_TOP_N,
     POPULARITY_KEY,
     POPULARITY_NAME,
     POPULARITY_TYPE,
@@ -53,7 +52,7 @@ def _in_common_schema(rows: DataFrame, key: str, name: str, kind: str, score: Co
     ])
 
 
-def recommend_popularity(users: DataFrame, history: DataFrame, model: DataFrame, k: int = SERVING_TOP_K, n: int = MODEL_TOP_N) -> DataFrame:
+def recommend_popularity(users: DataFrame, history: DataFrame, model: DataFrame, k: int = SERVING_TOP_K, n: int | None = None) -> DataFrame:
     rows = popularity.recommend(users, history, model, k, n)
     return _in_common_schema(
         rows, POPULARITY_KEY, POPULARITY_NAME, POPULARITY_TYPE, F.col("popularity_score"), "popularity_score"
@@ -61,7 +60,7 @@ def recommend_popularity(users: DataFrame, history: DataFrame, model: DataFrame,
 
 
 def recommend_content(
-    users: DataFrame, history: DataFrame, metadata: DataFrame, model: DataFrame, k: int = SERVING_TOP_K, n: int = MODEL_TOP_N
+    users: DataFrame, history: DataFrame, metadata: DataFrame, model: DataFrame, k: int = SERVING_TOP_K, n: int | None = None
 ) -> DataFrame:
     rows = content.recommend(users, history, metadata, model, k, n, content.SERVING_TIES)
     return _in_common_schema(

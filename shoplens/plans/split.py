@@ -83,8 +83,8 @@ def event_counts(split: DataFrame) -> DataFrame:
 def test_targets(split: DataFrame, rule: SplitRule, sample_users: int | None = None) -> DataFrame:
     """One target item per user: strongest, then latest or earliest, then lowest id.
 
-    With ``sample_users`` at most that many users are kept, in hash order for
-    the popularity rule and in id order for the content rule.
+    With ``sample_users`` at most that many users are kept, in scattered order
+    for the popularity rule and in id order for the content rule.
     """
     stamp_name = "last_target_ms" if rule.latest_target else "first_target_ms"
     stamp = F.col(stamp_name)
@@ -98,8 +98,12 @@ def test_targets(split: DataFrame, rule: SplitRule, sample_users: int | None = N
     )
     if sample_users is None:
         return targets
-    by_hash = [F.xxhash64("user_id"), F.col("user_id")]
-    return targets.orderBy(*(by_hash if rule.latest_target else [F.col("user_id")])).limit(sample_users)
+    return targets.orderBy(*(scattered() if rule.latest_target else [F.col("user_id")])).limit(sample_users)
+
+
+def scattered() -> list[Column]:
+    """An order of users unrelated to their ids, in integers any engine computes alike."""
+    return [F.pmod(F.col("user_id"), F.lit(1_000_003)) * F.lit(2_654_435_761) % F.lit(4_294_967_296), F.col("user_id")]
 
 
 def seen_by(split: DataFrame, users: DataFrame) -> DataFrame:

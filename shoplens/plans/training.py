@@ -11,10 +11,8 @@ from shoplens.constants import (
     CONTENT_KEY,
     CONTENT_NAME,
     CONTENT_TYPE,
-    EVALUATION_SAMPLE_USERS,
     EXAMPLE_TOP_K,
     EXAMPLE_USERS,
-    MODEL_TOP_N,
     POPULARITY_KEY,
     POPULARITY_NAME,
     POPULARITY_TYPE,
@@ -29,6 +27,7 @@ from shoplens.plans.split import (
     POPULARITY_RULE,
     Window,
     find_window,
+    scattered,
     seen_by,
     split_pairs,
     test_targets,
@@ -58,25 +57,30 @@ def train_popularity(
     metadata: DataFrame,
     k: int = TOP_K,
     test_days: int = TEST_WINDOW_DAYS,
-    sample_users: int = EVALUATION_SAMPLE_USERS,
-    n: int = MODEL_TOP_N,
+    sample_users: int | None = None,
+    n: int | None = None,
 ) -> Training:
-    """``interactions``: user_id, item_id, event_type, event_timestamp_ms."""
+    """``interactions``: user_id, item_id, event_type, event_timestamp_ms.
+
+    All users are evaluated and all items saved, unless the caller names a
+    number of users to sample or of items to keep.
+    """
     window = find_window(interactions, test_days)
     split = materialise(split_pairs(interactions, window, POPULARITY_RULE), "split")
     ranked = popularity.rank_items(popularity.score_items(split, metadata))
     targets = materialise(test_targets(split, POPULARITY_RULE, sample_users), "targets")
     seen = seen_by(split, targets)
     metrics = ranking_metrics(popularity.filtered_positions(targets, seen, ranked, k), k)
-    model = ranked.where(F.col("rank") <= n)
+    model = ranked if n is None else ranked.where(F.col("rank") <= n)
 
     n_items = _one(ranked, F.count("*"))
+    n_saved = n_items if n is None else F.least(F.lit(n), n_items)
     summary = metrics.select(
         F.lit(POPULARITY_NAME).alias("model_name"),
         F.lit(POPULARITY_TYPE).alias("model_type"),
         F.lit(k).alias("top_k"),
         F.lit(test_days).alias("test_window_days"),
-        F.lit(sample_users).alias("evaluation_sample_users"),
+        F.lit(sample_users).cast("int").alias("evaluation_sample_users"),
         F.lit(window.min_ms).alias("min_timestamp_ms"),
         F.lit(window.max_ms).alias("max_timestamp_ms"),
         F.lit(window.cutoff_ms).alias("cutoff_timestamp_ms"),
@@ -85,8 +89,8 @@ def train_popularity(
         F.coalesce(_one(split, F.sum("train_events")), F.lit(0)).alias("train_event_count"),
         F.coalesce(_one(split, F.sum("test_events")), F.lit(0)).alias("test_event_count"),
         n_items.alias("train_distinct_items"),
-        F.least(F.lit(n), n_items).alias("model_saved_item_count"),
-        catalog_coverage(F.lit(n), n_items).alias("model_item_coverage"),
+        n_saved.alias("model_saved_item_count"),
+        catalog_coverage(n_saved, n_items).alias("model_item_coverage"),
         _one(targets, F.count("*")).alias("test_target_users"),
         *metrics.columns,
     )
@@ -97,8 +101,8 @@ def popularity_examples(
     targets: DataFrame, seen: DataFrame, ranked: DataFrame, users: int = EXAMPLE_USERS, k: int = EXAMPLE_TOP_K
 ) -> DataFrame:
     """Top k for the first sampled users, with target and hit flag."""
-    sample = targets.orderBy(F.xxhash64("user_id"), "user_id").limit(users)
-    lists = popularity.recommend_from_full_ranking(sample, seen, ranked, k)
+    sample = targets.orderBy(*scattered()).limit(users)
+    lists = popularity.recommend(sample, seen, ranked, k)
     return lists.join(F.broadcast(sample.select("user_id", "target_item_id")), "user_id").select(
         "user_id", "recommendation_rank", "item_id", "target_item_id",
         (F.col("item_id") == F.col("target_item_id")).alias("is_hit"),
@@ -112,8 +116,8 @@ def train_content(
     metadata: DataFrame,
     k: int = TOP_K,
     test_days: int = TEST_WINDOW_DAYS,
-    sample_users: int = EVALUATION_SAMPLE_USERS,
-    n: int = MODEL_TOP_N,
+    sample_users: int | None = None,
+    n: int | None = None,
 ) -> Training:
     window = find_window(interactions, test_days)
     split = materialise(split_pairs(interactions, window, CONTENT_RULE), "split")
@@ -123,7 +127,7 @@ def train_content(
     targets = materialise(test_targets(split, CONTENT_RULE, sample_users), "targets")
     history = seen_by(split, targets)
     lists = materialise(
-        content.recommend(targets, history, metadata, model, k, n, content.EVALUATION_TIES), "content-lists"
+        content.recommend(targets, history, metadata, model, k, None, content.EVALUATION_TIES), "content-lists"
     )
     metrics = ranking_metrics(recommendation_outcomes(targets, lists), k)
     summary = metrics.select(
@@ -131,7 +135,7 @@ def train_content(
         F.lit(CONTENT_TYPE).alias("model_type"),
         F.lit(k).alias("top_k"),
         F.lit(test_days).alias("test_window_days"),
-        F.lit(sample_users).alias("evaluation_sample_users"),
+        F.lit(sample_users).cast("int").alias("evaluation_sample_users"),
         F.lit(window.min_ms).alias("min_timestamp_ms"),
         F.lit(window.max_ms).alias("max_timestamp_ms"),
         F.lit(window.cutoff_ms).alias("cutoff_timestamp_ms"),

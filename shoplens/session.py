@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -36,16 +35,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``.  A temporary folder is
-    made only for a local session, where driver and executors share a disk.
+    The session names it in ``spark.checkpoint.dir`` or as its checkpoint
+    folder; without either it lies in the warehouse, which is shared too.
     """
     context = spark.sparkContext
     root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="shoplens-"))
-        root = context.getCheckpointDir()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return root.rstrip("/")
 
 

@@ -10,7 +10,8 @@ from shoplens.operators.fingerprint import fingerprint
 from shoplens.operators.merge import stack
 from shoplens.schemas import MANIFEST
 from shoplens.session import path_exists
-from shoplens.sources.landing import manifest_path, partition_path, response_type
+from shoplens.sources.external import csv_header
+from shoplens.sources.landing import CSV_READ, CSV_WRITE, manifest_path, partition_path, response_type
 from shoplens.sources.payloads import normalise_records, parse_payloads, read_payload_text, require_valid
 
 
@@ -24,7 +25,7 @@ def _file_totals(spark: SparkSession, path: str) -> DataFrame:
 
 def _read_back(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
     reader = spark.read.schema(schema)
-    return (reader.option("header", True) if fmt == "csv" else reader).format(fmt).load(path)
+    return (reader.options(**CSV_READ) if fmt == "csv" else reader).format(fmt).load(path)
 
 
 def land(
@@ -51,7 +52,7 @@ def land(
     rows, landed = [], df
     for fmt, path in paths.items():
         writer = landed.write.mode("errorifexists").format(fmt)
-        (writer.option("header", True) if fmt == "csv" else writer).save(path)
+        (writer.options(**CSV_WRITE) if fmt == "csv" else writer).save(path)
         landed = _read_back(spark, path, fmt, df.schema)
         rows.append(_manifest_row(landed, path, fmt, data_type, stamp, source_system, source_file, facts))
     manifest = stack(*rows)
@@ -95,9 +96,17 @@ def land_batch(
     spark: SparkSession, source_file: str, root: str, data_type: str, stamp: str, columns: list[str],
     source_system: str = BATCH_SOURCE,
 ) -> DataFrame:
-    """Land a CSV source as CSV, every value kept as the text it was."""
-    text = StructType([StructField(name, StringType()) for name in columns])
-    raw = spark.read.schema(text).option("header", True).csv(source_file)
+    """Land a CSV source as CSV, every column and every value kept as the text it was.
+
+    ``columns`` must be in the header; further columns are landed too. A value
+    may hold line breaks, and an empty text stays apart from a missing one.
+    """
+    header = csv_header(spark, source_file)
+    missing = [name for name in columns if name not in header]
+    if missing:
+        raise ValueError(f"{source_file} has no column {', '.join(missing)}; its header is {', '.join(header)}")
+    text = StructType([StructField(name, StringType()) for name in header])
+    raw = spark.read.schema(text).options(**CSV_READ, enforceSchema=False).csv(source_file)
     return land(raw, root, data_type, stamp, source_system, ("csv",), source_file)
 
 
@@ -119,7 +128,10 @@ def land_payloads(
         F.max("total_rows").alias("total_rows"),
         F.min("unread_rows").alias("unread_rows"),
         F.min("api_success").alias("api_success"),
-        F.max_by("next_cursor", F.when(F.col("next_cursor").isNotNull(), F.col("raw_response_file"))).alias("cursor"),
+        # the page with the fewest rows still to read is the last one; then the highest page number in the name
+        F.max_by("next_cursor", F.when(F.col("next_cursor").isNotNull(), F.struct(
+            -F.col("unread_rows"), F.length("raw_response_file"), "raw_response_file", "next_cursor"
+        ))).alias("cursor"),
     ).first()
     facts = last.asDict()
     bodies = payloads.select(F.col("body").alias("value"))

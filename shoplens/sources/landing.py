@@ -14,6 +14,13 @@ from shoplens.session import path_exists
 FORMAT_PREFERENCE = ("parquet", "csv", "json")
 
 
+# Landed CSV: quoted values may hold line breaks, a quote inside is doubled,
+# and an empty text ("") is not a missing value (nothing). The null marker is
+# a character that no text holds.
+CSV_WRITE = {"header": True, "escape": '"'}
+CSV_READ = {**CSV_WRITE, "multiLine": True, "nullValue": "\x01"}
+
+
 def manifest_path(root: str) -> str:
     return f"{root}/manifest"
 
@@ -52,20 +59,25 @@ def read_type(spark: SparkSession, root: str, data_type: str, fmt: str, schema:
     full = StructType([*fields, StructField("ingestion_timestamp", StringType())])
     reader = spark.read.schema(full)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_READ)
     return reader.format(fmt).load(type_path(root, data_type, fmt))
 
 
-def latest_stamp(manifest: DataFrame, data_type: str) -> str:
-    row = manifest.where(F.col("data_type") == data_type).agg(F.max("ingestion_timestamp").alias("stamp")).first()
+def latest_stamp(manifest: DataFrame, data_type: str, fmt: str | None = None) -> str:
+    """The newest stamp of a type, or of those of its partitions that have the format."""
+    landed = manifest.where(F.col("data_type") == data_type)
+    if fmt is not None:
+        landed = landed.where(F.col("format") == fmt)
+    row = landed.agg(F.max("ingestion_timestamp").alias("stamp")).first()
     if row is None or row["stamp"] is None:
-        raise FileNotFoundError(f"no landed partitions of {data_type}: run the landing step first")
+        kind = data_type if fmt is None else f"{data_type} as {fmt}"
+        raise FileNotFoundError(f"no landed partitions of {kind}: run the landing step first")
     return row["stamp"]
 
 
 def read_latest(spark: SparkSession, root: str, data_type: str, fmt: str, schema: StructType) -> DataFrame:
-    """Only the newest partition; its stamp is a literal, so others are pruned."""
-    stamp = latest_stamp(read_manifest(spark, root), data_type)
+    """Only the newest partition in that format; its stamp is a literal, so others are pruned."""
+    stamp = latest_stamp(read_manifest(spark, root), data_type, fmt)
     return read_type(spark, root, data_type, fmt, schema).where(F.col("ingestion_timestamp") == stamp)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from shoplens.plans.staging import file_of_row, stage_properties_delta
 from shoplens.schemas import DELTA_RECORD
+from shoplens.sources.landing import CSV_READ
 
 
 def read_delta_stream(
@@ -19,7 +20,7 @@ def read_delta_stream(
     """New landed files as typed delta rows. The checkpoint is the cursor."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_READ)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return stage_properties_delta(reader.load(source), file_of_row())

@@ -14,9 +14,9 @@ HOUR = 3_600_000
 
 
 def test_whole_number_reads_fractions_and_spaces(spark, rows):
-    texts = ["1188", "12.6", "12.5", " 7 ", "abc", None, "-3"]
+    texts = ["1188", "12.6", "12.5", " 7 ", "abc", None, "-3", "12.4999999", "-12.5000001"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    assert [v for _, v in rows(df.select("i", values.whole_number("t")))] == [1188, 13, 13, 7, None, None, -3]
+    assert [v for _, v in rows(df.select("i", values.whole_number("t")))] == [1188, 13, 13, 7, None, None, -3, 12, -13]
 
 
 def test_availability_flag(spark, rows):

@@ -64,7 +64,7 @@ def test_recommender_plans_have_no_python_and_no_quadratic_join(plain_joins, sto
         model,
         popularity.recommend(targets, seen, model, 5, 50),
         popularity.filtered_positions(targets, seen, model, 10),
-        popularity.recommend_from_full_ranking(targets, seen, model, 5),
+        popularity.recommend(targets, seen, model, 5),
         content.recommend(targets, seen, metadata, content.candidate_items(pairs, metadata, 50), 5, 50),
         content.user_profiles(seen, metadata),
         curation.with_metadata(events, metadata),

@@ -217,8 +217,44 @@ def test_reports_are_merged_by_model(spark, tmp_path, rows):
 
 
 def test_scratch_folder_follows_the_session(spark):
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert scratch_root(spark).startswith((configured or "").rstrip("/"))
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    assert scratch_root(spark).startswith((configured or warehouse).rstrip("/"))
+    assert context.getCheckpointDir() == configured or configured  # the caller's folder stays as it is
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "events.csv"
+    path.write_text("visitorid,timestamp,extra,event,itemid,transactionid\n7,1000,x,view,3,\n")
+    row = external.read_events(spark, str(path)).first()
+    assert (row.timestamp, row.visitorid, row.event, row.itemid, row.transactionid) == (1000, 7, "view", 3, None)
+    path.write_text("visitorid,event,itemid,transactionid\n7,view,3,\n")
+    with pytest.raises(ValueError, match="timestamp"):
+        external.read_events(spark, str(path))
+
+
+def test_landed_batch_keeps_all_columns_line_breaks_and_empty_texts(spark, tmp_path):
+    path = tmp_path / "props.csv"
+    path.write_text('itemid,property,value,note\n1,a,"two\nlines",x\n2,b,"",\n3,c,,"say ""hi"""\n')
+    root = str(tmp_path / "landing")
+    manifest = sink.land_batch(spark, str(path), root, "props", "20260101_000000", ["itemid", "property", "value"])
+    assert manifest.first().row_count == 3
+    landed = spark.read.options(**landing.CSV_READ).csv(
+        f"{root}/type=props/format=csv/ingestion_timestamp=20260101_000000")
+    assert sorted(tuple(r) for r in landed.select("itemid", "value", "note").collect()) == sorted(
+        [("1", "two\nlines", "x"), ("2", "", None), ("3", None, 'say "hi"')], key=repr)
+
+
+def test_newest_partition_in_a_format_is_read(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    rows = spark.createDataFrame([(1, "a")], "n bigint, t string")
+    sink.land(rows, root, "mixed", "20260101_000000", "s", ("parquet", "csv"), "f")
+    sink.land(rows.limit(0).union(rows).union(rows), root, "mixed", "20260102_000000", "s", ("csv",), "f")
+    assert landing.read_latest(spark, root, "mixed", "parquet", rows.schema).count() == 1
+    assert landing.read_latest(spark, root, "mixed", "csv", rows.schema).count() == 2
+    with pytest.raises(FileNotFoundError):
+        landing.read_latest(spark, root, "mixed", "json", rows.schema)
 
 
 def test_end_to_end_run(spark, small, tmp_path):
