@@ -12,11 +12,17 @@ the position filter; their members are then verified on whole sets.
 
 What keeps groups of many copies from all pairs: equal sets are one class
 from the start, and classes that are connected already are not compared
-again.  First each posting list is compared with one centre (a star), then,
+again.  First each posting list meets a few centres, and of all
+centres a document meets the few that look most alike are verified.  Then,
 with the components that gives, lists meet in full between members of
 different components only.  No link between different components is left out,
 so components are exact.
 
+Before whole sets are sent to a pair, BINS bins of each set are compared, each
+with a byte of its least hash.  Of two sets of similarity s a bin agrees with
+probability s; pairs that agree in less than a third are left out, which for a
+pair that links has a probability under 1e-12, as a collision of hashes has.
+
 Results: one row per row of the input with n_shingles and component_id, the
 least doc_id that links reach.  Null text, or text without words, has the
 empty set and links with nothing.  Rows with a null ``doc_id`` have a null
@@ -30,8 +36,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StructType
 
 from llm.common import LONG, SLICE, documents, field, materialise
 from llm.components import components
@@ -39,7 +45,8 @@ from llm.components import components
 SHINGLE, PERCENT = 5, 75
 #: Counters of the frequency sketch and bits of the candidate filter, whatever the input's size.
 SKETCH_BITS, FILTER_BITS = 20, 24
-STAR_ROUNDS = 2
+#: Bins of the sample of a set, and how many look-alikes a document is first verified with, of how many centres a token has.
+BINS, STAR_PAIRS, CENTRES = 64, 3, 8
 CACHE_WORDS = 500_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -131,20 +138,34 @@ def ordered(shingles: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return shingles[np.argsort(classes[(shingles & np.uint64(len(classes) - 1)).astype(np.int64)], kind="stable")]
 
 
+_BIN_STARTS = (np.arange(BINS, dtype=np.uint64) << np.uint64(58)).astype(np.uint64)
+
+
+def sample(shingles: np.ndarray) -> bytes:
+    """For each of BINS equal ranges of hashes a byte of its least one, and 0 if it has none."""
+    at = np.searchsorted(shingles, _BIN_STARTS)
+    ends = np.append(at[1:], len(shingles))
+    out = np.zeros(BINS, np.uint8)
+    has = at < ends
+    out[has] = (shingles[at[has]] & np.uint64(0xFF)) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
 def signatures(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
-    """doc_id, n, the set's digest (k1, k2), the group's digest g and the prefix of every row."""
+    """doc_id, n, the set's digest (k1, k2) and sample, the group's digest g and prefix of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest, xxh3_128_intdigest
 
         shingler = Shingler()
         for ids, texts in _texts(batches, 0, 1):
-            rows, prefixes = [], []
+            rows, prefixes, samples = [], [], []
             for doc_id, text in zip(ids, texts):
                 found = shingler.shingles(text)
+                samples.append(sample(found))
                 first = ordered(found, classes)[: prefix_length(len(found), percent)] if len(found) else found
                 key = xxh3_128_intdigest(found.tobytes())
                 rows.append((doc_id, len(found), _signed(key >> 64), _signed(key & (1 << 64) - 1),
@@ -153,10 +174,11 @@ def signatures(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
             ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
             columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*prefixes, np.zeros(0, np.int64)]))))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "k1", "k2", "g", "prefix"])
+            columns.append(pa.array(samples, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "k1", "k2", "g", "prefix", "sample"])
 
     fields = [field(name, LONG) for name in ("doc_id", "n", "k1", "k2", "g")]
-    return documents(docs).mapInArrow(run, StructType([*fields, field("prefix", ArrayType(LONG))]))
+    return documents(docs).mapInArrow(run, StructType([*fields, field("prefix", ArrayType(LONG)), field("sample", BinaryType())]))
 
 
 def shared_postings(postings: DataFrame) -> DataFrame:
@@ -224,7 +246,7 @@ def _needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and whole shingle set of the documents in ``ids``."""
+    """doc_id and whole shingle set of the documents in ``ids``, and of a few others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for keys, texts in _texts(batches, 0, 1):
@@ -234,8 +256,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
                 names=["doc_id", "shingles"])
 
-    made = _needed(docs, ids).mapInArrow(run, StructType([field("doc_id", LONG), field("shingles", ArrayType(LONG))]))
-    return made.join(ids, "doc_id", "left_semi")
+    return _needed(docs, ids).mapInArrow(run, StructType([field("doc_id", LONG), field("shingles", ArrayType(LONG))]))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -250,11 +271,11 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         both * (100 + percent) >= (F.size("_sa") + F.size("_sb")) * percent).select("a", "b"), "links")
 
 
-def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     classes = common_classes(docs)
     signed = materialise(signatures(docs, classes, percent), "signatures")
-    real, rows = signed.where("n > 0 and doc_id is not null"), signed.drop("prefix")
+    real, rows = signed.where("n > 0 and doc_id is not null"), signed.drop("prefix", "sample")
     # equal sets are one class, classes of equal prefix and size one group; both named by their least doc_id
     sets = real.groupBy("k1", "k2", "n", "g").agg(F.min("doc_id").alias("rep"))
     heads = sets.groupBy("g", "n").agg(F.min("rep").alias("head"), F.count("*").alias("members"))
@@ -263,17 +284,13 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS
     postings = grouped.select(F.posexplode("prefix").alias("pos", "token"), "n", "head").select(
         "token", "head", F.col("n").cast("int").alias("n"), "pos")
     shared = materialise(shared_postings(postings), "postings")
+    samples = real.select("doc_id", "sample")
 
-    found: DataFrame | None = None
-    labels: DataFrame | None = None
-    for number in range(star_rounds):
-        pairs = _stars(shared, labels, number, percent)
-        if number == 0:
-            pairs = pairs.union(members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")))
-        new = verified(docs, pairs, percent)
-        found = new if found is None else found.union(new)
-        labels = materialise(components(found), "labels")
-    found = found.union(verified(docs, _between(shared, members, labels, percent), percent))
+    inside = members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
+    found = verified(docs, _stars(shared, samples, percent).union(inside), percent)
+    labels = materialise(components(found), "labels")
+    rest = _alike(_between(shared, members, labels, percent), samples).select("a", "b")
+    found = found.union(verified(docs, rest, percent))
     labels = materialise(components(found), "labels")
 
     near = sets.select("k1", "k2", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -283,9 +300,7 @@ def join(docs: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
-def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return shared.withColumn("component", F.col("head"))
+def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return shared.join(labels.withColumnRenamed("node", "head"), "head", "left").withColumn(
         "component", F.coalesce("component", "head"))
 
@@ -295,20 +310,44 @@ def _size_class(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) * 1.0001).cast("int")
 
 
-def _stars(shared: DataFrame, labels: DataFrame | None, number: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of each posting with the centre of its token and size class: for every b the a it meets most."""
-    rows = _labelled(shared, labels).withColumn("size_class", _size_class(F.col("n"), percent))
+def _alike(pairs: DataFrame, samples: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose samples agree in a third of the bins that either has, with that number of agreeing bins."""
+    both = pairs.join(samples.select(F.col("doc_id").alias("a"), F.col("sample").alias("_sa")), "a").join(
+        samples.select(F.col("doc_id").alias("b"), F.col("sample").alias("_sb")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
+                used = ((x > 0) | (y > 0)).sum(axis=1)
+                agree = ((x == y) & (x > 0)).sum(axis=1)
+                # few bins tell little: small sets are all verified
+                keep = (agree * 3 >= used) | (used < BINS * 3 // 4)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(agree, pa.int64())], names=["a", "b", "agree"]).filter(pa.array(keep))
+
+    # repeated ids have more than one sample: the pair may be kept twice
+    return both.select("a", "b", "_sa", "_sb").mapInArrow(run, "a long, b long, agree long")
+
+
+def _stars(shared: DataFrame, samples: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a posting with the centre of its token and size class: for every b the STAR_PAIRS most alike.
+
+    Each token picks CENTRES of its own, so a document meets up to that many
+    others for each shared token, however large its group.
+    """
+    rows = shared.withColumn("size_class", _size_class(F.col("n"), percent))
     key = ["token", "size_class"]
-    first = F.struct(
-        (F.col("n") if number == 0 else F.lit(0)).alias("n0"), F.xxhash64("head", F.lit(number)).alias("h"),
-        F.col("head").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
-    centres = rows.groupBy(*key).agg(F.min(first).alias("c"), F.count("*").alias("size")).where("size > 1").select(*key, "c.*")
+    picked = Window.partitionBy(*key).orderBy(F.xxhash64("head", "token"), "head")
+    centres = rows.withColumn("place", F.row_number().over(picked)).where(F.col("place") <= CENTRES).select(
+        *key, F.col("head").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     met = (
-        rows.join(centres, key).where(F.col("component") != F.col("ca"))
+        rows.join(centres, key).where(F.col("head") != F.col("a"))
         .where(_passes(F.col("na"), F.col("pa"), F.col("n"), F.col("pos"), percent))
-        .groupBy("a", F.col("head").alias("b")).agg(F.count("*").alias("times"))
+        .select("a", F.col("head").alias("b")).distinct()
     )
-    return met.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    best = Window.partitionBy("b").orderBy(F.desc("agree"), "a")
+    return _alike(met, samples).withColumn("place", F.row_number().over(best)).where(F.col("place") <= STAR_PAIRS).select("a", "b")
 
 
 def _between(shared: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
