@@ -11,7 +11,7 @@ from llm.common import documents, need, table
 MIX = {"src0": 0.2, "src1": 0.1, "src2": 0.1, "src3": 0.1, "other": 0.5}
 MIX_BLOCK_ROWS = 16
 SHARD_WEIGHTS = [1.0] * 16
-TOXIC_FROM = 0.5
+TOXIC_FROM = toxicity.REJECT
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

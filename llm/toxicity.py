@@ -19,6 +19,7 @@ ValueError.  An empty table to score gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,10 +34,13 @@ ENDS = ".,;:!?\"'()[]{}<>*#$%&|"
 STEMS = (4, 5, 6)
 GRADES = 4
 MOST_ROWS, MOST_FEATURES = 20_000, 4_096
-#: Least (toxic documents with the feature) x ln(ratio): below it, chance finds such features among many.
-LEAST_EVIDENCE = 25
+#: Least (toxic documents with the feature) x ln(ratio), to which twice the ln of the number of labelled documents
+#: is added: the more documents, the more features are there, and the more of them are common by chance.
+LEAST_EVIDENCE = 3
 #: Marker words that make a labelled document grade 2 and 3.
 GRADE_MARKERS = (3, 8)
+#: Expected grade from which a document counts as toxic.
+REJECT = 0.3
 CACHE_WORDS = 500_000
 
 
@@ -141,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_fea
              F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean_docs"))
         .withColumn("ratio", ((toxic + 0.5) / (totals[1] + 1)) / ((clean + 0.5) / (totals[0] + 1)))
         .withColumn("evidence", toxic * F.log("ratio"))
-        .where((F.col("evidence") >= LEAST_EVIDENCE) & (F.col("ratio") >= 3))
+        .where((F.col("evidence") >= LEAST_EVIDENCE + 2 * math.log(sum(totals.values()))) & (F.col("ratio") >= 3))
         .orderBy(F.desc("evidence"), "feature").limit(most_features)
         .select("feature", "ratio").collect()
     )
@@ -172,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_fea
 
 
 def fit_cumulative(index: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, n_features: int,
-                   n_grades: int, steps: int = 400, rate: float = 0.1, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+                   n_grades: int, steps: int = 400, rate: float = 0.1, ridge: float = 5e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by full-batch Adam on the log-likelihood.
 
     Thresholds are a first value and positive gaps, so they stay ordered.
@@ -204,7 +208,7 @@ def fit_cumulative(index: list[np.ndarray], values: list[np.ndarray], grades: np
         by_threshold = by_threshold[1:-1]
         tails = by_threshold[::-1].cumsum()[::-1]
         gradient = np.concatenate([
-            np.bincount(column, x * by_score[row], n_features) + ridge * weights / max(1, n_features) * 10,
+            np.bincount(column, x * by_score[row], n_features) + ridge * weights,
             [tails[0]], tails[1:] * gaps])
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient ** 2
@@ -213,7 +217,7 @@ def fit_cumulative(index: list[np.ndarray], values: list[np.ndarray], grades: np
     return parameters[:n_features], parameters[n_features] + np.concatenate([[0.0], np.cumsum(gaps)])
 
 
-def score(docs: DataFrame, model: Model, reject: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: Model, reject: float = REJECT) -> DataFrame:
     """``docs`` with severity (expected grade), grade (the likeliest) and toxic (severity >= ``reject``)."""
     def make():
         counter = Counter(model.numbers)
