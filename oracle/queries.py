@@ -468,7 +468,8 @@ def _documented(view: str, name: str, place: int) -> str:
     )
     return f"""
     select '{view}' as feature_view_name, '{name}' as column_name, {place} as ordinal_position, '{role}' as feature_role,
-           round(count(*) filter (where {source} is null)::double / count(*), 6) as null_rate, {extremes} from {view}_{{s}}"""
+           round(count(*) filter (where {source} is null)::double / count(*), 6) as null_rate,
+           count(distinct {source}) as distinct_values, {extremes} from {view}_{{s}}"""
 
 
 def _registered(view: str) -> str:

@@ -122,17 +122,30 @@ class Lab:
         return features.user_item_features(self.user_items)
 
     @cached_property
+    def stored_pairs(self) -> DataFrame:
+        return materialise(self.pairs, "pairs")
+
+    @cached_property
+    def stored_user_view(self) -> DataFrame:
+        return materialise(features.user_features(features.mart_user_features(self.stored_pairs)), "users")
+
+    @cached_property
+    def stored_item_view(self) -> DataFrame:
+        items = curation.curated_items(self.stored_pairs, self.stored_metadata)
+        return materialise(features.item_features(features.mart_item_features(items)), "items")
+
+    @cached_property
+    def stored_user_item_view(self) -> DataFrame:
+        user_items = curation.curated_user_items(self.stored_pairs, self.stored_metadata)
+        return materialise(features.user_item_features(user_items), "user-items")
+
+    @property
     def stored_views(self) -> dict[str, DataFrame]:
         """The feature views as the tables that retrieval and reports read."""
-        pairs = materialise(self.pairs, "pairs")
-        metadata = self.stored_metadata
-        items = curation.curated_items(pairs, metadata)
         return {
-            "user_features": materialise(features.user_features(features.mart_user_features(pairs)), "users"),
-            "item_features": materialise(features.item_features(features.mart_item_features(items)), "items"),
-            "user_item_features": materialise(
-                features.user_item_features(curation.curated_user_items(pairs, metadata)), "user-items"
-            ),
+            "user_features": self.stored_user_view,
+            "item_features": self.stored_item_view,
+            "user_item_features": self.stored_user_item_view,
         }
 
     @cached_property
@@ -433,9 +446,11 @@ def content_examples(lab: Lab) -> DataFrame:
 def active_user_recommendations(lab: Lab) -> DataFrame:
     """Both models for the default active users, in the common schema."""
     users = materialise(serving.active_users(lab.user_view), "users")
+    theirs = lab.interactions.join(users.select("user_id"), "user_id", "left_semi")
+    history = materialise(serving.full_history(theirs), "history")
     return stack(
-        serving.recommend_popularity(users, lab.history, lab.popularity_model),
-        serving.recommend_content(users, lab.history, lab.stored_metadata, lab.content_model),
+        serving.recommend_popularity(users, history, lab.popularity_model),
+        serving.recommend_content(users, history, lab.stored_metadata, lab.content_model),
     )
 
 
@@ -449,7 +464,7 @@ def feature_retrieval(lab: Lab) -> DataFrame:
 
 
 def feature_point_lookup(lab: Lab) -> DataFrame:
-    source = lab.stored_views["user_item_features"]
+    source = materialise(lab.user_item_view, "user-items")
     pair = registry.sample_pair(source).first()
     return registry.point_lookup(source, registry.USER_ITEM_VIEW, user_id=pair["user_id"], item_id=pair["item_id"])
 
@@ -481,17 +496,12 @@ def feature_documentation(lab: Lab) -> DataFrame:
     """Every column with role and exact statistics; extremes of whole numbers and text."""
     comparable_type = F.col("data_type").isin("bigint", "int", "string")
     return registry.feature_documentation(lab.spark, lab.stored_views).select(
-        "feature_view_name", "column_name", "ordinal_position", "feature_role", "null_rate",
+        "feature_view_name", "column_name", "ordinal_position", "feature_role", "null_rate", "distinct_values",
         F.when(comparable_type, F.col("min_value")).alias("min_value"),
         F.when(comparable_type, F.col("max_value")).alias("max_value"),
     )
 
 
-def feature_statistics(lab: Lab) -> DataFrame:
-    """The whole documentation, with types and estimated distinct counts."""
-    return registry.feature_documentation(lab.spark, lab.stored_views)
-
-
 # --- comparison and reports ---------------------------------------------------------
 
 def _comparison(lab: Lab) -> DataFrame:
@@ -679,7 +689,7 @@ _ON_ORDERS = (
     active_users, popularity_recommendations, content_candidates, user_profiles, content_recommendations,
     content_metrics, content_summary, content_examples, popularity_metrics_sampled, content_metrics_sampled,
     popularity_recommendations_head, content_recommendations_head, active_user_recommendations,
-    feature_retrieval, feature_point_lookup, sample_pair, retrieval_summary, registry_summary, feature_documentation, feature_statistics,
+    feature_retrieval, feature_point_lookup, sample_pair, retrieval_summary, registry_summary, feature_documentation,
     model_comparison, metric_matrix, inference_summary, report_merge,
     landing_manifest, landing_fingerprints, landed_delta_rows, latest_partition_rows, ingest_counters,
     raw_quality_report, payload_records, table_inventory,

@@ -209,7 +209,11 @@ def quality_report(spark: SparkSession, datasets: Mapping[str, DataFrame]) -> Da
             counters, checks = _dataset_rules(name, df, datasets)
             parts.append(report_rows(name, counters, presence_checks(name, df) + checks))
     needed = ("events", "item_category_latest", "item_availability_latest")
-    if all(name in datasets for name in needed):
+    absent = [name for name in needed if datasets.get(name) is None]
+    if absent:
+        missing = f"Missing dataset: {', '.join(absent)}"
+        parts.append(spark.createDataFrame([("referential_coverage", "file_exists", FAIL, missing)], QUALITY_ROW))
+    else:
         parts.append(coverage_report(metadata_coverage(*[datasets[name] for name in needed])))
     return reduce(DataFrame.unionByName, parts)
 

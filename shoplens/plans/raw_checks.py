@@ -14,7 +14,7 @@ from shoplens.schemas import DELTA_RECORD, QUALITY_ROW
 from shoplens.session import path_exists
 from shoplens.sinks.landing import ingest_state
 from shoplens.sources.landing import latest_stamp, read_manifest, read_type, response_type, type_path
-from shoplens.sources.payloads import parse_payloads
+from shoplens.sources.payloads import DATA_CONTRACT, DATA_KEYS, parse_payloads
 
 DELTA_DATASET = "raw_api_item_properties_delta"
 STAMP_PATTERN = r"^\d{8}_\d{6}$"
@@ -81,6 +81,11 @@ def response_checks(raw: DataFrame, manifest: DataFrame) -> DataFrame:
     ``raw``: value (response text), ingestion_timestamp.
     """
     parsed = parse_payloads(raw.select(F.col("value").alias("body"), "ingestion_timestamp"))
+    # landing accepts a data response without counters; the check does not
+    absent = F.array_except(F.array(*map(F.lit, DATA_KEYS)), "response_keys")
+    incomplete = (F.col("api_contract") == DATA_CONTRACT) & (F.size(absent) > 0)
+    parsed = parsed.withColumn("problem", F.coalesce(
+        "problem", F.when(incomplete, F.concat(F.lit("missing keys: "), F.array_join(absent, ", ")))))
     per_partition = parsed.groupBy("ingestion_timestamp").agg(
         F.min("problem").alias("problem"),
         F.max("api_contract").alias("contract"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -125,9 +125,21 @@ def _view_summary(spark: SparkSession, view: FeatureView, df: DataFrame | None)
     )
 
 
-def registry_summary(spark: SparkSession, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per registered view; a view without a source is marked as such."""
-    return reduce(DataFrame.unionByName, [_view_summary(spark, view, sources.get(view.name)) for view in VIEWS])
+def registry_summary(
+    spark: SparkSession, sources: Mapping[str, DataFrame], views: Sequence[FeatureView] | None = None
+) -> DataFrame:
+    """One row per view, by default the registered ones; a view without a source is marked as such."""
+    return reduce(
+        DataFrame.unionByName, [_view_summary(spark, view, sources.get(view.name)) for view in (views or VIEWS)]
+    )
+
+
+def distinct_values(df: DataFrame) -> DataFrame:
+    """column_name, distinct_values: exact, for all columns with one shuffle of the distinct (column, value) pairs."""
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")) for name in df.columns
+    ])))
+    return values.where("value is not null").distinct().groupBy("column_name").agg(F.count("*").alias("distinct_values"))
 
 
 def _view_documentation(spark: SparkSession, view: FeatureView, df: DataFrame | None) -> DataFrame:
@@ -144,7 +156,6 @@ def _view_documentation(spark: SparkSession, view: FeatureView, df: DataFrame |
     statistics = df.agg(*[
         F.struct(
             F.when(count > 0, F.count_if(F.col(name).isNull()) / count).alias("null_rate"),
-            F.approx_count_distinct(name).alias("distinct_values"),
             F.min(name).cast("string").alias("min_value"),
             F.max(name).cast("string").alias("max_value"),
         ).alias(name)
@@ -154,15 +165,20 @@ def _view_documentation(spark: SparkSession, view: FeatureView, df: DataFrame |
     per_column = statistics.select(
         F.inline(F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(f"{name}.*")) for name in df.columns]))
     )
-    return schema_rows(spark, view, df).join(per_column, "column_name").select(
+    known = schema_rows(spark, view, df).join(per_column, "column_name").join(distinct_values(df), "column_name", "left")
+    return known.withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0))).select(
         *_described(view), F.lit(True).alias("source_exists"), "column_name", "ordinal_position", "data_type",
         "feature_role", "null_rate", "distinct_values", "min_value", "max_value", *_explained(view),
     )
 
 
-def feature_documentation(spark: SparkSession, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per column of every view, with role and measured statistics."""
-    return reduce(DataFrame.unionByName, [_view_documentation(spark, view, sources.get(view.name)) for view in VIEWS])
+def feature_documentation(
+    spark: SparkSession, sources: Mapping[str, DataFrame], views: Sequence[FeatureView] | None = None
+) -> DataFrame:
+    """One row per column of every view, by default the registered ones, with role and measured statistics."""
+    return reduce(
+        DataFrame.unionByName, [_view_documentation(spark, view, sources.get(view.name)) for view in (views or VIEWS)]
+    )
 
 
 def point_lookup(source: DataFrame, view: FeatureView, columns: list[str] | None = None, **entity: int) -> DataFrame:

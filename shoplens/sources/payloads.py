@@ -8,6 +8,8 @@ from shoplens.constants import API_SOURCE
 from shoplens.schemas import PAYLOAD
 
 DATA_CONTRACT = "data_contract"
+# fixed values: the keys of a complete data response
+DATA_KEYS = ("success", "data", "count", "total_rows", "unread_rows")
 RECORDS_CONTRACT = "records_contract"
 
 
