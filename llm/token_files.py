@@ -27,7 +27,8 @@ from llm.common import LONG, SLICE, STRING, documents, field, materialise, scrat
 
 MAGIC = b"FRB1"
 #: Tokens after which a task starts its next file; a longer document has a file of its own.
-FILE_TOKENS = 4_000_000
+FILE_TOKENS = 2_000_000
+#: Words in each of two generations that a Python worker remembers.
 CACHE_WORDS = 300_000
 
 #: Byte lengths of the four values that a control byte describes.
@@ -61,12 +62,47 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
-def file_bytes(ids: list[int | None], counts: list[int], ranks: np.ndarray) -> bytes:
-    control, data = pack(ranks)
-    head = struct.pack("<4sQQQQ", MAGIC, len(ids), len(ranks), len(control), len(data))
-    known = np.array([value is not None for value in ids], np.uint8)
-    return b"".join([head, np.array([value or 0 for value in ids], "<i8").tobytes(), known.tobytes(),
-                     np.array(counts, "<u8").tobytes(), control, data])
+class Packed:
+    """Values packed as they come, some at a time; whole control bytes but for the last."""
+
+    SOME = 1 << 17
+
+    def __init__(self) -> None:
+        self.control, self.data, self.waiting, self.size = bytearray(), bytearray(), [], 0
+
+    def add(self, values: np.ndarray) -> None:
+        self.waiting.append(values)
+        self.size += len(values)
+        if sum(map(len, self.waiting)) >= self.SOME:
+            self._pack(4)
+
+    def _pack(self, multiple: int) -> None:
+        values = np.concatenate([*self.waiting, np.zeros(0, np.uint32)])
+        whole = len(values) - len(values) % multiple
+        for start in range(0, whole, self.SOME):
+            control, data = pack(values[start: min(whole, start + self.SOME)])
+            self.control += control
+            self.data += data
+        self.waiting = [values[whole:]]
+
+    def file(self, ids: list[int | None], counts: list[int]) -> bytes:
+        self._pack(1)
+        head = struct.pack("<4sQQQQ", MAGIC, len(ids), self.size, len(self.control), len(self.data))
+        known = np.array([value is not None for value in ids], np.uint8)
+        return b"".join([head, np.array([value or 0 for value in ids], "<i8").tobytes(), known.tobytes(),
+                         np.array(counts, "<u8").tobytes(), self.control, self.data])
+
+
+def unpack_some(control: bytes, data: bytes, count: int, some: int = 1 << 17) -> np.ndarray:
+    """As ``unpack``, with the work arrays of ``some`` values only (a multiple of four)."""
+    out, at = np.zeros(count, np.uint32), 0
+    for start in range(0, count, some):
+        n = min(some, count - start)
+        codes = control[start // 4: (start + n + 3) // 4]
+        size = int(LENGTHS[np.frombuffer(codes, np.uint8)].ravel()[:n].sum())
+        out[start: start + n] = unpack(codes, data[at: at + size], n)
+        at += size
+    return out
 
 
 def read_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -79,7 +115,7 @@ def read_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
     known = np.frombuffer(content, np.uint8, n, at + 8 * n)
     counts = np.frombuffer(content, "<u8", n, at + 9 * n).astype(np.int64)
     at += 17 * n
-    ranks = unpack(content[at: at + controls], content[at + controls: at + controls + size], tokens)
+    ranks = unpack_some(content[at: at + controls], content[at + controls: at + controls + size], tokens)
     return [int(i) if k else None for i, k in zip(ids, known)], counts, ranks
 
 
@@ -87,26 +123,64 @@ class Words(dict):
     """Ids of a text by the tokenizers library; remembers the parts between spaces.
 
     The vocabulary drops white space and never joins what stands on both
-    sides of a space, so the parts may be encoded apart.
+    sides of a space, so the parts may be encoded apart.  New parts are
+    encoded together, with a mark between them, as one call costs much more
+    than one word.  The mark's last character ends no other part's bytes.
     """
 
+    MARK, TOGETHER = "\ue000", 2_000
+
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}  # what was known before the last CACHE_WORDS words
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
+        self.mark = self._ids(self.MARK)
+
+    @classmethod
+    def of_worker(cls, definition: str) -> Words:
+        """The words that this Python worker has learned in earlier tasks, of the same vocabulary."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_words_of_worker", {})
+        if definition not in kept:
+            kept.clear()
+            kept[definition] = cls(definition)
+        return kept[definition]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn(self, parts: list[str]) -> None:
+        plain = [part for part in parts if self.MARK not in part]
+        for part in parts:
+            if self.MARK in part:
+                self[part] = self._ids(part).tobytes()
+        for start in range(0, len(plain), self.TOGETHER):
+            some = plain[start: start + self.TOGETHER]
+            ids = self._ids(f" {self.MARK} ".join(some))
+            hit = np.ones(max(0, len(ids) - len(self.mark) + 1), bool)
+            for k, value in enumerate(self.mark):
+                hit &= ids[k: k + len(hit)] == value
+            ends = [*np.flatnonzero(hit).tolist(), len(ids)]
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary does not keep the mark apart")
+            at = 0
+            for part, end in zip(some, ends):
+                self[part] = ids[at:end].tobytes()
+                at = end + len(self.mark)
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Packed unsigned 32-bit ids of each text, with the end id."""
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
         cut = [text.split(" ") if text else [] for text in texts]
-        new = list({part for parts in cut for part in parts if part not in self})
-        for start in range(0, len(new), 10_000):
-            some = new[start: start + 10_000]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[part] = np.array(found.ids, "<u4").tobytes()
+        missing = {part for parts in cut for part in parts if part not in self}
+        self.learn([part for part in missing if part not in self.older])
+        self.update((part, self.older[part]) for part in missing if part in self.older)
         last = struct.pack("<I", end)
         return [b"".join([*map(self.__getitem__, parts), last]) for parts in cut]
 
@@ -114,7 +188,7 @@ class Words(dict):
 def token_counts(docs: DataFrame, definition: str, end: int) -> DataFrame:
     """(id, n) over all texts: each task adds up its own, then tasks are summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = Words(definition), np.zeros(1 << 16, np.int64)
+        words, total = Words.of_worker(definition), np.zeros(1 << 16, np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 packed = b"".join(words.encode(batch.column(0).slice(start, SLICE).to_pylist(), end))
@@ -150,31 +224,29 @@ def write(docs: DataFrame, definition: str, end: int, folder: str, file_tokens:
         from pyarrow import fs
 
         files, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
-        words = Words(definition)
+        words = Words.of_worker(definition)
         task, number = TaskContext.get().partitionId(), 0
-        ids, counts, parts, tokens = [], [], [], 0
+        ids, counts, packed = [], [], Packed()
 
         def flush() -> pa.RecordBatch:
-            ranks = rank_of[np.frombuffer(b"".join(parts), "<u4")]
             name = f"part-{task:06d}-{number:06d}-{uuid.uuid4().hex}.ids"
             files.create_dir(f"{root}/files", recursive=True)
             with files.open_output_stream(f"{root}/files/{name}") as out:
-                out.write(file_bytes(ids, counts, ranks))
-            row = {"name": [name], "task": [task], "number": [number], "n_docs": [len(ids)], "n_tokens": [tokens]}
+                out.write(packed.file(ids, counts))
+            row = {"name": [name], "task": [task], "number": [number], "n_docs": [len(ids)], "n_tokens": [packed.size]}
             return pa.RecordBatch.from_pydict(row, schema=pa.schema(
                 [("name", pa.string()), *((k, pa.int64()) for k in ("task", "number", "n_docs", "n_tokens"))]))
 
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
-                for doc_id, packed in zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist(), end)):
-                    if ids and tokens + len(packed) // 4 > file_tokens:
+                for doc_id, own in zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist(), end)):
+                    if ids and packed.size + len(own) // 4 > file_tokens:
                         yield flush()
-                        number, ids, counts, parts, tokens = number + 1, [], [], [], 0
+                        number, ids, counts, packed = number + 1, [], [], Packed()
                     ids.append(doc_id)
-                    counts.append(len(packed) // 4)
-                    parts.append(packed)
-                    tokens += len(packed) // 4
+                    counts.append(len(own) // 4)
+                    packed.add(rank_of[np.frombuffer(own, "<u4")])
         if ids:
             yield flush()
 

@@ -82,9 +82,29 @@ def test_packed_values_round_trip():
         control, data = token_files.pack(values)
         assert len(control) == 251
         assert (token_files.unpack(control, data, 1001) == values).all()
+        assert (token_files.unpack_some(control, data, 1001, 64) == values).all()
+        packed = token_files.Packed()
+        packed.SOME = 100
+        for start in range(0, 1001, 7):
+            packed.add(values[start: start + 7])
+        ids, counts, back = token_files.read_file(packed.file([None, 5], [1000, 1]))
+        assert ids == [None, 5] and counts.tolist() == [1000, 1] and (back == values).all()
     assert len(token_files.unpack(b"", b"", 0)) == 0
 
 
+def test_parts_encoded_together_are_as_apart():
+    rng = random.Random(9)
+    definition = open(P.path("word_bpe_49k.json"), encoding="utf-8").read()
+    tokenizer = Tokenizer.from_str(definition)
+    tokenizer.encode_special_tokens = True
+    alphabet = "aAeb tT  \n\t\x85\xa0'sdm019.,!?-é ñß́日本\U0001f600_%$#'\ue000\ue001ΣΑ"
+    texts = ["".join(rng.choice(alphabet) for _ in range(n)) for n in [0, 1, 2, 5, 20, 90] * 80]
+    words = token_files.Words(definition)
+    words.TOGETHER = 50
+    for text, packed in zip(texts, words.encode(texts, 1)):
+        assert np.frombuffer(packed, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1], repr(text)
+
+
 def _wanted(pairs):
     tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     tokenizer.encode_special_tokens = True
@@ -118,7 +138,7 @@ def test_small_files_hold_the_same_ids(make_docs, spark, tmp_path):
     manifest = token_files.write(make_docs(pairs), definition, 1, str(tmp_path / "out"), file_tokens=20)
     assert manifest.count() > 20
     # a file of a task that was given up is not read
-    (tmp_path / "out/files/part-000000-000000-lost.ids").write_bytes(token_files.file_bytes([1], [1], np.array([0])))
+    (tmp_path / "out/files/part-000000-000000-lost.ids").write_bytes(token_files.Packed().file([1], [0]))
     got = token_files.read(spark, str(tmp_path / "out"), manifest).orderBy("doc_id").collect()
     want = _wanted(pairs)
     assert [(r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in got] == want
