@@ -93,7 +93,9 @@ def schedule(docs: DataFrame, weights: Mapping[str, float], block_rows: int, per
     at = F.expr("case stream " + " ".join(f"when '{_quoted(n)}' then {k}" for k, n in enumerate(names)) + " end")
     share = F.expr("case stream " + " ".join(f"when '{_quoted(n)}' then {parts[n]}" for n in names) + " end").cast("long")
     block = F.col("block")
-    cycle = F.expr("__n_cycle")
+    # the fold runs once, not once a row; its result has one number per slot of the period
+    slots = docs.sparkSession.range(1).select(period_slots([parts[n] for n in names])).first()[0]
+    slots_of = F.expr("array(" + ", ".join(f"array({', '.join(map(str, own))})" for own in slots) + ")")
     return (
         rows.withColumn("block", F.expr(f"__n_row div {block_rows}"))
         .withColumn("block_offset", F.col("__n_row") % block_rows)
@@ -101,8 +103,7 @@ def schedule(docs: DataFrame, weights: Mapping[str, float], block_rows: int, per
         .withColumn("release", F.expr(f"(block * {period}) div __n_share"))
         .withColumn("deadline", F.expr(f"(block * {period} + {period} + __n_share - 1) div __n_share"))
         .withColumn("__n_cycle", F.expr("block div __n_share"))
-        .withColumn("slot", cycle * period + F.get(F.get(period_slots([parts[n] for n in names]), at),
-                                                   (block % F.col("__n_share")).cast("int")))
+        .withColumn("slot", F.col("__n_cycle") * period + F.get(F.get(slots_of, at), (block % F.col("__n_share")).cast("int")))
         .drop("__n_row", "__n_share", "__n_cycle")
     )
 
