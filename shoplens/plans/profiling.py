@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplens.constants import (
     CLIP_QUANTILE,
@@ -25,10 +25,6 @@ PROFILE_COLUMNS = (
 )
 
 
-def _distinct(name: str, approximate: bool):
-    return F.approx_count_distinct(name) if approximate else F.count_distinct(name)
-
-
 def _with_instants(profile: DataFrame) -> DataFrame:
     return profile.withColumns({
         "min_timestamp_datetime": instant("min_timestamp_ms"),
@@ -36,55 +32,79 @@ def _with_instants(profile: DataFrame) -> DataFrame:
     })
 
 
+def _measured(
+    raw: DataFrame, by: list[str], keys: dict[str, str], sums: dict[str, Column], span: str | None, approximate: bool
+) -> DataFrame:
+    """Sums, an optional time span and distinct counts of several columns per group.
+
+    ``keys``: result name to column. Exact counts first reduce the rows to
+    groups of all keys with their sums; each group then gives one row per
+    key column, and the keys are counted after one more reduction. So no raw
+    row is copied per distinct count, and no group is counted in one task.
+    """
+    spans = {"min_timestamp_ms": F.min, "max_timestamp_ms": F.max} if span else {}
+    if approximate:
+        return raw.groupBy(*by).agg(
+            *[value.alias(name) for name, value in sums.items()],
+            *[F.approx_count_distinct(column).alias(name) for name, column in keys.items()],
+            *[end(span).alias(name) for name, end in spans.items()],
+        )
+    columns = list(keys.values())
+    reduced = raw.groupBy(*by, *columns).agg(
+        *[value.alias(name) for name, value in sums.items()], *[end(span).alias(name) for name, end in spans.items()]
+    )
+
+    def entry(place: int, column: str) -> Column:
+        kept = [(F.col(name) if place == 0 else F.lit(0).cast("bigint")).alias(name) for name in sums]
+        return F.struct(F.lit(place).alias("_kind"), F.col(column).cast("string").alias("_key"), *kept, *map(F.col, spans))
+
+    listed = reduced.select(*by, F.inline(F.array(*[entry(place, column) for place, column in enumerate(columns)])))
+    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums]
+    ends = [end(name).alias(name) for name, end in spans.items()]
+    counts = [
+        F.count_if((F.col("_kind") == place) & F.col("_key").isNotNull()).alias(name) for place, name in enumerate(keys)
+    ]
+    return listed.groupBy(*by, "_kind", "_key").agg(*totals, *ends).groupBy(*by).agg(*totals, *counts, *ends)
+
+
 def profile_events(raw: DataFrame, approximate: bool = False) -> DataFrame:
     """Global profile; ``approximate`` trades exact distinct counts for one pass."""
-    return _with_instants(
-        raw.agg(
-            F.count("*").alias("row_count"),
-            _distinct("visitorid", approximate).alias("distinct_visitors"),
-            _distinct("itemid", approximate).alias("distinct_items"),
-            F.min("timestamp").alias("min_timestamp_ms"),
-            F.max("timestamp").alias("max_timestamp_ms"),
-            F.count("transactionid").alias("rows_with_transaction_id"),
-            F.count_if(F.col("transactionid").isNull()).alias("rows_without_transaction_id"),
-        )
+    sums = {
+        "row_count": F.count("*"),
+        "rows_with_transaction_id": F.count("transactionid"),
+        "rows_without_transaction_id": F.count_if(F.col("transactionid").isNull()),
+    }
+    keys = {"distinct_visitors": "visitorid", "distinct_items": "itemid"}
+    return _with_instants(_measured(raw, [], keys, sums, "timestamp", approximate)).select(
+        "row_count", "distinct_visitors", "distinct_items", "min_timestamp_ms", "max_timestamp_ms",
+        "rows_with_transaction_id", "rows_without_transaction_id", "min_timestamp_datetime", "max_timestamp_datetime",
     )
 
 
 def event_type_summary(raw: DataFrame, approximate: bool = False) -> DataFrame:
+    sums = {"row_count": F.count("*"), "rows_with_transaction_id": F.count("transactionid")}
+    keys = {"distinct_visitors": "visitorid", "distinct_items": "itemid"}
     return (
-        raw.groupBy("event")
-        .agg(
-            F.count("*").alias("row_count"),
-            _distinct("visitorid", approximate).alias("distinct_visitors"),
-            _distinct("itemid", approximate).alias("distinct_items"),
-            F.count("transactionid").alias("rows_with_transaction_id"),
-        )
+        _measured(raw, ["event"], keys, sums, None, approximate)
+        .select("event", "row_count", "distinct_visitors", "distinct_items", "rows_with_transaction_id")
         .orderBy(F.col("row_count").desc(), F.col("event").asc_nulls_last())
     )
 
 
 def profile_properties(raw: DataFrame, approximate: bool = False) -> DataFrame:
-    return _with_instants(
-        raw.agg(
-            F.count("*").alias("row_count"),
-            _distinct("itemid", approximate).alias("distinct_items"),
-            _distinct("property", approximate).alias("distinct_properties"),
-            F.min("timestamp").alias("min_timestamp_ms"),
-            F.max("timestamp").alias("max_timestamp_ms"),
-            F.count_if(F.col("value").isNull()).alias("null_value_rows"),
-        )
+    sums = {"row_count": F.count("*"), "null_value_rows": F.count_if(F.col("value").isNull())}
+    keys = {"distinct_items": "itemid", "distinct_properties": "property"}
+    return _with_instants(_measured(raw, [], keys, sums, "timestamp", approximate)).select(
+        "row_count", "distinct_items", "distinct_properties", "min_timestamp_ms", "max_timestamp_ms", "null_value_rows",
+        "min_timestamp_datetime", "max_timestamp_datetime",
     )
 
 
 def top_properties(raw: DataFrame, limit: int = TOP_PROPERTY_LIMIT, approximate: bool = False) -> DataFrame:
+    keys = {"distinct_items": "itemid", "distinct_values": "value"}
     return (
-        raw.groupBy("property")
-        .agg(
-            F.count("*").alias("row_count"),
-            _distinct("itemid", approximate).alias("distinct_items"),
-            _distinct("value", approximate).alias("distinct_values"),
-        )
+        _measured(raw, ["property"], keys, {"row_count": F.count("*")}, None, approximate)
+        .select("property", "row_count", "distinct_items", "distinct_values")
         .orderBy(F.col("row_count").desc(), F.col("property").asc_nulls_last())
         .limit(limit)
     )

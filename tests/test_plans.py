@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.constants import DAY_MS
-from shoplens.plans import content, curation, latest, popularity, split
+from shoplens.plans import content, curation, latest, popularity, profiling, split
 from shoplens.operators.ranking import rank_all
 from shoplens.sinks.tables import LayerStore
 
@@ -123,3 +123,17 @@ def test_hot_item_is_split_by_adaptive_skew_handling(plain_joins, store):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_profiles_copy_no_raw_row_per_distinct_count(spark):
+    raw = spark.range(100).select(
+        F.col("id").alias("timestamp"), (F.col("id") % 7).alias("visitorid"), (F.col("id") % 5).alias("itemid"),
+        F.lit("view").alias("event"), F.lit(None).cast("bigint").alias("transactionid"),
+        F.lit("p").alias("property"), F.col("id").cast("string").alias("value"),
+    )
+    for build in (profiling.profile_events, profiling.event_type_summary, profiling.profile_properties, profiling.top_properties):
+        assert "Expand" not in _plan(build(raw))
+    row = profiling.profile_events(raw).first()
+    assert (row.row_count, row.distinct_visitors, row.distinct_items, row.max_timestamp_ms) == (100, 7, 5, 99)
+    empty = profiling.profile_events(raw.where("false")).first()
+    assert (empty.row_count, empty.distinct_visitors, empty.max_timestamp_ms) == (0, 0, None)
