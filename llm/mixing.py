@@ -126,3 +126,33 @@ def mixed(docs: DataFrame, weights: Mapping[str, float], block_rows: int, period
         .sortWithinPartitions("slot", "block_offset")
         .select(*(f"`{c}`" for c in docs.columns))
     )
+
+
+def oracle_sql(weights: Mapping[str, float], block_rows: int, period: int = 100) -> str:
+    """DuckDB SQL for ``positions`` over the table documents with unique ids: the slots by recursion, one a step."""
+    weights = {OTHER: min(weights.values()), **weights}
+    parts = whole_parts(weights, period)
+    names = sorted(parts)
+    shares = [parts[n] for n in names]
+    named = ", ".join(f"'{n}'" for n in names if n != OTHER)
+    return f"""
+    with recursive run(t, had, pick) as (
+        select -1, {[0] * len(names)}, -1
+        union all
+        select t + 1, list_transform(had, lambda h, i: case when i - 1 = pick then h + 1 else h end), pick from (
+            select t, had, list_sort(list_filter(list_transform(range({len(names)}), lambda k: {{
+                'due': ((had[k + 1] + 1) * {period} + {shares}[k + 1] - 1) // {shares}[k + 1], 'k': k,
+                'release': had[k + 1] * {period} // {shares}[k + 1]}}), lambda x: x.release <= t + 1))[1].k as pick
+            from run where t < {period - 1})),
+    slots as (select t, pick, row_number() over (partition by pick order by t) - 1 as j from run where t >= 0),
+    numbered as (
+        select doc_id, source, case when source in ({named}) then source else '{OTHER}' end as stream,
+               row_number() over (partition by case when source in ({named}) then source else '{OTHER}' end order by doc_id) - 1 as n
+        from documents),
+    placed as (
+        select doc_id, source, stream, n // {block_rows} as block, n % {block_rows} as block_offset,
+               list_position({names}, stream) - 1 as k, {shares}[list_position({names}, stream)] as w from numbered)
+    select doc_id, source, stream, block, block_offset, block * {period} // w as release,
+           (block * {period} + {period} + w - 1) // w as deadline, block // w * {period} + t as slot,
+           row_number() over (order by block // w * {period} + t, block_offset) - 1 as position
+    from placed join slots on slots.pick = placed.k and slots.j = placed.block % w"""

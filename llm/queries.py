@@ -67,4 +67,4 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_pq_near_dedup, op3_byte_bpe, op4_rendezvous_shards, op5_pfair_mix, op6_token_files, op7_toxic_severity,
     op8_ngram_jaccard, op9_main_text, op10_chunk_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_pfair_mix": mixing.oracle_sql(MIX, MIX_BLOCK_ROWS)}

@@ -129,3 +129,12 @@ def test_mixed_rows_come_in_order_with_their_columns(make_docs):
     assert out.columns == docs.columns
     want = [r[0] for r in _plain_mix([(k, "ab"[k % 2]) for k in range(40)], {"a": 0.5, "b": 0.5}, 2, 100)]
     assert [r.doc_id for r in out.collect()] == want
+
+
+def test_query_mix_equals_its_sql(spark, small):
+    from compare import differences, open_oracle
+
+    from llm import queries
+
+    name = "op5_pfair_mix"
+    assert differences(queries.QUERIES[name], queries.ORACLE_SQL[name], spark, small, open_oracle(small)) is None
