@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# --- fixed values: columns of the source files and of API records --------
 EVENTS_CSV = T.StructType([
     T.StructField("timestamp", T.LongType()),
     T.StructField("visitorid", T.LongType()),
@@ -125,7 +126,7 @@ REQUIRED_COLUMNS = {
     ),
 }
 
-# Columns of the recommendation output shared by both models.
+# --- fixed values: columns of the recommendation output of both models ---
 RECOMMENDATION_COLUMNS = (
     ("model_key", "string"), ("model_name", "string"), ("model_type", "string"),
     ("user_id", "bigint"), ("recommendation_rank", "int"), ("item_id", "bigint"),
