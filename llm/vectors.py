@@ -35,10 +35,10 @@ from llm.common import materialise, need
 from llm.components import components
 
 LEAST_COSINE = 0.98
-MOST_ROWS, LIST_ROWS, MOST_LISTS = 16_384, 512, 1_024
+MOST_ROWS, LIST_ROWS, MOST_LISTS = 16_384, 4_096, 1_024
 PARTS, CODES = 8, 256
 #: Members of a list searched together, and queries that one task runs against them.
-BLOCK, QUERIES = 2_048, 65_536
+BLOCK, QUERIES = 8_192, 65_536
 BATCH = 256
 
 
@@ -120,7 +120,7 @@ def probes(vectors: np.ndarray, centres: np.ndarray, radius: float) -> tuple[np.
 
 
 def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE, most_rows: int = MOST_ROWS,
-                    block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
+                    block: int = BLOCK, queries: int = QUERIES, list_rows: int = LIST_ROWS) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row."""
     rows = need(vectors, vec_id="long", label="long", embedding="array<double>")
     usable = rows.where("vec_id is not null and label is not null and embedding is not null")
@@ -128,7 +128,8 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE, most
     same = materialise(
         usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
     size = same.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("width")).first()
-    result = rows.join(_counts_and_components(same, size.n, size.width or 0, least_cosine, most_rows, block, queries),
+    result = rows.join(_counts_and_components(same, size.n, size.width or 0, least_cosine, most_rows, block, queries,
+                                                    list_rows),
                        ["label", "embedding"], "left")
     linked = F.col("vec_id").isNotNull() & F.col("rep").isNotNull()
     component = F.when(linked, F.coalesce("component", "rep")).otherwise(F.col("vec_id"))
@@ -138,14 +139,14 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE, most
 
 
 def _counts_and_components(same: DataFrame, n: int, width: int, least_cosine: float, most_rows: int,
-                           block: int, queries: int) -> DataFrame:
+                           block: int, queries: int, list_rows: int) -> DataFrame:
     """label, embedding, rep, copies, links and component of every vector that has a direction."""
     spark = same.sparkSession
     picked = same.orderBy(F.xxhash64("embedding"), "rep").limit(most_rows).select("embedding").collect() if width else []
     sample = [u for row in picked if (u := unit(row.embedding, width)) is not None]
     if not sample:
         return same.where("false").select("*", F.lit(0).cast("long").alias("links"), F.lit(None).cast("long").alias("component"))
-    book = fit(np.stack(sample), max(1, min(MOST_LISTS, n // LIST_ROWS, len(sample) // 4)))
+    book = fit(np.stack(sample), max(1, min(MOST_LISTS, n // list_rows, len(sample) // 4)))
     radius = float(np.sqrt(max(0.0, 2 - 2 * least_cosine)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -58,7 +58,7 @@ def test_odd_vectors(spark):
     assert _got(vectors.near_duplicates(_frame(spark, rows[4:10]))) == _plain(rows[4:10])
 
 
-@pytest.mark.parametrize("block, queries", [(2048, 65536), (50, 40)])
+@pytest.mark.parametrize("block, queries", [(8192, 65536), (50, 40)])
 def test_clusters_equal_all_pairs(spark, block, queries):
     rng = np.random.default_rng(2)
     rows = []
@@ -71,7 +71,7 @@ def test_clusters_equal_all_pairs(spark, block, queries):
     rows += [(3000 + k, (start + k * step).tolist(), 0) for k in range(40)]
     rows += [(4000 + k, rows[0][1], rows[0][2]) for k in range(60)]
     rows = [(i, np.array(v, np.float32).tolist(), l) for i, v, l in rows]
-    got = vectors.near_duplicates(_frame(spark, rows), block=block, queries=queries, most_rows=200)
+    got = vectors.near_duplicates(_frame(spark, rows), block=block, queries=queries, most_rows=200, list_rows=20)
     assert _got(got) == _plain(rows)
 
 
