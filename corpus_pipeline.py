@@ -55,10 +55,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     rows = docs.select("doc_id", "source", "text")
-    coded = bpe.decode(bpe.encode(rows, ranks, public_tokenizers.PATTERN), ranks)
-    return coded.select(
-        "doc_id", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("round_trip"))
+    return bpe.encode_checked(rows, ranks, public_tokenizers.PATTERN).drop("text")
 
 
 STAGES = [

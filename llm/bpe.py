@@ -21,12 +21,12 @@ import struct
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, BooleanType, StringType
 
 from llm.common import LONG, apply_rows, documents, field
 
 #: The words remembered by a task; the memory then starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 _TWO_SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -152,6 +152,22 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded:
     return apply_rows(docs, [field(decoded, BinaryType())], make, ids)
 
 
+def encode_checked(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ids, n_tokens and round_trip (whether the ids decode to the text), in one pass."""
+    def make():
+        encoder, text_of = Encoder(ranks, pattern), decoder(ranks)
+
+        def rows(values):
+            for value in values:
+                packed = encoder.encode(value)
+                yield packed, len(packed) // 4, text_of(packed) == (value or "").encode()
+
+        return rows
+
+    added = [field("ids", BinaryType()), field("n_tokens", LONG), field("round_trip", BooleanType())]
+    return apply_rows(docs, added, make, text)
+
+
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """Per document the number of ids and SHA-256 of ids and of the decoded bytes.
 

@@ -47,7 +47,7 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_BITS, FILTER_BITS = 20, 24
 #: Bins of the sample of a set, and how many look-alikes a document is first verified with, of how many centres a token has.
 BINS, STAR_PAIRS, CENTRES = 64, 3, 8
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -216,47 +216,35 @@ def _passes(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Co
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (bound * (100 + percent) >= (na + nb) * percent)
 
 
-def _needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id may be in ``ids``, by a bitmap of FILTER_BITS bits in the scan.
+def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and whole shingle set of the documents in ``ids``, and of a few others.
 
-    A bitmap of fixed size spares the texts a shuffle; the exact join follows
-    on what is made from them.
+    A bitmap of 2^FILTER_BITS bits of hashed ids picks the documents in the
+    scan, so texts are not shuffled; the exact join follows on the sets.
     """
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
     words = (
         ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+        .toArrow()  # at most 2^FILTER_BITS / 64 rows
     )
-    some = words.groupBy((F.col("word") % 64).alias("part")).agg(F.collect_list(F.struct("word", "bits")).alias("own"))
-    size = (1 << FILTER_BITS) >> 6
-    rows = some.collect()  # at most 2^FILTER_BITS / 64 words
-    bitmap = np.zeros(size, np.int64)
-    for row in rows:
-        for word, bits in row.own:
-            bitmap[word] = bits
+    bitmap = np.zeros((1 << FILTER_BITS) >> 6, np.int64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
         for batch in batches:
             at = batch.column(2).to_numpy()
-            hit = (bitmap[at >> 6] >> (at & 63)) & 1 == 1
-            if hit.any():
-                yield batch.filter(pa.array(hit)).select([0, 1])
-
-    return documents(docs).where("doc_id is not null").withColumn("bit", bit).mapInArrow(run, "doc_id long, text string")
-
+            chosen = batch.filter(pa.array((bitmap[at >> 6] >> (at & 63)) & 1 == 1))
+            for keys, texts in _texts(iter([chosen]), 0, 1):
+                found = [shingler.shingles(text).view(np.int64) for text in texts]
+                ends = np.cumsum([0] + [len(f) for f in found]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
+                    names=["doc_id", "shingles"])
 
-def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and whole shingle set of the documents in ``ids``, and of a few others."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
-        for keys, texts in _texts(batches, 0, 1):
-            found = [shingler.shingles(text).view(np.int64) for text in texts]
-            ends = np.cumsum([0] + [len(f) for f in found]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
-                names=["doc_id", "shingles"])
-
-    return _needed(docs, ids).mapInArrow(run, StructType([field("doc_id", LONG), field("shingles", ArrayType(LONG))]))
+    rows = documents(docs).where("doc_id is not null").withColumn("bit", bit)
+    return rows.mapInArrow(run, StructType([field("doc_id", LONG), field("shingles", ArrayType(LONG))]))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:

@@ -41,7 +41,7 @@ LEAST_EVIDENCE = 3
 GRADE_MARKERS = (3, 8)
 #: Expected grade from which a document counts as toxic.
 REJECT = 0.3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 
 def features(word: str) -> list[str]:
@@ -57,8 +57,8 @@ class Counter(dict):
         super().__init__()
         self.numbers = numbers
 
-    def __missing__(self, word: str) -> list[int]:
-        found = [self.numbers[f] for f in features(word) if f in self.numbers]
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = tuple(self.numbers[f] for f in features(word) if f in self.numbers)
         if len(self) >= CACHE_WORDS:
             self.clear()
         if len(word) <= 100:
