@@ -14,9 +14,10 @@ What keeps groups of many copies from all pairs: equal sets are one class
 from the start, and classes that are connected already are not compared
 again.  First each posting list meets a few centres, and of all
 centres a document meets the few that look most alike are verified.  Then,
-with the components that gives, lists meet in full between members of
-different components only.  No link between different components is left out,
-so components are exact.
+with the components that gives, lists meet in full: two groups are passed over
+only when all members of both lie in one component, and members meet those of
+other components only.  No link between different components is left out, so
+components are exact.
 
 Before whole sets are sent to a pair, BINS bins of each set are compared, each
 with a byte of its least hash.  Of two sets of similarity s a bin agrees with
@@ -288,9 +289,10 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
-def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    return shared.join(labels.withColumnRenamed("node", "head"), "head", "left").withColumn(
-        "component", F.coalesce("component", "head"))
+def _labelled(shared: DataFrame, own: DataFrame) -> DataFrame:
+    """Postings with the least and greatest component (lo, hi) over all members of their group."""
+    spans = own.groupBy("head").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> head or hi <> head")
+    return shared.join(spans, "head", "left").withColumn("lo", F.coalesce("lo", "head")).withColumn("hi", F.coalesce("hi", "head"))
 
 
 def _size_class(n: Column, percent: int) -> Column:
@@ -340,22 +342,30 @@ def _stars(shared: DataFrame, samples: DataFrame, percent: int) -> DataFrame:
 
 def _between(shared: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Every pair of classes that may link and lies in different components."""
-    rows = _labelled(shared, labels)
-    mixed = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+    own = members.select("head", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "head", "rep", F.coalesce("component", "rep").alias("c"))
+    rows = _labelled(shared, own)
+    mixed = rows.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most").select("token")
     rows = rows.join(mixed, "token")
-    left = rows.select("token", F.col("head").alias("ha"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
-    right = rows.select("token", F.col("head").alias("hb"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
+    left, right = (
+        rows.select("token", *(F.col(c).alias(f"{short}{side}") for c, short in
+                               (("head", "h"), ("n", "n"), ("pos", "p"), ("lo", "lo"), ("hi", "hi"))))
+        for side in "ab")
+    # members need not have linked with their head: only groups that lie in one component as a whole are left out
     heads = (
         left.join(right, "token")
         .where((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ha") < F.col("hb"))))
-        .where("ca <> cb").where(_passes(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
+        .where("least(loa, lob) < greatest(hia, hib)")
+        .where(_passes(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
         .select("ha", "hb").distinct()
     )
-    own = members.select("head", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "head", "rep", F.coalesce("component", "rep").alias("c"))
+    # components of both groups meet first, so members of the same one are never paired
+    parts = own.select("head", "c").distinct()
+    apart = heads.join(parts.select(F.col("head").alias("ha"), F.col("c").alias("c1")), "ha").join(
+        parts.select(F.col("head").alias("hb"), F.col("c").alias("c2")), "hb").where("c1 <> c2")
     one = own.select(F.col("head").alias("ha"), F.col("rep").alias("a"), F.col("c").alias("c1"))
     two = own.select(F.col("head").alias("hb"), F.col("rep").alias("b"), F.col("c").alias("c2"))
-    across = heads.join(one, "ha").join(two, "hb").where("c1 <> c2").select("a", "b")
+    across = apart.join(one, ["ha", "c1"]).join(two, ["hb", "c2"]).select("a", "b")
     many = members.where("members > 1").select("head", "rep").join(own.select("rep", "c"), "rep")
     inside = many.select("head", F.col("rep").alias("a"), F.col("c").alias("c1")).join(
         many.select("head", F.col("rep").alias("b"), F.col("c").alias("c2")), "head").where("a < b and c1 <> c2").select("a", "b")

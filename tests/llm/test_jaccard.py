@@ -70,6 +70,18 @@ def test_edited_copies_equal_all_pairs(make_docs, seed):
     assert _got(jaccard.join(make_docs(docs))) == sorted(_plain(docs), key=repr)
 
 
+def test_member_that_does_not_link_with_its_head(make_docs):
+    rng = random.Random(3)
+    shared, one, two = ([f"{name}{rng.randrange(10 ** 9)}" for _ in range(size)] for name, size in (("s", 160), ("x", 30), ("y", 30)))
+    docs = [(1, shared + one), (2, shared + one + two), (3, shared + two)]
+    # the ends are common, so 1 and 3 have their prefix in what they share, and are one group with head 1
+    docs += [(100 + k, shared[-4:] + (one if k % 2 else two)) for k in range(40)]
+    docs = [(d, " ".join(words)) for d, words in docs]
+    sets = _sets(docs)
+    assert len(sets[0]) == len(sets[2]) and len(sets[0] & sets[2]) / len(sets[0] | sets[2]) < 0.75 <= len(sets[1] & sets[2]) / len(sets[1] | sets[2])
+    assert _got(jaccard.join(make_docs(docs))) == sorted(_plain(docs), key=repr)
+
+
 def test_query_equals_all_pairs(spark, small):
     from llm.queries import QUERIES
 
