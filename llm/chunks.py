@@ -8,7 +8,8 @@ belongs to the least ``doc_id`` that has it, at its first place there.
 
 Single chunks are a few words, which texts share by chance.  A passage goes
 only where chunks that belong elsewhere stand in a run of ``least_words``
-words or more; then the whole run goes.
+words or more, or of ``least_chars`` characters that are not white space, as
+some text has none; then the whole run goes.
 
 Null or empty text has no chunk.  Rows without a ``doc_id`` stay whole and
 own no chunk.  Rows with the same ``doc_id`` count as one document.  Texts of
@@ -33,7 +34,7 @@ WORD_MASK, LATE_MASK = np.uint32(7 << 20), np.uint32(1 << 20)
 LATE_BYTES = 24
 CHAR_MASK = np.uint32(31 << 20)  # a 32nd of the characters
 LEAST_BYTES, MOST_BYTES = 8, 256
-LEAST_WORDS = 20
+LEAST_WORDS, LEAST_CHARS = 20, 120
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -131,7 +132,8 @@ def foreign_chunks(docs: DataFrame) -> DataFrame:
     )
 
 
-def cut_text(text: str, owners: dict[int, int], least_words: int) -> tuple[str, int, int, list[tuple[int, int]], list[int]]:
+def cut_text(text: str, owners: dict[int, int], least_words: int,
+             least_chars: int = LEAST_CHARS) -> tuple[str, int, int, list[tuple[int, int]], list[int]]:
     """Kept text, number of chunks, chunks seen before, removed byte spans and the owners of these."""
     body = text.encode()
     at, digests = chunks(body)
@@ -139,7 +141,10 @@ def cut_text(text: str, owners: dict[int, int], least_words: int) -> tuple[str,
     spans, lenders, repeated, run = [], set(), 0, []
 
     def close() -> None:
-        if run and len(body[at[run[0]]: at[run[-1] + 1]].split()) >= least_words:
+        if not run:
+            return
+        words = body[at[run[0]]: at[run[-1] + 1]].split()
+        if len(words) >= least_words or len(b"".join(words).decode()) >= least_chars:
             spans.append((at[run[0]], at[run[-1] + 1]))
             lenders.update(owners[digests[k]] for k in run if digests[k] in owners)
 
@@ -160,7 +165,7 @@ def cut_text(text: str, owners: dict[int, int], least_words: int) -> tuple[str,
     return b"".join(kept).decode() if spans else text, len(digests), repeated, spans, sorted(lenders)
 
 
-def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, least_words: int = LEAST_WORDS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with repeated passages cut from ``text``.
 
     New columns: n_chunks, n_repeated_chunks, removed_bytes, first_doc_ids
@@ -184,7 +189,7 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
                                              part.column("__owners").to_pylist()):
                     known = {pair["digest"]: pair["owner"] for pair in own or ()}
                     if text and doc_id is not None:
-                        text, count, repeated, spans, lenders = cut_text(text, known, least_words)
+                        text, count, repeated, spans, lenders = cut_text(text, known, least_words, least_chars)
                         rest.append((count, repeated, sum(b - a for a, b in spans), lenders))
                     else:
                         rest.append((0, 0, 0, []))

@@ -60,6 +60,22 @@ def test_copies_keep_the_first(make_docs):
     assert got[4].text == text and got[7].text == "" and got[9].text == "" and got[9].first_doc_ids == [4]
 
 
+def test_passages_without_spaces_go(make_docs):
+    def text(n):
+        return "".join(chr(RNG.randrange(0x4E00, 0x9F00)) for _ in range(n))
+
+    passage, copy = text(600), text(500)
+    rows = [(k, text(300) + passage + text(300)) for k in range(4)] + [(k, copy) for k in (10, 11)] + [(k, text(400)) for k in (20, 21)]
+    got = {r.doc_id: r for r in chunks.dedup(make_docs(rows)).collect()}
+    texts = dict(rows)
+    for k in (0, 10, 20, 21):
+        assert got[k].text == texts[k] and got[k].removed_bytes == 0
+    for k in (1, 2, 3):
+        assert len(got[k].text) < 800 and got[k].first_doc_ids == [0]
+        assert got[k].text.startswith(texts[k][:250]) and got[k].text.endswith(texts[k][-200:])
+    assert got[11].text == "" and got[11].first_doc_ids == [10]
+
+
 def test_odd_rows(make_docs):
     docs = make_docs(ODD)
     out = chunks.dedup(docs)
