@@ -2,6 +2,8 @@
 
 Each page is read once.  Elements that hold menus, headers, footers, sidebars,
 adverts, notices, forms, scripts, styles or comments go with all they hold.
+Where only a class or id tells so, an element that is or holds the article
+stays, and so does everything when the page has no other text.
 What is left is a list of blocks; those in an article (or main) element are
 certain, others are not.
 
@@ -62,18 +64,37 @@ IMPLIED_END = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z))""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z]+")
-
-
-def _drops(name: str, attributes: str, in_article: bool) -> bool:
+#: Class names that begin or end so tell of another element or a state: has-sidebar, no-ads, comments-open.
+TELLS, STATES = frozenset("has no not with without".split()), frozenset("closed disabled enabled open".split())
+#: Of the dropped words, those of elements whose articles are others' texts: readers' comments and teasers.
+OTHERS_WORDS = frozenset(
+    "comment comments disqus outbrain promoted recommended related replies respond taboola".split())
+#: How sure it is that an element goes: not at all, by its class or id, the same and its articles are others', for certain.
+STAYS, BY_CLASS, OTHERS, GOES = range(4)
+
+
+def _named(names: str) -> set[str]:
+    """Words of class names and ids that name the element itself."""
+    found: set[str] = set()
+    for name in names.split():
+        words = _WORD.findall(name)
+        if words and words[-1] not in STATES and not TELLS.intersection(words[:-1]):
+            found.update(words)
+    return found
+
+
+def _drops(name: str, attributes: str, in_article: bool) -> int:
     if name in DROPPED or (name == "header" and not in_article):
-        return True
+        return GOES
     if not attributes or name in ("html", "body", "main") or not attributes.strip(" \t\n/"):
-        return False
+        return STAYS
     found = {k.lower(): html.unescape(v.strip("\"'")).lower() for k, v in _ATTRIBUTE.findall(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role") in DROPPED_ROLES:
-        return True
-    words = set(_WORD.findall(f"{found.get('class', '')} {found.get('id', '')}"))
-    return bool(words & DROPPED_WORDS) or (not in_article and "header" in words)
+        return GOES
+    words = _named(f"{found.get('class', '')} {found.get('id', '')}")
+    if words & OTHERS_WORDS:
+        return OTHERS
+    return BY_CLASS if words & DROPPED_WORDS or (not in_article and "header" in words) else STAYS
 
 
 def blocks(page: str | None) -> tuple[list[str], list[bool]]:
@@ -81,24 +102,37 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
 
     With an article, blocks outside of it are left out; the same for main
     when there is no article.
+
+    What goes by class or id is told at the end: it stays where it is or
+    holds the article, or where the page has no other text.
     """
-    found: list[tuple[str, int]] = []  # text and place: 0 body, 1 main, 2 article
-    pieces: list[str] = []
-    stack: list[tuple[str, bool]] = []
+    # text; place (0 body, 1 main, 2 article); kind of what is or holds that main or article; whether it goes by class inside of it
+    found: list[tuple[str, int, int, bool]] = []
+    pieces: dict[tuple[int, int, bool], list[str]] = {}
+    stack: list[tuple[str, int]] = []
+    depths = [0, 0, 0, 0]  # open elements of each kind of _drops
     dropped = articles = mains = 0
+    # for the outermost open article (2) and main (1): the kind of what is or holds it, and how many such elements are open
+    around = [(STAYS, 0)] * 3
+
+    def add(piece: str) -> None:
+        place = 2 if articles else 1 if mains else 0
+        kind, count = around[place]
+        pieces.setdefault((place, kind, depths[BY_CLASS] + depths[OTHERS] > count), []).append(piece)
 
     def flush() -> None:
-        if pieces:
-            text = " ".join(html.unescape("".join(pieces)).split())
+        for state, own in pieces.items():
+            text = " ".join(html.unescape("".join(own)).split())
             if text:
-                found.append((text, 2 if articles else 1 if mains else 0))
-            pieces.clear()
+                found.append((text, *state))
+        pieces.clear()
 
     def pop(count: int) -> None:
         nonlocal dropped, articles, mains
         for _ in range(count):
             name, drop = stack.pop()
-            dropped -= drop
+            depths[drop] -= 1
+            dropped -= drop == GOES
             articles -= name == "article"
             mains -= name == "main"
 
@@ -109,13 +143,13 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
         if start < 0:
             start = size
         if start > at and not dropped:
-            pieces.append(page[at:start])
+            add(page[at:start])
         if start == size:
             break
         tag = _TAG.match(page, start)
         if not tag:
             if not dropped:
-                pieces.append("<")
+                add("<")
             at = start + 1
             continue
         at = tag.end()
@@ -131,7 +165,7 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
                     break
             continue
         if name == "br" and not dropped:
-            pieces.append(" ")
+            add(" ")
         if name in VOID:
             continue
         for open_name, enders in IMPLIED_END.items():
@@ -148,14 +182,32 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
             at = end.start() if end else size
         drop = _drops(name, tag[3], articles > 0)
         if drop and not dropped and name not in BLOCKS and pieces:
-            pieces.append(" ")
+            add(" ")
         stack.append((name, drop))
-        dropped += drop
+        depths[drop] += 1
+        dropped += drop == GOES
         articles += name == "article"
         mains += name == "main"
+        if (name == "article" and articles == 1) or (name == "main" and mains == 1):
+            around[2 if name == "article" else 1] = (
+                OTHERS if depths[OTHERS] else BY_CLASS if depths[BY_CLASS] else STAYS, depths[BY_CLASS] + depths[OTHERS])
     flush()
-    place = max((p for _, p in found), default=0)
-    kept = [text for text, p in found if p == place]
+
+    def best(kind: int) -> tuple[list[str], int]:
+        own = [(text, place) for text, place, holds, inside in found if holds == kind and not inside]
+        place = max((p for _, p in own), default=0)
+        return [text for text, p in own if p == place], place
+
+    kept, place = best(STAYS)
+    if place < 2:
+        # teasers beside a text without an article are shorter than it
+        wrapped, inner = best(BY_CLASS)
+        if inner > 0 and sum(map(len, wrapped)) >= sum(map(len, kept)):
+            kept, place = wrapped, inner
+    if not kept:
+        kept, place = best(OTHERS)
+    if not kept:
+        kept, place = [text for text, *_ in found], 0
     return kept, [place > 0] * len(kept)
 
 

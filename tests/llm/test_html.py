@@ -28,6 +28,23 @@ def test_one_page():
         assert found in ([], ["<"])
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='page has-sidebar'><article><p>text</p></article></div>", "<div class='no-sidebar'><p>text</p></div>",
+    "<article class='post comments-open'><p>text</p></article>", "<div id='content' class='with-ads'><main>text</main></div>",
+    "<div class='page sidebar'><div class='ad'>Buy</div><article>text<p class=share>Share</article></div><p>end</p>",
+    "<article class='widget'>text</article>", "<div class='comments'><article>text</article></div>", "<div class=sidebar>text</div>",
+    "<div class='main header'><main><h1>text</h1></main></div><nav>menu</nav>"])
+def test_classes_do_not_take_the_article(page):
+    assert html_text.blocks(page)[0] == ["text"]
+
+
+def test_classes_take_what_is_not_the_article():
+    teasers = "<div class='sidebar'><article>teaser</article></div><section id=comments><article class=comment>" + "reader " * 50
+    assert html_text.blocks(f"<div>the post itself</div>{teasers}") == (["the post itself"], [False])
+    assert html_text.blocks(f"<article>post</article>{teasers}") == (["post"], [True])
+    assert html_text.blocks("<p>a <span class='ad'>Buy</span>b <i class='cookie-banner'>ok</i></p>")[0] == ["a b"]
+
+
 def test_long_and_broken_pages():
     text = "word " * 200_000
     assert html_text.blocks(f"<article><p>{text}</article>")[0] == [text.strip()]
