@@ -14,10 +14,12 @@ from the blocks that are not certain, and the unique runs stay.  A certain
 block stays as it is even where another page repeats it, as articles may be
 published twice.
 
-A host with very many pages is dealt to several groups, and a group is worked
-off in units of at most ``unit_pages`` pages and ``UNIT_TOKENS`` tokens, so
-memory is bounded and no host is one task.  Boilerplate is on most pages of a
-host, so it repeats in each unit.
+That is for hosts of at most ``unit_pages`` pages and ``unit_tokens`` tokens, so
+memory is bounded and no host is one task.  On larger hosts the windows of
+``least_tokens`` tokens are counted over all pages of the host by a digest of
+64 bits, and the frequent ones are joined back to their pages: the same
+tokens go, but for collisions of digests.  A host of which all pages mark an
+article has nothing to count.
 
 Null html, or a page without text, gives an empty string.  Pages without url
 are one host.  Rows are handled one by one, whatever their ``page_id``; the
@@ -34,12 +36,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from llm.common import SLICE, need
+from llm.common import SLICE, materialise, need
 
 LEAST_TOKENS, LEAST_PAGES = 16, 3
 UNIT_PAGES, UNIT_TOKENS = 512, 1_000_000
-#: The largest hosts that are dealt out, and broadcast for it; no other has more than 1 / MOST_HOT of all pages.
-MOST_HOT = 10_000
+CACHE_WORDS = 200_000
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 # names of elements and words of attributes, fixed values of HTML and its common use
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -262,16 +264,98 @@ def unique_text(found: list[str], certain: list[bool], mask: np.ndarray) -> str:
     return "\n".join(out)
 
 
+class Windows(dict):
+    """Digests of all runs of ``least_tokens`` tokens of a page of a host; remembers words."""
+
+    def __init__(self, least_tokens: int) -> None:
+        super().__init__()
+        self.least_tokens = least_tokens
+
+    def __missing__(self, word: str) -> int:
+        from xxhash import xxh3_64_intdigest
+
+        value = xxh3_64_intdigest(word)
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        if len(word) <= 100:
+            self[word] = value
+        return value
+
+    def of(self, host: str, packed: str) -> np.ndarray:
+        """One digest for each place where a window begins."""
+        tokens = packed.replace("\n", " ").split(" ") if packed else []
+        count = max(0, len(tokens) - self.least_tokens + 1)
+        hashes = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+        found = np.full(count, self[host], np.uint64)
+        for k in range(self.least_tokens if count else 0):
+            found = (found ^ hashes[k: k + count]) * _M1
+            found = (found ^ (found >> np.uint64(32))) * _M2
+            found ^= found >> np.uint64(29)
+        return found.view(np.int64)
+
+
+def _large_hosts(parsed: DataFrame, least_tokens: int, least_pages: int) -> DataFrame:
+    """page_id, url, text and n_chars of pages of hosts of any size."""
+    # ids of stored rows stay, unlike those of rows that a lost task makes again
+    stored = materialise(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
+    unsure = F.col("certain").contains("0")
+    # stored, so that its size is known and pages of the other hosts are not shuffled
+    hosts = materialise(stored.where(unsure).select("host").distinct(), "unsure-hosts")
+    counted = stored.join(hosts, "host", "left_semi")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = Windows(least_tokens)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                own = [np.unique(windows.of(host, packed)) for host, packed in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
+                if own:
+                    row = np.repeat(part.column(0).to_numpy(), [len(o) for o in own])
+                    yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.concatenate(own))], names=["row", "digest"])
+
+    def digests(pages: DataFrame) -> DataFrame:
+        return pages.select("row", "host", "blocks").mapInArrow(digest, "row long, digest long")
+
+    often = digests(counted).groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages).select("digest")
+    covers = digests(stored.where(unsure)).join(often.hint("shuffle_hash"), "digest").groupBy("row").agg(
+        F.collect_list("digest").alias("digests"))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = Windows(least_tokens)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                texts = []
+                for host, packed, flags, often in zip(*(part.column(k).to_pylist() for k in range(2, 6))):
+                    own = windows.of(host, packed) if often else np.zeros(0, np.int64)
+                    covered = np.zeros(packed.count(" ") + packed.count("\n") + 2, np.int64)
+                    starts = np.flatnonzero(np.isin(own, np.array(often or [], np.int64)))
+                    np.add.at(covered, starts, 1)
+                    np.add.at(covered, starts + least_tokens, -1)
+                    found = packed.split("\n") if packed else []
+                    texts.append(unique_text(found, [f == "1" for f in flags], np.cumsum(covered) > 0))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
+                ], names=["page_id", "url", "text", "n_chars"])
+
+    def texts(pages: DataFrame) -> DataFrame:
+        return pages.select("page_id", "url", "host", "blocks", "certain", "digests").mapInArrow(
+            clean, "page_id long, url string, text string, n_chars long")
+
+    sure = texts(stored.where(~unsure).withColumn("digests", F.lit(None).cast("array<long>")))
+    return sure if hosts.isEmpty() else sure.union(texts(stored.where(unsure).join(covers, "row", "left")))
+
+
 def main_text(pages: DataFrame, least_tokens: int = LEAST_TOKENS, least_pages: int = LEAST_PAGES,
-              unit_pages: int = UNIT_PAGES) -> DataFrame:
+              unit_pages: int = UNIT_PAGES, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
     rows = need(pages, page_id="long", url="string", html="string")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    counts = rows.select(host.alias("host")).groupBy("host").agg(F.count("*").alias("n"))
-    hot = (
-        counts.where(F.col("n") > unit_pages).orderBy(F.desc("n"), "host").limit(MOST_HOT)
-        .select("host", F.ceil(F.col("n") / unit_pages).cast("int").alias("groups"))
-    )
+    rows = rows.withColumn("host", host)
+    # a token and what parts it from the next take two characters of a page or more
+    large = materialise(
+        rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("size"))
+        .where((F.col("n") > unit_pages) | (F.col("size") > 2 * unit_tokens)).select("host"), "large-hosts")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,14 +367,13 @@ def main_text(pages: DataFrame, least_tokens: int = LEAST_TOKENS, least_pages: i
                     pa.array(["".join("01"[sure] for sure in certain) for _, certain in made], pa.string()),
                 ], names=["page_id", "url", "host", "blocks", "certain"])
 
-    parsed = rows.withColumn("host", host).mapInArrow(
-        parse, "page_id long, url string, host string, blocks string, certain string")
-    dealt = parsed.join(F.broadcast(hot), "host", "left").withColumn(
-        "part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int")).drop("groups")
+    def parsed(pages: DataFrame) -> DataFrame:
+        return pages.select("page_id", "url", "html", "host").mapInArrow(
+            parse, "page_id long, url string, host string, blocks string, certain string")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit: list[tuple] = []
-        current, tokens = None, 0
+        current = None
 
         def close() -> Iterator[pa.RecordBatch]:
             streams = [" ".join(found).split(" ") if found else [] for *_, found, _ in unit]
@@ -304,16 +387,18 @@ def main_text(pages: DataFrame, least_tokens: int = LEAST_TOKENS, least_pages: i
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
-                for host, page_id, url, packed, flags, group in zip(*(c.to_pylist() for c in part.columns)):
-                    if unit and ((host, group) != current or len(unit) >= unit_pages or tokens > UNIT_TOKENS):
+                for host, page_id, url, packed, flags in zip(*(c.to_pylist() for c in part.columns)):
+                    if unit and host != current:
                         yield from close()
-                        unit, tokens = [], 0
-                    current = host, group
+                        unit = []
+                    current = host
                     unit.append((page_id, url, packed.split("\n") if packed else [], [f == "1" for f in flags]))
-                    tokens += packed.count(" ") + 1
         if unit:
             yield from close()
 
-    ordered = dealt.select("host", "page_id", "url", "blocks", "certain", "part").repartition("host", "part")
-    return ordered.sortWithinPartitions("host", "part", "page_id", "url").mapInArrow(
+    small = parsed(rows.join(large, "host", "left_anti")).select("host", "page_id", "url", "blocks", "certain").repartition("host")
+    texts = small.sortWithinPartitions("host", "page_id", "url").mapInArrow(
         clean, "page_id long, url string, text string, n_chars long")
+    if large.isEmpty():
+        return texts
+    return texts.union(_large_hosts(parsed(rows.join(large, "host", "left_semi")), least_tokens, least_pages))

@@ -92,6 +92,25 @@ def test_repeated_runs_go_from_pages_without_an_article(spark):
         assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+@pytest.mark.parametrize("unit", [{}, {"unit_pages": 4}, {"unit_tokens": 50}])
+def test_repeats_on_few_pages_of_a_large_host_go(spark, unit):
+    rng = random.Random(2)
+
+    def text(n):
+        return " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+
+    notes = [text(25) for _ in range(12)]
+    own = [text(40) for _ in range(72)]
+    # notes 0 to 5 are on three pages each, 6 to 11 on two; another host has them too
+    pages = [(k, f"<div>{notes[k // 3]} {own[k]}</div>") for k in range(18)] + [
+        (k, f"<div>{notes[6 + (k - 18) // 2]} {own[k]}</div>") for k in range(18, 30)] + [(k, f"<p>{own[k]}") for k in range(30, 72)]
+    rows = [(k, f"https://a.example/{k}", page, 1, "h", "b") for k, page in pages]
+    rows += [(100 + k, "https://b.example/", f"<div>{n}</div>", 1, "h", "b") for k, n in enumerate(notes)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, SCHEMA), **unit).collect()}
+    assert [got[k] for k in range(72)] == [f"{notes[6 + (k - 18) // 2]} {own[k]}" if 18 <= k < 30 else own[k] for k in range(72)]
+    assert [got[100 + k] for k in range(12)] == notes
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (None, "http://x/y", "<p>a"), (3, "no url", "<p>b"), (3, "no url", "<p>b"), (4, "http://x/", "plain")]
     got = html_text.main_text(spark.createDataFrame([(*r, 1, "h", "b") for r in rows], SCHEMA)).collect()
