@@ -2,13 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame; its result is
 stored before the next one reads it.  All but the last give the columns of
-``docs``.  Rows with null ids or texts pass every stage, and an empty table
+``docs``; the last gives each row's position in the mix, as readers of stored
+files do not keep their order.  Rows with null ids or texts pass every stage, and an empty table
 gives empty results (but for the labels that the first stage needs).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from llm import bpe, chunks, jaccard, mixing, toxicity
 from llm.common import materialise, table
@@ -49,13 +51,36 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, MIX, MIX_BLOCK_ROWS)
 
 
+def positioned(docs: DataFrame) -> DataFrame:
+    """doc_id, source, text and the gapless ``position`` of each row in the order in which ``docs`` was written.
+
+    Spark names the files by number of the task and, in a task, of the file;
+    readers take them by size.  Rows that are not from Parquet files are
+    stored first.
+    """
+    rows = docs.select("doc_id", "source", "text")
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    try:
+        placed = rows.select("*", *place)
+    except AnalysisException:
+        placed = materialise(rows, "mix").select("*", *place)
+    number = [F.regexp_extract("__file", pattern, 1).cast("long") for pattern in (r".*/part-(\d+)", r".*-c(\d+)\.")]
+    before = Window.orderBy("__task", "__part", "__file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    files = (
+        placed.groupBy("__file").agg(F.count("*").alias("__size"))
+        .withColumn("__task", number[0]).withColumn("__part", number[1])
+        .select("__file", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    )
+    return placed.join(F.broadcast(files), "__file").select(
+        "doc_id", "source", "text", (F.col("__before") + F.col("__row")).alias("position"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, packed ids, n_tokens, and whether the ids decode to the text."""
+    """doc_id, source, position in the mix, packed ids, n_tokens, and whether the ids decode to the text."""
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    rows = docs.select("doc_id", "source", "text")
-    return bpe.encode_checked(rows, ranks, public_tokenizers.PATTERN).drop("text")
+    return bpe.encode_checked(positioned(docs), ranks, public_tokenizers.PATTERN).drop("text")
 
 
 STAGES = [

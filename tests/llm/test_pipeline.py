@@ -77,6 +77,21 @@ def test_mix_keeps_all_rows_in_order(stored):
     assert [r.doc_id for r in stored[4].collect()] == want
 
 
+def test_mix_stays_when_stored_in_many_files(spark, small, stored, tmp_path):
+    docs = [(r.doc_id, r.source) for r in stored[3].collect()]
+    want = [r[0] for r in _plain_mix(docs, queries.MIX, queries.MIX_BLOCK_ROWS, 100)]
+    mixed = corpus_pipeline.mix_sources(spark, stored[3], small)
+    # files of very different sizes, of one task and of several
+    for name, df, most in (("one", mixed.coalesce(1), 7), ("some", mixed.coalesce(3), 11)):
+        df.write.option("maxRecordsPerFile", most).parquet(f"{tmp_path}/{name}")
+        read = spark.read.parquet(f"{tmp_path}/{name}")
+        got = corpus_pipeline.encode(spark, read, small).orderBy("position").collect()
+        assert [r.position for r in got] == list(range(len(want)))
+        assert [r.doc_id for r in got] == want
+    got = corpus_pipeline.run(spark, small).orderBy("position").collect()
+    assert [r.doc_id for r in got] == want
+
+
 def test_ids_equal_the_library_and_decode(stored):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
