@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import bpe, chunks, html_text, jaccard, mixing, quality, sharding, token_files, toxicity, vectors
+from llm import bpe, chunks, dialogue, html_text, jaccard, lexical, mixing, quality, secrets, sharding, token_files, toxicity, vectors
 from llm.common import documents, need, table
 
 #: Target shares of the mix; all other sources together are "other".
@@ -63,8 +63,22 @@ def op10_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.dedup(documents(table(spark, folder, "documents")))
 
 
+def op11_dual_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return dialogue.repair(dialogue.damaged(table(spark, folder, "conversations")))
+
+
+def op13_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_pq_near_dedup, op3_byte_bpe, op4_rendezvous_shards, op5_pfair_mix, op6_token_files, op7_toxic_severity,
-    op8_ngram_jaccard, op9_main_text, op10_chunk_dedup)}
+    op8_ngram_jaccard, op9_main_text, op10_chunk_dedup,
+    op11_dual_tree_search, op12_conversation_repair, op13_secret_spans)}
 
-ORACLE_SQL: dict[str, str] = {"op5_pfair_mix": mixing.oracle_sql(MIX, MIX_BLOCK_ROWS)}
+ORACLE_SQL: dict[str, str] = {
+    "op5_pfair_mix": mixing.oracle_sql(MIX, MIX_BLOCK_ROWS), "op11_dual_tree_search": lexical.ORACLE_SQL}
