@@ -12,17 +12,22 @@ the position filter; their members are then verified on whole sets.
 
 What keeps groups of many copies from all pairs: equal sets are one class
 from the start, and classes that are connected already are not compared
-again.  First each posting list meets a few centres, and of all
-centres a document meets the few that look most alike are verified.  Then,
-with the components that gives, lists meet in full: two groups are passed over
-only when all members of both lie in one component, and members meet those of
-other components only.  No link between different components is left out, so
-components are exact.
+again.  First each posting list meets a few centres, and of all centres a
+document meets the few that look most alike are verified.  Then, with the
+components that gives, the lists whose members lie in different components
+meet in full.  Short lists give pairs.  Long ones give none: their classes are
+gathered by the component that is most frequent in the list and compared in
+blocks of whole sets, those outside the component against all, and a block
+gives only links that join what its earlier ones have not.  So rows grow with
+the classes and not with their pairs, and no link between different components
+is left out.
 
 Before whole sets are sent to a pair, BINS bins of each set are compared, each
-with a byte of its least hash.  Of two sets of similarity s a bin agrees with
-probability s; pairs that agree in less than a third are left out, which for a
-pair that links has a probability under 1e-12, as a collision of hashes has.
+with a byte of its least hash.  Of two sets of similarity s a bin that either
+uses agrees with probability s, so pairs with fewer agreeing bins than
+``least_agreeing`` allows are left out: for a pair that links this has a
+probability below SAMPLE_LOSS, whatever ``percent`` and the number of used
+bins, as a collision of hashes has.
 
 Results: one row per row of the input with n_shingles and component_id, the
 least doc_id that links reach.  Null text, or text without words, has the
@@ -33,7 +38,9 @@ node.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +55,13 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_BITS, FILTER_BITS = 20, 24
 #: Bins of the sample of a set, and how many look-alikes a document is first verified with, of how many centres a token has.
 BINS, STAR_PAIRS, CENTRES = 64, 3, 8
+#: A pair that links is left out by its sample with a probability below this.
+SAMPLE_LOSS = 1e-12
+#: Classes of a list, or of a group, that are compared as pairs; and shingles of a block of those of longer ones.
+PAIRED, BLOCK_SHINGLES = 64, 200_000
 CACHE_WORDS = 200_000
+#: Characters of text that are hashed together.
+TOGETHER = 1 << 19
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -72,16 +85,37 @@ class Shingler(dict):
         return value
 
     def shingles(self, text: str | None, size: int = SHINGLE) -> np.ndarray:
+        return np.unique(self._rolled([text], size)[0])
+
+    def many(self, texts: list[str | None], size: int = SHINGLE) -> Iterator[np.ndarray]:
+        """Shingle hashes of each text in order, with repeats; texts are hashed together, some at a time."""
+        some, chars = [], 0
+        for text in texts:
+            some.append(text)
+            chars += len(text or "")
+            if chars >= TOGETHER:
+                yield from self._rolled(some, size)
+                some, chars = [], 0
+        if some:
+            yield from self._rolled(some, size)
+
+    def _rolled(self, texts: list[str | None], size: int) -> list[np.ndarray]:
         # bytes.lower() and bytes.split() know ASCII only
-        words = text.encode().lower().split() if text else []
-        hashes = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-        width = min(size, len(words))
+        cut = [text.encode().lower().split() if text else [] for text in texts]
+        ends = np.cumsum([0] + [len(words) for words in cut])
+        hashes = np.fromiter((self[word] for words in cut for word in words), np.uint64, int(ends[-1]))
+        rolled = self._fold(hashes, size) if len(hashes) >= size else hashes
+        return [rolled[start: stop - size + 1] if stop - start >= size else self._fold(hashes[start:stop], stop - start)
+                for start, stop in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    @staticmethod
+    def _fold(hashes: np.ndarray, width: int) -> np.ndarray:
         if not width:
             return hashes
-        found = np.full(len(words) - width + 1, width, np.uint64)
+        found = np.full(len(hashes) - width + 1, width, np.uint64)
         for k in range(width):
             found = _mix((found ^ hashes[k: k + len(found)]) * _M1)
-        return np.unique(found)
+        return found
 
 
 def _texts(batches: Iterator[pa.RecordBatch], *columns: int) -> Iterator[tuple]:
@@ -102,11 +136,20 @@ def common_classes(docs: DataFrame) -> np.ndarray:
     width = 1 << 12
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, total = Shingler(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        shingler, total, waiting, size = Shingler(), np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+
+        def counted(found: list[np.ndarray]) -> np.ndarray:
+            at = (np.concatenate([*found, np.zeros(0, np.uint64)]) & np.uint64(len(total) - 1)).astype(np.int64)
+            return np.bincount(at, minlength=len(total)).astype(np.uint32)
+
         for (texts,) in _texts(batches, 0):
-            found = [shingler.shingles(text) for text in texts]
-            at = (np.concatenate(found) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
-            total += np.bincount(at, minlength=1 << SKETCH_BITS).astype(np.uint32)
+            for found in shingler.many(texts):
+                waiting.append(found)
+                size += len(found)
+                if size >= len(total):
+                    total += counted(waiting)
+                    waiting, size = [], 0
+        total += counted(waiting)
         for k in range(0, len(total), width):
             if total[k: k + width].any():
                 yield pa.RecordBatch.from_pydict({"part": pa.array([k // width], pa.int64()), "counts": [total[k: k + width].tobytes()]})
@@ -164,8 +207,7 @@ def signatures(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
         shingler = Shingler()
         for ids, texts in _texts(batches, 0, 1):
             rows, prefixes, samples = [], [], []
-            for doc_id, text in zip(ids, texts):
-                found = shingler.shingles(text)
+            for doc_id, found in zip(ids, map(np.unique, shingler.many(texts))):
                 samples.append(sample(found))
                 first = ordered(found, classes)[: prefix_length(len(found), percent)] if len(found) else found
                 key = xxh3_128_intdigest(found.tobytes())
@@ -238,7 +280,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             at = batch.column(2).to_numpy()
             chosen = batch.filter(pa.array((bitmap[at >> 6] >> (at & 63)) & 1 == 1))
             for keys, texts in _texts(iter([chosen]), 0, 1):
-                found = [shingler.shingles(text).view(np.int64) for text in texts]
+                found = [np.unique(hashes).view(np.int64) for hashes in shingler.many(texts)]
                 ends = np.cumsum([0] + [len(f) for f in found]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
@@ -248,16 +290,18 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, StructType([field("doc_id", LONG), field("shingles", ArrayType(LONG))]))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are as similar as asked, stored; only sets of documents in a pair are made."""
-    pairs = materialise(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = materialise(shingle_sets(docs, ids), "sets")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are as similar as asked."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_sb"))
     both = F.size(F.array_intersect("_sa", "_sb"))
-    return materialise(pairs.join(right, "b").join(left, "a").where(
-        both * (100 + percent) >= (F.size("_sa") + F.size("_sb")) * percent).select("a", "b"), "links")
+    return pairs.join(right, "b").join(left, "a").where(
+        both * (100 + percent) >= (F.size("_sa") + F.size("_sb")) * percent).select("a", "b")
+
+
+def _ids(*columns: DataFrame) -> DataFrame:
+    """The distinct values of one-column tables as doc_id."""
+    return reduce(DataFrame.union, (df.toDF("doc_id") for df in columns)).distinct()
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -276,10 +320,16 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     samples = real.select("doc_id", "sample")
 
     inside = members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
-    found = verified(docs, _stars(shared, samples, percent).union(inside), percent)
+    pairs = materialise(_stars(shared, samples, percent).union(inside), "pairs")
+    made = materialise(shingle_sets(docs, _ids(pairs.select("a"), pairs.select("b"))), "sets")
+    found = materialise(verified(pairs, made, percent), "links")
     labels = materialise(components(found), "labels")
-    rest = _alike(_between(shared, members, labels, percent), samples).select("a", "b")
-    found = found.union(verified(docs, rest, percent))
+
+    own, rows_apart = _apart(shared, members, labels)
+    pairs = materialise(_alike(_between(rows_apart, own, percent), samples, percent).select("a", "b"), "pairs")
+    crowds = materialise(_crowds(rows_apart, own), "crowds")
+    made = materialise(shingle_sets(docs, _ids(pairs.select("a"), pairs.select("b"), crowds.select("rep"))), "sets")
+    found = materialise(found.union(verified(pairs, made, percent)).union(_crowd_links(crowds, made, percent)), "links")
     labels = materialise(components(found), "labels")
 
     near = sets.select("k1", "k2", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -289,21 +339,31 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
-def _labelled(shared: DataFrame, own: DataFrame) -> DataFrame:
-    """Postings with the least and greatest component (lo, hi) over all members of their group."""
-    spans = own.groupBy("head").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> head or hi <> head")
-    return shared.join(spans, "head", "left").withColumn("lo", F.coalesce("lo", "head")).withColumn("hi", F.coalesce("hi", "head"))
-
-
 def _size_class(n: Column, percent: int) -> Column:
     """Sizes of one class pass the size filter with each other."""
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) * 1.0001).cast("int")
 
 
-def _alike(pairs: DataFrame, samples: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose samples agree in a third of the bins that either has, with that number of agreeing bins."""
+def least_agreeing(percent: int, loss: float = SAMPLE_LOSS) -> list[int]:
+    """By the number of used bins, the agreeing ones below which two sets of that similarity lie with a probability under ``loss``."""
+    t = percent / 100
+    found = []
+    for used in range(BINS + 1):
+        below, least = 0.0, 0
+        while least < used:
+            below += math.comb(used, least) * t ** least * (1 - t) ** (used - least)
+            if below >= loss:
+                break
+            least += 1
+        found.append(least)
+    return found
+
+
+def _alike(pairs: DataFrame, samples: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose samples agree as often as a pair that links has to, with the number of agreeing bins."""
     both = pairs.join(samples.select(F.col("doc_id").alias("a"), F.col("sample").alias("_sa")), "a").join(
         samples.select(F.col("doc_id").alias("b"), F.col("sample").alias("_sb")), "b")
+    bound = np.array(least_agreeing(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,10 +371,8 @@ def _alike(pairs: DataFrame, samples: DataFrame) -> DataFrame:
                 x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
                 used = ((x > 0) | (y > 0)).sum(axis=1)
                 agree = ((x == y) & (x > 0)).sum(axis=1)
-                # few bins tell little: small sets are all verified
-                keep = (agree * 3 >= used) | (used < BINS * 3 // 4)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(agree, pa.int64())], names=["a", "b", "agree"]).filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(agree, pa.int64())],
+                                                 names=["a", "b", "agree"]).filter(pa.array(agree >= bound[used]))
 
     # repeated ids have more than one sample: the pair may be kept twice
     return both.select("a", "b", "_sa", "_sb").mapInArrow(run, "a long, b long, agree long")
@@ -337,21 +395,34 @@ def _stars(shared: DataFrame, samples: DataFrame, percent: int) -> DataFrame:
         .select("a", F.col("head").alias("b")).distinct()
     )
     best = Window.partitionBy("b").orderBy(F.desc("agree"), "a")
-    return _alike(met, samples).withColumn("place", F.row_number().over(best)).where(F.col("place") <= STAR_PAIRS).select("a", "b")
+    return _alike(met, samples, percent).withColumn("place", F.row_number().over(best)).where(F.col("place") <= STAR_PAIRS).select("a", "b")
+
 
+def _apart(shared: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes (head, rep, members, n, c) with their components, and the postings of tokens with more than one component.
 
-def _between(shared: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Every pair of classes that may link and lies in different components."""
-    own = members.select("head", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "head", "rep", F.coalesce("component", "rep").alias("c"))
-    rows = _labelled(shared, own)
-    mixed = rows.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most").select("token")
-    rows = rows.join(mixed, "token")
+    A posting has the least and greatest component (lo, hi) over all members
+    of its group, as members need not have linked with their head, and how
+    many classes its token has.
+    """
+    own = materialise(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "head", "rep", "members", "n", F.coalesce("component", "rep").alias("c")), "classes")
+    spans = own.where("members > 1 or c <> head").groupBy("head").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.first("members").alias("members"))
+    rows = shared.join(spans, "head", "left").withColumns({
+        "lo": F.coalesce("lo", "head"), "hi": F.coalesce("hi", "head"), "members": F.coalesce("members", F.lit(1))})
+    mixed = rows.groupBy("token").agg(
+        F.min("lo").alias("least"), F.max("hi").alias("most"), F.sum("members").alias("classes")).where("least < most")
+    return own, materialise(rows.join(mixed.select("token", "classes"), "token"), "apart")
+
+
+def _between(rows: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Every pair of classes of a short list, or of a small group, that may link and lies in different components."""
+    short = rows.where(F.col("classes") <= PAIRED)
     left, right = (
-        rows.select("token", *(F.col(c).alias(f"{short}{side}") for c, short in
-                               (("head", "h"), ("n", "n"), ("pos", "p"), ("lo", "lo"), ("hi", "hi"))))
+        short.select("token", *(F.col(c).alias(f"{name}{side}") for c, name in
+                                (("head", "h"), ("n", "n"), ("pos", "p"), ("lo", "lo"), ("hi", "hi"))))
         for side in "ab")
-    # members need not have linked with their head: only groups that lie in one component as a whole are left out
     heads = (
         left.join(right, "token")
         .where((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ha") < F.col("hb"))))
@@ -359,14 +430,121 @@ def _between(shared: DataFrame, members: DataFrame, labels: DataFrame, percent:
         .where(_passes(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
         .select("ha", "hb").distinct()
     )
-    # components of both groups meet first, so members of the same one are never paired
-    parts = own.select("head", "c").distinct()
-    apart = heads.join(parts.select(F.col("head").alias("ha"), F.col("c").alias("c1")), "ha").join(
-        parts.select(F.col("head").alias("hb"), F.col("c").alias("c2")), "hb").where("c1 <> c2")
     one = own.select(F.col("head").alias("ha"), F.col("rep").alias("a"), F.col("c").alias("c1"))
     two = own.select(F.col("head").alias("hb"), F.col("rep").alias("b"), F.col("c").alias("c2"))
-    across = apart.join(one, ["ha", "c1"]).join(two, ["hb", "c2"]).select("a", "b")
-    many = members.where("members > 1").select("head", "rep").join(own.select("rep", "c"), "rep")
+    across = heads.join(one, "ha").join(two, "hb").where("c1 <> c2").select("a", "b")
+    many = own.where((F.col("members") > 1) & (F.col("members") <= PAIRED)).select("head", "rep", "c")
     inside = many.select("head", F.col("rep").alias("a"), F.col("c").alias("c1")).join(
         many.select("head", F.col("rep").alias("b"), F.col("c").alias("c2")), "head").where("a < b and c1 <> c2").select("a", "b")
     return across.union(inside).distinct()
+
+
+def _crowds(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """Blocks of the classes of long lists and large groups: crowd, i, j, probe, rep, c.
+
+    A crowd is what shares a long list with its most frequent component.  Its
+    classes are dealt to blocks j by a hash, for BLOCK_SHINGLES shingles each;
+    those outside the crowd's most frequent component are probes, dealt to
+    parts i, and every part of the probes meets every block.
+    """
+    long = rows.where(F.col("classes") > PAIRED)
+    most = F.struct("weight", F.negative("lo").alias("order"))
+    hubs = long.groupBy("token", "lo").agg(F.sum("members").alias("weight")).groupBy("token").agg(
+        F.negative(F.max(most)["order"]).alias("crowd"))
+    lists = long.join(hubs, "token").select("crowd", "head").distinct().join(own, "head")
+    groups = own.where(F.col("members") > PAIRED).join(
+        own.groupBy("head").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("head"), "head", "left_semi")
+    classes = lists.select("crowd", "rep", "n", "c").union(
+        groups.select(F.col("head").alias("crowd"), "rep", "n", "c")).distinct()
+    parts = classes.groupBy("crowd", "c").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).groupBy("crowd").agg(
+        F.max_by("c", F.struct("size", "c")).alias("main"), F.sum("shingles").alias("all"),
+        (F.sum("shingles") - F.max_by("shingles", F.struct("size", "c"))).alias("outside")).where("outside > 0")
+    dealt = classes.join(parts, "crowd").withColumns({
+        "blocks": F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int"),
+        "parts": F.ceil(F.col("outside") / (8 * BLOCK_SHINGLES)).cast("int")})
+    hashed = F.xxhash64("rep")
+    population = dealt.select(
+        "crowd", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.pmod(hashed, F.col("blocks")).cast("int").alias("j"),
+        F.lit(0).alias("probe"), "rep", "c")
+    probes = dealt.where("c <> main").select(
+        "crowd", F.pmod(hashed, F.col("parts")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(1).alias("probe"), "rep", "c")
+    return population.union(probes)
+
+
+def _crowd_links(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between probes and blocks; of each block only those that join what was apart."""
+    key = ["crowd", "i", "j"]
+    rows = crowds.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select(*key, "probe", "rep", "c", "shingles")
+    ordered = rows.repartition(*key).sortWithinPartitions(*key, "probe")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, block, probes = None, None, []
+
+        def links() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in probes], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(6))))
+            for row, (crowd, i, j, probe, rep, c) in enumerate(keys):
+                if (crowd, i, j) != current:
+                    current, block = (crowd, i, j), Block(percent)
+                own = batch.column(6)[row].values.to_numpy(zero_copy_only=False)
+                if probe:
+                    probes.extend((rep, other) for other in block.meet(rep, c, own))
+                else:
+                    block.add(rep, c, own)
+            if probes:
+                yield links()
+                probes = []
+
+    return ordered.mapInArrow(run, "a long, b long")
+
+
+class Block:
+    """Whole sets of some classes, and what their components have been joined to."""
+
+    def __init__(self, percent: int) -> None:
+        self.percent = percent
+        self.reps: list[int] = []
+        self.components: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.tokens: np.ndarray | None = None
+        self.joined: dict[int, int] = {}
+
+    def add(self, rep: int, c: int, own: np.ndarray) -> None:
+        self.reps.append(rep)
+        self.components.append(c)
+        self.sets.append(own)
+
+    def _index(self) -> None:
+        """Tokens in order, each with the class that has it."""
+        self.sizes = np.array([len(own) for own in self.sets])
+        tokens = np.concatenate([*self.sets, np.zeros(0, np.int64)])
+        owner = np.repeat(np.arange(len(self.sets)), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, self.owner = tokens[order], owner[order]
+        self.sets = []
+
+    def _root(self, c: int) -> int:
+        while self.joined.get(c, c) != c:
+            c = self.joined[c]
+        return c
+
+    def meet(self, rep: int, c: int, own: np.ndarray) -> list[int]:
+        """Classes that link with this one and whose component has not been joined with its own; now they are."""
+        if self.tokens is None:
+            self._index()
+        starts, stops = np.searchsorted(self.tokens, own), np.searchsorted(self.tokens, own, "right")
+        shared = np.flatnonzero(stops > starts)
+        places = [np.arange(a, b) for a, b in zip(starts[shared].tolist(), stops[shared].tolist())]
+        if not places:
+            return []
+        both = np.bincount(self.owner[np.concatenate(places)], minlength=len(self.sizes))
+        found = []
+        for k in np.flatnonzero(both * (100 + self.percent) >= (self.sizes + len(own)) * self.percent).tolist():
+            here, there = self._root(c), self._root(self.components[k])
+            if here != there:
+                self.joined[max(here, there)] = min(here, there)
+                found.append(self.reps[k])
+        return found

@@ -1,5 +1,6 @@
 """The similarity join against all pairs."""
 
+import math
 import random
 
 import numpy as np
@@ -98,13 +99,72 @@ def test_prefix_length_is_enough():
             assert jaccard.prefix_length(n, percent) == n - least + 1
 
 
-def test_samples_agree_as_sets_do():
-    rng = np.random.default_rng(8)
-    for _ in range(200):
-        both, own = rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2), rng.integers(0, 1 << 63, (2, 50), dtype=np.uint64) * np.uint64(2)
-        x, y = (np.frombuffer(jaccard.sample(np.unique(np.concatenate([both, o]))), np.uint8) for o in own)
-        assert ((x == y) & (x > 0)).sum() * 3 >= ((x > 0) | (y > 0)).sum()
-    assert jaccard.sample(np.zeros(0, np.uint64)) == bytes(jaccard.BINS)
+def test_samples_of_pairs_that_link_pass():
+    """The bound is that of a binomial tail, and sets just at the threshold are above it."""
+    for percent in (50, 75, 90):
+        bound, t = jaccard.least_agreeing(percent), percent / 100
+        for used in (0, 1, 8, 40, 48, 64):
+            tail = [sum(math.comb(used, k) * t ** k * (1 - t) ** (used - k) for k in range(n)) for n in range(used + 1)]
+            assert tail[bound[used]] < jaccard.SAMPLE_LOSS and (bound[used] == used or tail[bound[used] + 1] >= jaccard.SAMPLE_LOSS)
+        rng = np.random.default_rng(8)
+        both = 3 * percent
+        for _ in range(100):
+            shared = rng.integers(0, 1 << 63, both, dtype=np.uint64) * np.uint64(2)
+            own = rng.integers(0, 1 << 63, (2, (300 - both) // 2), dtype=np.uint64) * np.uint64(2)
+            x, y = (np.frombuffer(jaccard.sample(np.unique(np.concatenate([shared, o]))), np.uint8) for o in own)
+            assert ((x == y) & (x > 0)).sum() >= bound[((x > 0) | (y > 0)).sum()]
+    assert jaccard.least_agreeing(75)[0] == 0 and jaccard.sample(np.zeros(0, np.uint64)) == bytes(jaccard.BINS)
+
+
+def _around_the_threshold(rng, n):
+    """Copies of one text that differ so much that many link with some of the others only, or with none."""
+    words = [f"w{k}" for k in range(3000)]
+    base = [rng.choice(words) for _ in range(80)]
+    docs = []
+    for doc_id in range(n):
+        text = list(base)
+        for _ in range(rng.randrange(5)):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        docs.append((doc_id, " ".join(text)))
+    return docs
+
+
+@pytest.mark.parametrize("percent, paired", [(50, 2), (75, 2), (75, 64), (90, 2)])
+def test_one_large_group_around_the_threshold(make_docs, monkeypatch, percent, paired):
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 1500)
+    docs = _around_the_threshold(random.Random(percent), 220) + [(1000 + k, f"other words {k} " * k) for k in range(20)]
+    assert _got(jaccard.join(make_docs(docs), percent)) == sorted(_plain(docs, percent), key=repr)
+
+
+def test_rows_of_a_crowd_grow_with_its_classes(make_docs, monkeypatch):
+    """Twice the classes of a long list give about twice the rows, not four times."""
+    sizes = []
+    crowds, between = jaccard._crowds, jaccard._between
+
+    def counted(build):
+        def run(*args):
+            df = build(*args)
+            sizes.append(df.count())
+            return df
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_crowds", counted(crowds))
+    monkeypatch.setattr(jaccard, "_between", counted(between))
+    for n in (150, 300):
+        jaccard.join(make_docs(_around_the_threshold(random.Random(1), n)))
+    pairs_small, rows_small, pairs_large, rows_large = sizes
+    assert 0 < rows_large <= 3 * rows_small and pairs_large <= 64 * 300
+
+
+def test_blocks_join_each_component_once():
+    block = jaccard.Block(75)
+    sets = [np.arange(100) + k for k in (0, 1, 2, 500)]
+    for rep, own in enumerate(sets):
+        block.add(rep, rep // 2 * 2, own)  # 0 and 1 are one component, 2 and 3 another
+    assert block.meet(9, 9, np.arange(100) + 1) == [0, 2]
+    assert block.meet(8, 2, np.arange(100)) == [] and block.meet(7, 7, np.arange(900, 1000)) == []
 
 
 def test_order_puts_common_shingles_last():
