@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from llm.common import LONG, SLICE, STRING, apply_rows, documents, field
+from llm.common import LONG, SLICE, STRING, apply_rows, documents, field, materialise
 
 # fixed values: kinds in the order of equal starts, and their patterns
 KINDS = ("assign", "access", "hex", "novel")
@@ -83,9 +83,15 @@ def identifier_counts(docs: DataFrame) -> DataFrame:
 def identifier_dictionary(docs: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     """The most frequent identifiers, the most frequent last, as zstandard wants it."""
     most = size // (IDENTIFIER_CHARS[0] + 1)
-    rows = (
-        identifier_counts(docs).where(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "word").limit(most).collect()  # bounded by size
-    )
+    counts = materialise(identifier_counts(docs).where(F.col("n") >= LEAST_COUNT), "identifiers")
+    # a histogram of the counts, in 64ths of a doubling, tells which words can be among the most frequent
+    level = F.floor(F.log2("n") * 64)
+    least, above = 0, 0
+    for row in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # at most 64 * 64 rows
+        least, above = row.level, above + row["count"]
+        if above >= most:
+            break
+    rows = counts.where(level >= least).orderBy(F.desc("n"), "word").limit(most).collect()  # bounded by size
     words, used = [], 0
     for row in rows:
         used += len(row.word) + 1
