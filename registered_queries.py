@@ -15,7 +15,7 @@ from shoplens.session import materialise, scratch_path, use_utc
 from shoplens.sinks import landing as landing_sink, tables
 from shoplens.sources import landing as landing_source, payloads
 from shoplens.sources.fixtures import FixtureTables
-from shoplens.streaming.delta import append_delta, for_each_batch, read_delta_stream
+from shoplens.streaming.delta import append_delta, read_delta_stream
 from shoplens.streaming.latest_state import LatestPropertyState
 
 TEST_DAYS = {"clicks": 7, "orders": 180}
@@ -552,16 +552,13 @@ STAMPS = ("20260101_000000", "20260101_003000", "20260101_010000", "20260101_013
 def _land_deltas(lab: Lab, formats: tuple[str, ...] = ("parquet",)) -> str:
     """The api rows landed as five delta partitions; returns the raw root."""
     root = scratch_path(lab.spark, "raw")
-    rows = materialise(lab.raw_properties.where(F.col("source_system") == C.API_SOURCE), "api")
-    for part, stamp in enumerate(STAMPS):
-        landing_sink.land(
-            rows.where(F.col("seq") % len(STAMPS) == part).select(
-                "timestamp", "itemid", "property", "value", "source_system", "seq",
-                F.lit(stamp).alias("ingestion_timestamp"),
-            ),
-            root, C.DELTA_FEED, stamp, C.API_SOURCE, formats,
-            api_contract=payloads.RECORDS_CONTRACT, api_success=True, cursor=str(part) if part < 4 else None,
-        )
+    stamp = F.element_at(F.array(*map(F.lit, STAMPS)), (F.col("seq") % len(STAMPS) + 1).cast("int"))
+    rows = lab.raw_properties.where(F.col("source_system") == C.API_SOURCE).select(
+        "timestamp", "itemid", "property", "value", "source_system", "seq", stamp.alias("ingestion_timestamp"))
+    facts = lab.spark.createDataFrame(
+        [(stamp, payloads.RECORDS_CONTRACT, True, str(part) if part < 4 else None) for part, stamp in enumerate(STAMPS)],
+        "ingestion_timestamp string, api_contract string, api_success boolean, cursor string")
+    landing_sink.land_partitions(rows, root, C.DELTA_FEED, C.API_SOURCE, formats, facts=facts)
     return root
 
 
@@ -653,10 +650,9 @@ def _stream_state(lab: Lab) -> LatestPropertyState:
     state = LatestPropertyState(lab.spark, scratch_path(lab.spark, "state"))
     state.seed(lab.batch)
     stream = read_delta_stream(
-        lab.spark, landing_source.type_path(root, C.DELTA_FEED, "parquet"), _delta_schema(), files_per_batch=2
+        lab.spark, landing_source.type_path(root, C.DELTA_FEED, "parquet"), _delta_schema(), files_per_batch=8
     )
-    for_each_batch(stream, state.absorb, scratch_path(lab.spark, "checkpoint")).awaitTermination()
-    state.compact()
+    state.absorb(stream).awaitTermination()
     return state
 
 

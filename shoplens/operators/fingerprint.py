@@ -1,8 +1,11 @@
-"""Order-insensitive content fingerprints and file checksums."""
+"""Order-insensitive content fingerprints."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+#: The fingerprint of no rows.
+EMPTY_FINGERPRINT = "0:0"
 
 
 def fingerprint_columns(names: list[str]) -> tuple[Column, Column]:
@@ -27,18 +30,3 @@ def fingerprint_columns(names: list[str]) -> tuple[Column, Column]:
 def fingerprint(df: DataFrame) -> DataFrame:
     rows, mark = fingerprint_columns(df.columns)
     return df.agg(rows.alias("row_count"), mark.alias("fingerprint"))
-
-
-def file_checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """SHA-256 and size per file. Whole files are read, so below 2 GB each."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.col("path").alias("raw_file"),
-            F.col("length").alias("file_bytes"),
-            F.sha2("content", 256).alias("checksum_sha256"),
-        )
-    )

@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplens.constants import HEAD_RANKS
 from shoplens.functions.scores import guarded_ratio, popularity_score
-from shoplens.operators.ranking import rank_all, top_k_per_key, top_n
+from shoplens.operators.gaps import first_free_ranks
+from shoplens.operators.ranking import rank_all, top_n
 from shoplens.operators.rollup import train_item_stats
 from shoplens.plans.curation import with_metadata
 
-_RANK_BLOCK = 10_000
-
 ORDER_KEYS = ("popularity_score", "train_interaction_score", "train_unique_users")
 
 
@@ -87,34 +86,22 @@ def filtered_positions(targets: DataFrame, seen: DataFrame, ranked: DataFrame, k
 
 
 def recommend(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int, n: int | None = None) -> DataFrame:
-    """The first k unseen items of the ranking, or of its first ``n`` items, for every user.
+    """The first k unseen items of the gapless ranking, or of its first ``n`` items, for every user.
 
-    The k + s ranks a user can need, s being the seen items, are joined to
-    the ranking by rank, then seen items are dropped: rows in proportion to
-    the history. The head of the ranking, which every user needs, is
+    Only (user, rank) travels until each user's k ranks are known, which the
+    gaps between the seen ranks tell; then the item columns are joined to
+    these. The head of the ranking, which nearly every user needs, is
     broadcast, bounded by HEAD_RANKS; later ranks are needed by few users and
-    are shuffled. Ranks are spelled out block by block, so a long history
-    makes many rows and never a long array.
+    are shuffled.
     """
     if n is not None:
         ranked = ranked.where(F.col("rank") <= n)
     wanted = users.select("user_id").distinct()
     history = seen.select("user_id", "item_id").join(wanted, "user_id", "left_semi")
-    counts = history.groupBy("user_id").agg(F.count("*").alias("_seen"))
-    block = F.lit(_RANK_BLOCK)
-    reach = F.col("_reach")
-    slots = (
-        wanted.join(counts, "user_id", "left")
-        .select("user_id", (F.lit(k) + F.coalesce("_seen", F.lit(0))).cast("bigint").alias("_reach"))
-        .select("user_id", "_reach", F.explode(F.sequence(F.lit(0), F.floor((reach - 1) / block).cast("int"))).alias("_block"))
-        .select(
-            "user_id",
-            F.explode(F.sequence(F.col("_block") * block + 1, F.least((F.col("_block") + 1) * block, reach))).alias("rank"),
-        )
-    )
+    taken = history.join(ranked.select("item_id", "rank"), "item_id").select("user_id", "rank")
+    free = first_free_ranks(wanted, taken, k)
     is_head = F.col("rank") <= HEAD_RANKS
-    met = slots.where(is_head).join(F.broadcast(ranked.where(is_head)), "rank").unionByName(
-        slots.where(~is_head).join(ranked.where(~is_head), "rank")
+    met = free.where(is_head).join(F.broadcast(ranked.where(is_head)), "rank").unionByName(
+        free.where(~is_head).join(ranked.where(~is_head), "rank")
     )
-    unseen = met.join(history, ["user_id", "item_id"], "left_anti")
-    return top_k_per_key(unseen, ["user_id"], [F.col("rank")], k, "recommendation_rank").drop("rank")
+    return met.select("user_id", *(name for name in ranked.columns if name != "rank"), "recommendation_rank")

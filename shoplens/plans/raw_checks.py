@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,7 +14,10 @@ from shoplens.plans.expectations import FAIL, PASS, check
 from shoplens.schemas import DELTA_RECORD, QUALITY_ROW
 from shoplens.session import path_exists
 from shoplens.sinks.landing import ingest_state
-from shoplens.sources.landing import latest_stamp, read_manifest, read_type, response_type, type_path
+from shoplens.sources.blocks import digests, partition_totals
+from shoplens.sources.landing import (
+    latest_stamp, partition_path, presence, read_manifest, read_type, response_type, stored_partitions, type_path,
+)
 from shoplens.sources.payloads import DATA_CONTRACT, DATA_KEYS, parse_payloads
 
 DELTA_DATASET = "raw_api_item_properties_delta"
@@ -40,36 +44,50 @@ def landed_facts(spark: SparkSession, root: str, data_type: str, fmt: str, schem
     return rows.groupBy("ingestion_timestamp").agg(count.alias("actual_rows"), mark.alias("actual_fingerprint"))
 
 
-def batch_report(spark: SparkSession, root: str, schemas: dict[str, StructType], fmt: str = "csv") -> DataFrame:
-    """The newest partition of every batch type against its manifest row."""
+def batch_report(spark: SparkSession, root: str, data_types: Iterable[str], fmt: str = "csv") -> DataFrame:
+    """The newest partition of every batch type in that format: its files, hashed again, against its manifest row."""
     manifest = read_manifest(spark, root, required=True)
     parts = []
-    for data_type, schema in schemas.items():
+    for data_type in data_types:
         name = f"raw_batch_{data_type}"
         try:
-            stamp = latest_stamp(manifest, data_type)
+            stamp = latest_stamp(manifest, data_type, fmt)
         except FileNotFoundError as error:
             parts.append(spark.createDataFrame([(name, "raw_batch_validation", FAIL, str(error))], QUALITY_ROW))
             continue
-        declared = manifest.where((F.col("data_type") == data_type) & (F.col("ingestion_timestamp") == stamp))
-        if not path_exists(spark, type_path(root, data_type, fmt)):
+        declared = manifest.where(
+            (F.col("data_type") == data_type) & (F.col("format") == fmt) & (F.col("ingestion_timestamp") == stamp))
+        path = partition_path(root, data_type, fmt, stamp)
+        if not path_exists(spark, path):
             parts.append(_rows(F.lit(name), declared.limit(1), [check("raw_file_exists", FAIL, F.col("landing_path"))]))
             continue
-        facts = landed_facts(spark, root, data_type, fmt, schema).where(F.col("ingestion_timestamp") == stamp)
-        joined = declared.join(facts, "ingestion_timestamp", "left")
+        totals = digests(spark, path).agg(
+            *partition_totals(), F.sum(F.greatest(F.col("records") - 1, F.lit(0))).alias("actual_rows"))
+        joined = declared.join(totals.select(
+            F.lit(stamp).alias("ingestion_timestamp"), "actual_rows", F.col("checksum_sha256").alias("actual_checksum")),
+            "ingestion_timestamp", "left")
         same_rows = (F.col("row_count") == F.col("actual_rows")) & (F.col("actual_rows") > 0)
-        same_mark = F.col("fingerprint") == F.col("actual_fingerprint")
+        same_bytes = F.col("checksum_sha256") == F.col("actual_checksum")
         partition = F.concat(F.lit("ingestion_timestamp="), F.col("ingestion_timestamp"))
         parts.append(_rows(F.lit(name), joined, [
-            check("raw_file_exists", _verdict(F.col("actual_rows").isNotNull()), F.col("landing_path")),
+            check("raw_file_exists", _verdict(F.col("actual_checksum").isNotNull()), F.col("landing_path")),
             check("partition_name", _verdict(F.col("ingestion_timestamp").rlike(STAMP_PATTERN)), partition),
             check("row_count_matches_metadata", _verdict(same_rows), _matching(same_rows, "row_count", "actual_rows")),
-            check("checksum_matches_metadata", _verdict(same_mark), _matching(same_mark, "fingerprint", "actual_fingerprint")),
+            check("checksum_matches_metadata", _verdict(same_bytes), _matching(same_bytes, "checksum_sha256", "actual_checksum")),
             check("source_system", _verdict(F.col("source_system") == BATCH_SOURCE), _text("source_system")),
         ]))
     return reduce(DataFrame.unionByName, parts)
 
 
+def presence_report(spark: SparkSession, root: str) -> DataFrame:
+    """A row for every partition and format that the manifest or the store knows; what only one of them knows fails."""
+    found = F.col("presence")
+    dataset = F.concat(F.col("data_type"), F.lit(":ingestion_timestamp="), F.col("ingestion_timestamp"))
+    files = F.concat(F.lit("files declared="), _text("declared_files"), F.lit(", stored="), _text("stored_files"))
+    return _rows(dataset, presence(spark, root), [
+        check(F.concat(F.col("format"), F.lit("_presence")), _verdict(found == "present"), F.concat(found, F.lit(": "), files))])
+
+
 def _matching(condition: Column, declared: str, actual: str) -> Column:
     differing = F.concat(F.lit("metadata="), _text(declared), F.lit(", actual="), _text(actual))
     return F.when(F.coalesce(condition, F.lit(False)), _text(actual)).otherwise(differing)
@@ -120,27 +138,30 @@ def delta_report(
         return spark.createDataFrame([(DELTA_DATASET, "raw_api_validation", FAIL, missing)], QUALITY_ROW)
     parts = []
 
-    # presence: every expected format of every partition, missing ones fail
-    responses = everything.where(F.col("data_type") == response_type(data_type))
+    # presence in the store: every expected format of every partition, missing ones fail
+    raw_type = response_type(data_type)
     expected = [*expected_formats, *(["raw_response"] if with_responses else [])]
     wanted = manifest.select("ingestion_timestamp").distinct().select(
         "ingestion_timestamp", F.explode(F.array(*[F.lit(name) for name in expected])).alias("format")
     )
-    landed = manifest.select("ingestion_timestamp", "format", "landing_path").unionByName(
-        responses.select("ingestion_timestamp", F.lit("raw_response").alias("format"), "landing_path")
-    )
-    presence = wanted.join(landed, ["ingestion_timestamp", "format"], "left")
-    found = F.col("landing_path").isNotNull()
-    parts.append(presence.select(
+    stored = stored_partitions(spark, root).where(F.col("data_type").isin(data_type, raw_type)).select(
+        "ingestion_timestamp", F.when(F.col("data_type") == raw_type, "raw_response").otherwise(F.col("format")).alias("format"),
+        F.concat(F.lit(f"{root}/type="), F.col("data_type"), F.lit("/format="), F.col("format"),
+                 F.lit("/ingestion_timestamp="), F.col("ingestion_timestamp")).alias("stored_path"))
+    found = F.col("stored_path").isNotNull()
+    parts.append(wanted.join(stored, ["ingestion_timestamp", "format"], "left").select(
         _partition_dataset().alias("dataset_name"),
         F.concat(F.col("format"), F.lit("_exists")).alias("check_name"),
         F.when(found, PASS).otherwise(FAIL).alias("status"),
-        F.coalesce("landing_path", F.lit("not landed")).alias("details"),
+        F.coalesce("stored_path", F.lit("not landed")).alias("details"),
     ))
 
-    if with_responses and path_exists(spark, type_path(root, response_type(data_type), "parquet")):
+    if with_responses:
         text = StructType().add("value", "string")
-        parts.append(response_checks(read_type(spark, root, response_type(data_type), "parquet", text), manifest))
+        if path_exists(spark, type_path(root, raw_type, "parquet")):
+            parts.append(response_checks(read_type(spark, root, raw_type, "parquet", text), manifest))
+        else:
+            parts.append(spark.createDataFrame([(DELTA_DATASET, "raw_response_contract", FAIL, f"no landed {raw_type}")], QUALITY_ROW))
 
     facts = landed_facts(spark, root, data_type, "parquet", schema)
     declared = manifest.where(F.col("format") == "parquet")

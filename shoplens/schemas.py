@@ -60,6 +60,7 @@ MANIFEST = T.StructType([
     T.StructField("source_file", T.StringType()),
     T.StructField("row_count", T.LongType()),
     T.StructField("fingerprint", T.StringType()),
+    T.StructField("checksum_sha256", T.StringType()),
     T.StructField("file_count", T.LongType()),
     T.StructField("file_bytes", T.LongType()),
     T.StructField("api_contract", T.StringType()),

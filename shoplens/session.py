@@ -87,3 +87,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def publish_path(spark: SparkSession, pending: str, final: str) -> None:
+    """Moves a finished folder to its final name; one step where the store can rename folders."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(path) for path in (pending, final))
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    if not store.rename(source, target):
+        raise OSError(f"{pending} could not be moved to {final}")

@@ -2,32 +2,66 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from shoplens.constants import API_SOURCE, BATCH_SOURCE
-from shoplens.operators.fingerprint import fingerprint
+from shoplens.operators.fingerprint import EMPTY_FINGERPRINT, fingerprint_columns
 from shoplens.operators.merge import stack
 from shoplens.schemas import MANIFEST
-from shoplens.session import path_exists
+from shoplens.session import delete_path, materialise, path_exists, publish_path
+from shoplens.sources.blocks import digests, partition_totals
 from shoplens.sources.external import csv_header
-from shoplens.sources.landing import CSV_READ, CSV_WRITE, manifest_path, partition_path, response_type
+from shoplens.sources.landing import (
+    CSV_READ, CSV_WRITE, manifest_path, partition_path, path_fact, pending_path, read_manifest, response_type,
+)
 from shoplens.sources.payloads import normalise_records, parse_payloads, read_payload_text, require_valid
 
-
-def _file_totals(spark: SparkSession, path: str) -> DataFrame:
-    """Number and total size of data files; only the listing is read."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "length")
-        .agg(F.count("*").alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("file_bytes"))
-    )
+STAMP = "ingestion_timestamp"
 
 
 def _read_back(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
-    reader = spark.read.schema(schema)
+    """A pending format with its partition column, as text."""
+    fields = [field for field in schema.fields if field.name != STAMP]
+    reader = spark.read.schema(StructType([*fields, StructField(STAMP, StringType())]))
     return (reader.options(**CSV_READ) if fmt == "csv" else reader).format(fmt).load(path)
 
 
+def _write(df: DataFrame, fmt: str, path: str, stamp: str | None) -> None:
+    """One partition of that stamp, which may be empty, or a partition for every stamp of the rows."""
+    writer = (df if stamp is None else df.drop(STAMP)).write.mode("errorifexists").format(fmt)
+    writer = writer.options(**CSV_WRITE) if fmt == "csv" else writer
+    if stamp is None:
+        writer.partitionBy(STAMP).save(path)
+    else:
+        writer.save(f"{path}/{STAMP}={stamp}")
+
+
+def _refuse_published(spark: SparkSession, root: str, data_type: str, formats: Iterable[str], stamps: DataFrame) -> None:
+    taken = read_manifest(spark, root).where((F.col("data_type") == data_type) & F.col("format").isin(*formats)).join(
+        stamps, STAMP, "left_semi").select("landing_path").first()
+    if taken is not None:
+        raise FileExistsError(f"landing partition exists: {taken['landing_path']}")
+
+
+def _publish(spark: SparkSession, manifest: DataFrame, root: str, pending: str) -> None:
+    """Moves the pending partitions to their places, then lists them in the manifest.
+
+    Until its manifest row is there a partition is not published: a failure
+    between the two steps leaves one that ``presence`` calls unlisted and that
+    the next landing of the same stamp takes over.
+    """
+    for row in manifest.select("data_type", "format", STAMP, "landing_path").collect():  # a row per partition of this landing
+        if path_exists(spark, row["landing_path"]):
+            delete_path(spark, row["landing_path"])  # never published
+        publish_path(spark, f"{pending}/{row['format']}/{STAMP}={row[STAMP]}", row["landing_path"])
+    append_manifest(manifest, root)
+    delete_path(spark, pending)
+
+
 def land(
     df: DataFrame,
     root: str,
@@ -40,45 +74,62 @@ def land(
 ) -> DataFrame:
     """Write ``df`` as a new partition in every format; return manifest rows.
 
-    Fails if the partition exists. The second and later formats are copied
-    from the first, and counts and fingerprints come from the landed files,
-    so the manifest describes what was stored and not what was meant to be.
+    Fails if the partition is in the manifest. See ``land_partitions``.
+    """
+    known = df.sparkSession.createDataFrame([(stamp,)], f"{STAMP} string").select(
+        STAMP, *(F.lit(value).alias(name) for name, value in facts.items()))
+    return _land(df, root, data_type, source_system, formats, source_file, known, stamp)
+
+
+def land_partitions(
+    df: DataFrame,
+    root: str,
+    data_type: str,
+    source_system: str,
+    formats: tuple[str, ...] = ("parquet",),
+    source_file: str | None = None,
+    facts: DataFrame | None = None,
+) -> DataFrame:
+    """Write the rows of ``df`` as one new partition for each ``ingestion_timestamp``, in every format; return manifest rows.
+
+    All partitions are written together and described together. Fails if one
+    of them is in the manifest. The second and later formats are copied from
+    the first, and counts, fingerprints and checksums come from the written
+    files, so the manifest describes what was stored and not what was meant to
+    be. ``facts``: further manifest columns by ``ingestion_timestamp``.
     """
+    known = df.select(STAMP).distinct() if facts is None else facts
+    return _land(df, root, data_type, source_system, formats, source_file, known, None)
+
+
+def _land(df, root, data_type, source_system, formats, source_file, facts: DataFrame, stamp: str | None) -> DataFrame:
     spark = df.sparkSession
-    paths = {fmt: partition_path(root, data_type, fmt, stamp) for fmt in formats}
-    taken = [path for path in paths.values() if path_exists(spark, path)]
-    if taken:
-        raise FileExistsError(f"landing partition exists: {taken[0]}")
+    _refuse_published(spark, root, data_type, formats, facts.select(STAMP))
+    pending = pending_path(root, uuid.uuid4().hex)
     rows, landed = [], df
-    for fmt, path in paths.items():
-        writer = landed.write.mode("errorifexists").format(fmt)
-        (writer.options(**CSV_WRITE) if fmt == "csv" else writer).save(path)
+    for fmt in formats:
+        path = f"{pending}/{fmt}"
+        _write(landed, fmt, path, stamp)
         landed = _read_back(spark, path, fmt, df.schema)
-        rows.append(_manifest_row(landed, path, fmt, data_type, stamp, source_system, source_file, facts))
-    manifest = stack(*rows)
-    append_manifest(manifest, root)
+        count, mark = fingerprint_columns(df.columns)
+        counts = landed.groupBy(STAMP).agg(count.alias("row_count"), mark.alias("fingerprint"))
+        files = digests(spark, path, "part-*").groupBy(path_fact(F.col("path"), STAMP).alias(STAMP)).agg(*partition_totals())
+        rows.append(facts.join(files, STAMP).join(counts, STAMP, "left").withColumns({
+            "row_count": F.coalesce("row_count", F.lit(0)), "fingerprint": F.coalesce("fingerprint", F.lit(EMPTY_FINGERPRINT)),
+            "format": F.lit(fmt),
+            "landing_path": F.concat(F.lit(partition_path(root, data_type, fmt, "")), F.col(STAMP))}))
+    manifest = _manifest_rows(stack(*rows), source_system=source_system, data_type=data_type, source_file=source_file)
+    _publish(spark, manifest, root, pending)
     return manifest
 
 
-def _manifest_row(landed, path, fmt, data_type, stamp, source_system, source_file, facts) -> DataFrame:
-    files = _file_totals(landed.sparkSession, path)
-    known = {
-        "source_system": F.lit(source_system),
-        "data_type": F.lit(data_type),
-        "ingestion_timestamp": F.lit(stamp),
-        "format": F.lit(fmt),
-        "landing_path": F.lit(path),
-        "source_file": F.lit(source_file),
-        "row_count": F.col("row_count"),
-        "fingerprint": F.col("fingerprint"),
-        "file_count": files.select("file_count").scalar(),
-        "file_bytes": files.select("file_bytes").scalar(),
-        "ingested_at": F.current_timestamp(),
-        **{name: F.lit(value) for name, value in facts.items()},
-    }
-    return fingerprint(landed).select(*[
+def _manifest_rows(described: DataFrame, **same) -> DataFrame:
+    """Stored rows of the manifest's schema; ``same`` are the values that all rows share."""
+    known = {**{name: F.col(name) for name in described.columns}, **{name: F.lit(value) for name, value in same.items()},
+             "ingested_at": F.current_timestamp()}
+    return materialise(described.select(*[
         known.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in MANIFEST.fields
-    ])
+    ]), "manifest-rows")
 
 
 def append_manifest(rows: DataFrame, root: str) -> None:
@@ -96,18 +147,48 @@ def land_batch(
     spark: SparkSession, source_file: str, root: str, data_type: str, stamp: str, columns: list[str],
     source_system: str = BATCH_SOURCE,
 ) -> DataFrame:
-    """Land a CSV source as CSV, every column and every value kept as the text it was.
-
-    ``columns`` must be in the header; further columns are landed too. A value
-    may hold line breaks, and an empty text stays apart from a missing one.
+    """Land a CSV file, or a folder of them, byte for byte; return the manifest row.
+
+    ``columns`` must be in the header; further columns are landed too. The
+    executors copy the files in blocks, with digest and record count on the
+    way, to a pending folder; the copies are read back and must have the
+    digests of what was read. Then the folder gets its name and its manifest
+    row. A landing of the same files that failed between these two steps is
+    adopted, one of other files is replaced.
     """
     header = csv_header(spark, source_file)
     missing = [name for name in columns if name not in header]
     if missing:
         raise ValueError(f"{source_file} has no column {', '.join(missing)}; its header is {', '.join(header)}")
-    text = StructType([StructField(name, StringType()) for name in header])
-    raw = spark.read.schema(text).options(**CSV_READ, enforceSchema=False).csv(source_file)
-    return land(raw, root, data_type, stamp, source_system, ("csv",), source_file)
+    _refuse_published(spark, root, data_type, ["csv"], spark.createDataFrame([(stamp,)], f"{STAMP} string"))
+    final = partition_path(root, data_type, "csv", stamp)
+    if path_exists(spark, final) and _same_files(digests(spark, source_file), digests(spark, final)):
+        landed = digests(spark, final)
+        manifest = _batch_manifest(landed, stamp, data_type, source_system, source_file, final)
+        append_manifest(manifest, root)
+        return manifest
+    pending = pending_path(root, uuid.uuid4().hex)
+    target = f"{pending}/csv/{STAMP}={stamp}"
+    read = materialise(digests(spark, source_file, copy_to=target), "copied")
+    landed = materialise(digests(spark, target), "landed")
+    if not _same_files(read, landed):
+        raise OSError(f"the copy of {source_file} at {target} differs from it")
+    manifest = _batch_manifest(landed, stamp, data_type, source_system, source_file, final)
+    _publish(spark, manifest, root, pending)
+    return manifest
+
+
+def _same_files(left: DataFrame, right: DataFrame) -> bool:
+    """Whether both have the same names with the same content."""
+    names = ["name", "file_bytes", "checksum_sha256"]
+    return stack(left.select(*names).exceptAll(right.select(*names)), right.select(*names).exceptAll(left.select(*names))).isEmpty()
+
+
+def _batch_manifest(landed, stamp, data_type, source_system, source_file, final) -> DataFrame:
+    totals = landed.agg(*partition_totals(), F.sum(F.greatest(F.col("records") - 1, F.lit(0))).alias("row_count"))
+    return _manifest_rows(
+        totals.withColumn(STAMP, F.lit(stamp)), source_system=source_system, data_type=data_type, source_file=source_file,
+        format="csv", landing_path=final)
 
 
 def land_payloads(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from shoplens.operators.merge import stack
 from shoplens.operators.ranking import first_per_key
 from shoplens.schemas import DELTA_RECORD, MANIFEST
 from shoplens.session import path_exists
+from shoplens.sources.blocks import listed
 
 # --- fixed values: a partition is read from the first format it has -------
 FORMAT_PREFERENCE = ("parquet", "csv", "json")
@@ -38,6 +39,50 @@ def partition_path(root: str, data_type: str, fmt: str, stamp: str) -> str:
     return f"{type_path(root, data_type, fmt)}/ingestion_timestamp={stamp}"
 
 
+def pending_path(root: str, run: str) -> str:
+    """Where a landing lies until it is published; readers pass over names that begin with an underscore."""
+    return f"{root}/_pending/{run}"
+
+
+def path_fact(path: Column, name: str) -> Column:
+    """The value of ``name=value`` in the path of a landed file."""
+    return F.regexp_extract(path, rf"/{name}=([^/]*)/", 1)
+
+
+def stored_partitions(spark: SparkSession, root: str) -> DataFrame:
+    """data_type, format, ingestion_timestamp, stored_files, stored_bytes as the store lists them; no content is read.
+
+    What was never published is in the list too: the manifest is not asked.
+    """
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "data_type string, format string, ingestion_timestamp string, stored_files long, stored_bytes long")
+    path = F.col("path")
+    return (
+        listed(spark, root).where(path.contains("/ingestion_timestamp=") & ~path.contains("/_pending/"))
+        .groupBy(path_fact(path, "type").alias("data_type"), path_fact(path, "format").alias("format"),
+                 path_fact(path, "ingestion_timestamp").alias("ingestion_timestamp"))
+        .agg(F.count("*").alias("stored_files"), F.sum("length").alias("stored_bytes"))
+        .where("data_type <> ''")
+    )
+
+
+def presence(spark: SparkSession, root: str) -> DataFrame:
+    """Manifest against store, in both directions, one row per partition and format.
+
+    ``present``, ``missing`` (declared, and no file is stored), ``incomplete``
+    (other files or bytes than declared) or ``unlisted`` (stored, and no
+    manifest row tells of it).
+    """
+    key = ["data_type", "format", "ingestion_timestamp"]
+    declared = read_manifest(spark, root).groupBy(*key).agg(
+        F.max("file_count").alias("declared_files"), F.max("file_bytes").alias("declared_bytes"))
+    same = (F.col("declared_files") == F.col("stored_files")) & (F.col("declared_bytes") == F.col("stored_bytes"))
+    return declared.join(stored_partitions(spark, root), key, "full").select(
+        *key, "declared_files", "stored_files",
+        F.when(F.col("declared_files").isNull(), "unlisted").when(F.col("stored_files").isNull(), "missing")
+        .when(same, "present").otherwise("incomplete").alias("presence"))
+
+
 def read_manifest(spark: SparkSession, root: str, required: bool = False) -> DataFrame:
     """The manifest table; empty when nothing was landed, unless required."""
     path = manifest_path(root)

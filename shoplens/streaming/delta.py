@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -35,12 +33,3 @@ def append_delta(stream: DataFrame, target: str, checkpoint: str) -> StreamingQu
         .trigger(availableNow=True)
         .start(target)
     )
-
-
-def for_each_batch(stream: DataFrame, absorb: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(absorb)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )

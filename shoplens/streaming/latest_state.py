@@ -1,92 +1,82 @@
-"""Latest property values per item, kept up to date batch by batch.
-
-The state is a reduced property log: the newest row per item and property.
-A micro-batch adds its own newest rows as one small log partition, so its
-cost follows the batch and not the state. Readers reduce base and log again;
-compaction folds the log into a new base. The newest of the newest is the
-newest, so the result equals the batch computation over all rows.
+"""Latest property values per item, kept up to date by a streaming aggregation.
+
+The state is Spark's own: one row per item and property in the state store of
+the query's checkpoint, the newest by the order that the batch computation
+uses. RocksDB holds it outside the heap, and a batch commits a changelog of
+the keys that it changed, so its cost follows the batch; Spark itself makes
+snapshots and drops old versions. Readers take the last committed version
+through the state data source. The newest of the newest is the newest, so the
+result equals the batch computation over all rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.constants import SELECTED_PROPERTIES
-from shoplens.operators.merge import stack
-from shoplens.operators.ranking import first_per_key
-from shoplens.plans.latest import newest_first
-from shoplens.session import delete_path, path_exists
+from shoplens.session import path_exists
+
+KEY = ("item_id", "property_name")
+#: The newest row is the greatest in these columns, as in the batch computation.
+ORDER = ("property_timestamp_ms", "source_system", "seq", "property_value")
+
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 class LatestPropertyState:
+    """State below ``root``; the checkpoint keeps it together with the files that it has taken in."""
+
     def __init__(self, spark: SparkSession, root: str, properties: tuple[str, ...] = SELECTED_PROPERTIES):
         self.spark = spark
         self.root = root.rstrip("/")
         self.properties = properties
 
     @property
-    def _log(self) -> str:
-        return f"{self.root}/log"
+    def checkpoint(self) -> str:
+        return f"{self.root}/checkpoint"
 
     @property
-    def _commits(self) -> str:
-        return f"{self.root}/base_commits"
+    def _seed(self) -> str:
+        return f"{self.root}/seed"
 
-    def _base(self, upto: int) -> str:
-        return f"{self.root}/base/upto={upto}"
+    def seed(self, rows: DataFrame) -> None:
+        """Start from a history that does not come through the stream; only before the first run."""
+        if path_exists(self.spark, self.checkpoint):
+            raise FileExistsError(f"the state at {self.root} has begun: its seed is fixed")
+        rows.where(F.col("property_name").isin(*self.properties)).write.mode("errorifexists").parquet(self._seed)
 
-    def reduce(self, rows: DataFrame) -> DataFrame:
+    def newest(self, rows: DataFrame) -> DataFrame:
+        """Key and, as one struct, the newest row of each; the same for a table and a stream."""
         kept = rows.where(F.col("property_name").isin(*self.properties))
-        return first_per_key(kept, ["item_id", "property_name"], newest_first(kept))
-
-    def absorb(self, batch: DataFrame, batch_id: int) -> None:
-        """foreachBatch target. A replayed batch overwrites its own partition."""
-        self.reduce(batch).write.mode("overwrite").parquet(f"{self._log}/batch_id={batch_id}")
-
-    def seed(self, rows: DataFrame) -> None:
-        """Start from a history that did not come through the stream."""
-        self._write_base(self.reduce(rows), -1)
+        first = [name for name in ORDER if name in kept.columns]
+        rest = [name for name in kept.columns if name not in first and name not in KEY]
+        return kept.groupBy(*KEY).agg(F.max(F.struct(*first, *rest)).alias("newest"))
+
+    def absorb(self, stream: DataFrame) -> StreamingQuery:
+        """Takes in what the stream has to offer now; started again it goes on where it stopped."""
+        if path_exists(self.spark, self._seed):
+            schema = self.spark.read.parquet(self._seed).schema
+            stream = stream.unionByName(self.spark.readStream.schema(schema).parquet(self._seed), allowMissingColumns=True)
+        before = {name: self.spark.conf.get(name, None) for name in STATE_SETTINGS}
+        for name, value in STATE_SETTINGS.items():
+            self.spark.conf.set(name, value)
+        try:  # a query keeps the settings that it starts with
+            return (
+                self.newest(stream).writeStream.outputMode("update").format("noop")
+                .option("checkpointLocation", self.checkpoint).trigger(availableNow=True).start()
+            )
+        finally:
+            for name, value in before.items():
+                self.spark.conf.unset(name) if value is None else self.spark.conf.set(name, value)
 
     def current(self) -> DataFrame:
-        upto = self._base_upto()
-        parts = []
-        if upto is not None:
-            parts.append(self.spark.read.parquet(self._base(upto)))
-        if path_exists(self.spark, self._log):
-            log = self.spark.read.parquet(self._log)
-            newer = log if upto is None else log.where(F.col("batch_id") > upto)
-            parts.append(newer.drop("batch_id"))
-        if not parts:
-            raise FileNotFoundError(f"no state at {self.root}: run the stream or seed it first")
-        return self.reduce(stack(*parts))
-
-    def compact(self) -> None:
-        """Fold the log into a new base; readers switch when it is committed."""
-        if not path_exists(self.spark, self._log):
-            return
-        last = self.spark.read.parquet(self._log).agg(F.max("batch_id").alias("last")).first()["last"]
-        if last is not None and last != self._base_upto():
-            self._write_base(self.current(), last)
-
-    def vacuum(self) -> None:
-        """Delete what the newest committed base replaces; no reader may be running."""
-        upto = self._base_upto()
-        if upto is None:
-            return
-        commits = self.spark.read.schema("upto bigint").parquet(self._commits).where(F.col("upto") < upto)
-        for row in commits.collect():
-            delete_path(self.spark, self._base(row["upto"]))
-        if path_exists(self.spark, self._log):
-            log = self.spark.read.parquet(self._log).select("batch_id").where(F.col("batch_id") <= upto).distinct()
-            for row in log.collect():
-                delete_path(self.spark, f"{self._log}/batch_id={row['batch_id']}")
-
-    def _write_base(self, rows: DataFrame, upto: int) -> None:
-        rows.write.mode("overwrite").parquet(self._base(upto))
-        commit = self.spark.createDataFrame([(upto,)], "upto bigint")
-        commit.coalesce(1).write.mode("append").parquet(self._commits)
-
-    def _base_upto(self) -> int | None:
-        if not path_exists(self.spark, self._commits):
-            return None
-        return self.spark.read.schema("upto bigint").parquet(self._commits).agg(F.max("upto").alias("upto")).first()["upto"]
+        """The newest row of each item and property, of the last committed batch."""
+        if not path_exists(self.spark, f"{self.checkpoint}/commits"):
+            raise FileNotFoundError(f"no state at {self.root}: run the stream first")
+        state = self.spark.read.format("statestore").load(self.checkpoint)
+        value = state.schema["value"].dataType.fieldNames()[0]  # the one aggregate of the query
+        return state.select("key.*", F.col("value").getField(value).alias("newest")).select(*KEY, "newest.*")

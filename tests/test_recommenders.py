@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairing import recommend_by_pairing
+from shoplens.operators.gaps import first_free_ranks
 from shoplens.plans import content, popularity, training
 from shoplens.constants import DAY_MS
 
@@ -107,6 +108,28 @@ def test_popularity_lists_equal_walking_the_ranking(spark, seed):
     assert short == 0  # a saved list of eight, all of it seen
 
 
+def test_free_ranks_of_a_user_who_has_taken_most(spark):
+    """Long histories are counted by blocks: at most k rows a user, whatever the gaps and repeats."""
+    taken = {1: set(range(1, 5001)) - {7, 1024, 1025, 2000, 4096}, 2: set(range(2, 4000, 2)), 3: {1, 2, 3, 2048, 2049}, 4: set(range(1, 3000))}
+    frame = spark.createDataFrame([(u, r) for u, s in taken.items() for r in s for _ in range(1 + r % 2)], "user_id bigint, rank bigint")
+    users = spark.createDataFrame([(u,) for u in (1, 2, 3, 4, 5)], "user_id bigint")
+    for k, block in ((3, 1024), (8, 1024), (8, 3), (8, 1)):
+        got = {}
+        for row in first_free_ranks(users, frame, k, block).collect():
+            got.setdefault(row.user_id, {})[row.recommendation_rank] = row.rank
+        want = {u: [r for r in range(1, 6000) if r not in taken.get(u, ())][:k] for u in (1, 2, 3, 4, 5)}
+        assert got == {u: dict(enumerate(ranks, 1)) for u, ranks in want.items()}
+
+
+def test_item_columns_join_only_the_final_ranks(spark):
+    """No row is ranked or dropped again after the item columns have come: their joins end the plan."""
+    model = spark.createDataFrame(_ranking(list(range(50))), "item_id bigint, rank int, popularity_score double")
+    frame = spark.createDataFrame([(1, 2)], "user_id bigint, item_id bigint")
+    plan = popularity.recommend(frame, frame, model, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "LeftAnti" not in plan
+    assert all("_block" in line for line in plan.splitlines() if "Window [" in line)
+
+
 def test_popularity_with_an_empty_model(spark):
     model = spark.createDataFrame([], "item_id bigint, rank int, popularity_score double")
     users = spark.createDataFrame([(1,)], "user_id bigint")

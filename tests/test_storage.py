@@ -1,20 +1,26 @@
 """Landing, payloads, streaming, tables and end-to-end runs."""
 
+import csv
+import hashlib
+import io
 import json
 import os
+import random
+import shutil
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shoplens.constants import API_SOURCE, CONTENT_KEY, DELTA_FEED, POPULARITY_KEY
-from shoplens.operators.fingerprint import file_checksums
 from shoplens.plans import build, expectations, latest, raw_checks, staging
 from shoplens.schemas import CATEGORY_TREE_CSV, DELTA_RECORD, EVENTS_CSV, ITEM_PROPERTIES_CSV
 from shoplens.session import scratch_root
 from shoplens.sinks import landing as sink, reports, tables
 from shoplens.sources import external, landing, payloads
+from shoplens.sources.blocks import CsvRecords, digests
 from shoplens.sources.fixtures import FixtureTables
-from shoplens.streaming.delta import append_delta, for_each_batch, read_delta_stream
+from shoplens.streaming.delta import append_delta, read_delta_stream
 from shoplens.streaming.latest_state import LatestPropertyState
 
 RECORD = {"timestamp": 1431226800000, "itemid": 46, "property": "categoryid", "value": "1"}
@@ -119,19 +125,15 @@ def test_batch_landing_and_its_report(spark, tmp_path):
     assert manifest.first().row_count == 2 and manifest.first().file_bytes > 0
     sink.write_sidecar(manifest, root)
     assert landing.read_sidecars(spark, root).first().row_count == 2
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    text = StructType([StructField(name, StringType()) for name in EVENTS_CSV.fieldNames()])
-    report = raw_checks.batch_report(spark, root, {"events": text, "category_tree": text}).collect()
+    report = raw_checks.batch_report(spark, root, ["events", "category_tree"]).collect()
     assert {(r.dataset_name, r.status) for r in report} == {("raw_batch_events", "PASS"), ("raw_batch_category_tree", "FAIL")}
     landed = landing.read_latest(spark, root, "events", "csv", EVENTS_CSV)
     staged = staging.stage_events(landed, staging.file_of_row())
     assert {(r.transaction_id, r.event_type) for r in staged.collect()} == {(None, "view"), (7, "transaction")}
     assert "ingestion_timestamp=20260101_000000" in staged.first()["_source_file"]
-    import hashlib
-
-    sums = file_checksums(spark, str(tmp_path), "events.csv").collect()
-    assert [r.checksum_sha256 for r in sums] == [hashlib.sha256(source.read_bytes()).hexdigest()]
+    sums = digests(spark, str(tmp_path), "events.csv").collect()
+    wanted = hashlib.sha256(source.read_bytes()).hexdigest()
+    assert {r.checksum_sha256 for r in sums} == {wanted} == {manifest.first().checksum_sha256}
 
 
 def test_csv_and_json_sources(spark, tmp_path):
@@ -152,29 +154,39 @@ def _api_rows(spark, small):
 
 @pytest.mark.parametrize("order", [(0, 1, 2, 3, 4), (3, 0, 4, 2, 1)])
 def test_streamed_state_equals_batch_in_any_file_order(spark, small, tmp_path, rows, order):
+    """Each file comes in a run of its own, which goes on from the checkpoint of the last one."""
     _, api = _api_rows(spark, small)
-    source = str(tmp_path / "in")
-    state = LatestPropertyState(spark, str(tmp_path / "state"))
+    source, root = str(tmp_path / "in"), str(tmp_path / "state")
     with pytest.raises(FileNotFoundError):
-        state.current()
+        LatestPropertyState(spark, root).current()
     schema = api.withColumn("ingestion_timestamp", F.lit("")).schema
-    for step, part in enumerate(order):
+    seed = staging.stage_properties_delta(api.where(F.col("seq") % 5 == order[0]).withColumn("ingestion_timestamp", F.lit("seed")))
+    LatestPropertyState(spark, root).seed(seed)
+    for part in order[1:]:
         api.where(F.col("seq") % 5 == part).withColumn("ingestion_timestamp", F.lit(f"run{part}")).coalesce(1).write.mode("append").parquet(source)
-        stream = read_delta_stream(spark, source, schema)
-        for_each_batch(stream, state.absorb, str(tmp_path / "ckpt")).awaitTermination()
-        if step == 2:
-            state.compact()
+        state = LatestPropertyState(spark, root)  # as after a restart
+        state.absorb(read_delta_stream(spark, source, schema)).awaitTermination()
+    with pytest.raises(FileExistsError):
+        state.seed(seed)
     expected = staging.stage_properties_delta(api)
     columns = ["item_id", "category_id", "category_timestamp_ms"]
     assert rows(latest.item_category_latest(state.current()), *columns) == rows(latest.item_category_latest(expected), *columns)
     columns = ["item_id", "is_available", "availability_timestamp_ms"]
-    before = rows(latest.item_availability_latest(state.current()), *columns)
-    assert before == rows(latest.item_availability_latest(expected), *columns)
-    state.absorb(expected.limit(0), 99)
-    state.compact()
-    state.compact()
-    state.vacuum()
-    assert rows(latest.item_availability_latest(state.current()), *columns) == before
+    assert rows(latest.item_availability_latest(state.current()), *columns) == rows(latest.item_availability_latest(expected), *columns)
+
+
+def test_state_does_not_grow_with_the_batches(spark, small, tmp_path):
+    _, api = _api_rows(spark, small)
+    source = str(tmp_path / "in")
+    part = api.withColumn("ingestion_timestamp", F.lit("r")).where(F.col("seq") % 40 == 0)
+    for _ in range(12):
+        part.coalesce(1).write.mode("append").parquet(source)
+    state = LatestPropertyState(spark, str(tmp_path / "state"))
+    query = state.absorb(read_delta_stream(spark, source, part.schema, files_per_batch=1))
+    query.awaitTermination()
+    totals = [progress["stateOperators"][0]["numRowsTotal"] for progress in query.recentProgress]
+    assert len(totals) >= 12 and len(set(totals)) == 1
+    assert state.current().count() == totals[0] == state.newest(staging.stage_properties_delta(part)).count()
 
 
 def test_appended_delta_keeps_duplicates_and_takes_files_once(spark, small, tmp_path):
@@ -246,6 +258,100 @@ def test_landed_batch_keeps_all_columns_line_breaks_and_empty_texts(spark, tmp_p
         [("1", "two\nlines", "x"), ("2", "", None), ("3", None, 'say "hi"')], key=repr)
 
 
+def test_records_are_those_of_a_csv_reader():
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choice(["a", ",", '"', '""', "\n", "\r\n", "\r", "é"]) for _ in range(rng.randrange(14)))
+        body, at, records = text.encode(), 0, CsvRecords()
+        while at < len(body):
+            size = rng.randrange(1, 6)
+            records.add(np.frombuffer(body[at: at + size], np.uint8))
+            at += size
+        assert records.total() == sum(1 for _ in csv.reader(io.StringIO(text, newline=""))), repr(text)
+
+
+def _csv_folder(folder, files=3):
+    os.makedirs(folder)
+    for k in range(files):
+        lines = "".join(f'{k},{n},"a ""quoted""\nline",\r\n' for n in range(200))
+        (folder / f"part {k}.csv").write_text(f"itemid,n,value,note\n{lines}")
+    return folder
+
+
+def test_digests_do_not_depend_on_the_block(spark, tmp_path):
+    folder = _csv_folder(tmp_path / "csv")
+    whole = digests(spark, str(folder)).select("name", "file_bytes", "checksum_sha256", "records").collect()
+    parts = digests(spark, str(folder), block_bytes=7).select("name", "file_bytes", "checksum_sha256", "records").collect()
+    assert sorted(whole) == sorted(parts) and len(whole) == 3
+    for row in whole:
+        body = (folder / row.name).read_bytes()
+        assert (row.file_bytes, row.checksum_sha256, row.records) == (len(body), hashlib.sha256(body).hexdigest(), 201)
+
+
+def test_landed_files_equal_the_source_bytes(spark, tmp_path):
+    folder, root = _csv_folder(tmp_path / "csv"), str(tmp_path / "raw")
+    row = sink.land_batch(spark, str(folder), root, "props", "20260101_000000", ["itemid", "value"]).first()
+    assert (row.file_count, row.row_count) == (3, 600)
+    for name in os.listdir(folder):
+        assert (folder / name).read_bytes() == open(f"{row.landing_path}/{name}", "rb").read()
+    assert {r.status for r in raw_checks.batch_report(spark, root, ["props"]).collect()} == {"PASS"}
+    with pytest.raises(FileExistsError):
+        sink.land_batch(spark, str(folder), root, "props", "20260101_000000", ["itemid"])
+    with open(f"{row.landing_path}/part 1.csv", "ab") as file:
+        file.write(b"x")
+    bad = {r.check_name for r in raw_checks.batch_report(spark, root, ["props"]).collect() if r.status == "FAIL"}
+    assert bad == {"row_count_matches_metadata", "checksum_matches_metadata"}
+    assert [r.presence for r in landing.presence(spark, root).collect()] == ["incomplete"]
+
+
+def test_a_failure_before_the_manifest_row_is_taken_over(spark, tmp_path, monkeypatch):
+    folder, root = _csv_folder(tmp_path / "csv"), str(tmp_path / "raw")
+    stamp, append = "20260101_000000", sink.append_manifest
+    rows = spark.createDataFrame([(1, 2, "p", "v", API_SOURCE, stamp)], DELTA_RECORD)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(sink, "append_manifest", fail)
+    for landing_of in (lambda: sink.land_batch(spark, str(folder), root, "props", stamp, ["itemid"]),
+                       lambda: sink.land(rows, root, DELTA_FEED, stamp, API_SOURCE, ("parquet", "json"))):
+        with pytest.raises(OSError, match="lost"):
+            landing_of()
+    assert {r.presence for r in landing.presence(spark, root).collect()} == {"unlisted"}
+    monkeypatch.setattr(sink, "append_manifest", append)
+    path = landing.partition_path(root, "props", "csv", stamp)
+    before = os.stat(f"{path}/part 1.csv").st_mtime_ns
+    adopted = sink.land_batch(spark, str(folder), root, "props", stamp, ["itemid"]).first()
+    assert os.stat(f"{path}/part 1.csv").st_mtime_ns == before and adopted.row_count == 600
+    sink.land(rows, root, DELTA_FEED, stamp, API_SOURCE, ("parquet", "json"))
+    assert {r.presence for r in landing.presence(spark, root).collect()} == {"present"}
+    assert {r.status for r in raw_checks.batch_report(spark, root, ["props"]).collect()} == {"PASS"}
+    # leftovers of other files are replaced
+    with pytest.raises(OSError):
+        monkeypatch.setattr(sink, "append_manifest", fail)
+        sink.land_batch(spark, str(folder), root, "props", "20260102_000000", ["itemid"])
+    monkeypatch.setattr(sink, "append_manifest", append)
+    (folder / "part 0.csv").write_text("itemid,n\n1,2\n")
+    (folder / "part 1.csv").write_text("itemid,n\n3,4\n")
+    (folder / "part 2.csv").write_text("itemid,n\n")
+    assert sink.land_batch(spark, str(folder), root, "props", "20260102_000000", ["itemid"]).first().row_count == 2
+
+
+def test_lost_and_unlisted_partitions_both_show(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    rows = spark.createDataFrame([(n, 2, "p", "v", API_SOURCE, f"2026010{n}_000000") for n in (1, 2, 3)], DELTA_RECORD)
+    manifest = sink.land_partitions(rows, root, DELTA_FEED, API_SOURCE, ("parquet", "csv"))
+    assert manifest.count() == 6 and {r.row_count for r in manifest.collect()} == {1}
+    shutil.rmtree(landing.partition_path(root, DELTA_FEED, "csv", "20260102_000000"))
+    shutil.copytree(landing.partition_path(root, DELTA_FEED, "csv", "20260103_000000"),
+                    landing.partition_path(root, DELTA_FEED, "csv", "20260109_000000"))
+    got = {(r.format, r.ingestion_timestamp): r.presence for r in landing.presence(spark, root).collect()}
+    assert got.pop(("csv", "20260102_000000")) == "missing" and got.pop(("csv", "20260109_000000")) == "unlisted"
+    assert set(got.values()) == {"present"} and len(got) == 5
+    bad = {(r.dataset_name[-15:], r.check_name) for r in raw_checks.presence_report(spark, root).collect() if r.status == "FAIL"}
+    assert bad == {("20260102_000000", "csv_presence"), ("20260109_000000", "csv_presence")}
+
+
 def test_newest_partition_in_a_format_is_read(spark, tmp_path):
     root = str(tmp_path / "landing")
     rows = spark.createDataFrame([(1, "a")], "n bigint, t string")
