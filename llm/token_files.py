@@ -7,15 +7,21 @@ byte length less one of four ranks, two bits each) and, apart from these, the
 data bytes.  Readers find lengths by a table of 256 control bytes and gather
 all values with numpy.
 
+Each text is encoded once, and its ids are stored; counting, ranking and
+writing read these.  Special tokens that stand in a text get their ids, as the
+library gives them.
+
 Null text counts as empty, so the document has the end id alone.  Null
-``doc_id`` comes first.  Rows with the same ``doc_id`` are all written, in any
+``doc_id`` comes first; all such rows lie in one range of the order.  Rows with the same ``doc_id`` are all written, in any
 order.  An empty table gives no file and no row.
 """
 
 from __future__ import annotations
 
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +34,8 @@ from llm.common import LONG, SLICE, STRING, documents, field, materialise, scrat
 MAGIC = b"FRB1"
 #: Tokens after which a task starts its next file; a longer document has a file of its own.
 FILE_TOKENS = 2_000_000
-#: Words in each of two generations that a Python worker remembers.
-CACHE_WORDS = 300_000
+#: Parts, and pieces, in each of two generations that a Python worker remembers.
+CACHE_WORDS = 200_000
 
 #: Byte lengths of the four values that a control byte describes.
 LENGTHS = np.array([[(c >> shift & 3) + 1 for shift in (0, 2, 4, 6)] for c in range(256)], np.int64)
@@ -119,29 +125,62 @@ def read_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
     return [int(i) if k else None for i, k in zip(ids, known)], counts, ranks
 
 
-class Words(dict):
-    """Ids of a text by the tokenizers library; remembers the parts between spaces.
+class Memory(dict):
+    """Values of two generations of keys: what is still asked for comes along when the older one is dropped."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def unknown(self, keys: set[str]) -> set[str]:
+        """The keys that have no value yet."""
+        new = keys.difference(self)
+        back = new.intersection(self.older)
+        self.update((key, self.older[key]) for key in back)
+        return new - back
+
+    def turn(self) -> None:
+        """Starts a new generation if this one is full; only between texts."""
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+
+
+class Words:
+    """Ids of texts by the tokenizers library; remembers words.
 
     The vocabulary drops white space and never joins what stands on both
-    sides of a space, so the parts may be encoded apart.  New parts are
-    encoded together, with a mark between them, as one call costs much more
-    than one word.  The mark's last character ends no other part's bytes.
+    sides of a space.  ASCII text between spaces is so cut by the vocabulary's
+    own pattern, and the library's model encodes each new piece.  Other parts
+    are encoded by the whole library, new ones together with a mark between
+    them, as one call costs much more than one word; the mark's last character
+    ends no other part's bytes.  Text with a special token, or with the mark,
+    is the library's altogether.
     """
 
-    MARK, TOGETHER = "\ue000", 2_000
+    MARK, TOGETHER, CHARS = "\ue000", 2_000, 1 << 20
+    #: The pattern of the vocabulary, on lower-case ASCII.
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\v\f\ra-z0-9]+")
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.older: dict[str, bytes] = {}  # what was known before the last CACHE_WORDS words
+        self.parts, self.pieces = Memory(CACHE_WORDS), Memory(CACHE_WORDS)
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.whole = [self.MARK, *(token.content for token in self.tokenizer.get_added_tokens_decoder().values())]
         self.mark = self._ids(self.MARK)
+        self.by_pieces = True
+        self.by_pieces = self._cuts_as_pieces()
 
     @classmethod
     def of_worker(cls, definition: str) -> Words:
-        """The words that this Python worker has learned in earlier tasks, of the same vocabulary."""
+        """The words that this Python worker has learned in earlier tasks, of the same vocabulary.
+
+        A task's own module state does not outlive it, so they are kept where
+        the worker finds them again.
+        """
         import tokenizers
 
         kept = tokenizers.__dict__.setdefault("_words_of_worker", {})
@@ -150,16 +189,24 @@ class Words(dict):
             kept[definition] = cls(definition)
         return kept[definition]
 
+    def _cuts_as_pieces(self) -> bool:
+        """Whether the vocabulary is one whose ASCII text may be cut by PIECES: tried on every pair of characters."""
+        signs = [chr(c) for c in range(1, 0x7F)]
+        tried = [f"A{a}{b}z" for a in signs for b in signs] + ["it's", "x'll", "'re1", "Don'T", "..'s", "a\nb"]
+        whole = self.tokenizer.encode_batch_fast(tried, add_special_tokens=False)
+        return self.encode(tried, 0) == [np.array([*found.ids, 0], self.kind).tobytes() for found in whole]
+
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def learn(self, parts: list[str]) -> None:
-        plain = [part for part in parts if self.MARK not in part]
-        for part in parts:
-            if self.MARK in part:
-                self[part] = self._ids(part).tobytes()
-        for start in range(0, len(plain), self.TOGETHER):
-            some = plain[start: start + self.TOGETHER]
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _learn_pieces(self, pieces: Iterable[str]) -> None:
+        tokenize, pack = self.model.tokenize, struct.Struct("<H" if self.kind == "<u2" else "<I").pack
+        for piece in pieces:
+            self.pieces[piece] = b"".join([pack(token.id) for token in tokenize(piece)]) if piece.isprintable() else self._ids(piece).tobytes()
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        for start in range(0, len(parts), self.TOGETHER):
+            some = parts[start: start + self.TOGETHER]
             ids = self._ids(f" {self.MARK} ".join(some))
             hit = np.ones(max(0, len(ids) - len(self.mark) + 1), bool)
             for k, value in enumerate(self.mark):
@@ -169,38 +216,88 @@ class Words(dict):
                 raise ValueError("the vocabulary does not keep the mark apart")
             at = 0
             for part, end in zip(some, ends):
-                self[part] = ids[at:end].tobytes()
+                self.parts[part] = ids[at:end].tobytes()
                 at = end + len(self.mark)
 
+    def _runs(self, text: str) -> list[tuple[Memory, list[str]]]:
+        """Pieces and parts of a text in order, each run with the memory that knows it."""
+        cut = self.PIECES.findall
+        if self.by_pieces and text.isascii():
+            return [(self.pieces, cut(text.lower()))]
+        words = text.split(" ")
+        if not self.by_pieces:
+            return [(self.parts, words)]
+        return [(self.pieces, cut(" ".join(run).lower())) if plain else (self.parts, list(run))
+                for plain, run in groupby(words, str.isascii)]
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        cut = [None if any(token in text for token in self.whole) else self._runs(text) for text in texts]
+        asked = {id(self.pieces): set(), id(self.parts): set()}
+        for runs in cut:
+            for memory, keys in runs or ():
+                asked[id(memory)].update(keys)
+        self.pieces.turn()
+        self.parts.turn()
+        self._learn_pieces(self.pieces.unknown(asked[id(self.pieces)]))
+        self._learn_parts(list(self.parts.unknown(asked[id(self.parts)])))
+        return [self._ids(text).tobytes() if runs is None else b"".join([b"".join(map(memory.__getitem__, keys)) for memory, keys in runs])
+                for text, runs in zip(texts, cut)]
+
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
-        """Packed unsigned 32-bit ids of each text, with the end id."""
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        cut = [text.split(" ") if text else [] for text in texts]
-        missing = {part for parts in cut for part in parts if part not in self}
-        self.learn([part for part in missing if part not in self.older])
-        self.update((part, self.older[part]) for part in missing if part in self.older)
-        last = struct.pack("<I", end)
-        return [b"".join([*map(self.__getitem__, parts), last]) for parts in cut]
+        """Packed ids (of ``kind``) of each text, with the end id; CHARS characters or so are held as words at once."""
+        last = np.array([end], self.kind).tobytes()
+        found: list[list[bytes]] = [[] for _ in texts]
+        some, owners, size = [], [], 0
+
+        def flush() -> None:
+            for owner, packed in zip(owners, self._some(some)):
+                found[owner].append(packed)
+
+        for owner, text in enumerate(texts):
+            start, text = 0, text or ""
+            while start < len(text):
+                stop = text.find(" ", start + self.CHARS) if len(text) - start > self.CHARS else len(text)
+                stop = len(text) if stop < 0 else stop
+                some.append(text[start:stop] if start or stop < len(text) else text)
+                owners.append(owner)
+                size += stop - start
+                start = stop
+                if size >= self.CHARS:
+                    flush()
+                    some, owners, size = [], [], 0
+        flush()
+        return [b"".join([*packed, last]) for packed in found]
+
+
+def tokenised(docs: DataFrame, definition: str, end: int) -> DataFrame:
+    """doc_id and packed ids of every row, stored: each text is encoded once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words.of_worker(definition)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(words.encode(part.column(1).to_pylist(), end), pa.binary())], names=["doc_id", "ids"])
+
+    path = scratch_path(docs.sparkSession, "token-ids")
+    documents(docs).mapInArrow(run, "doc_id long, ids binary").write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema("doc_id long, ids binary").parquet(path)
 
 
-def token_counts(docs: DataFrame, definition: str, end: int) -> DataFrame:
-    """(id, n) over all texts: each task adds up its own, then tasks are summed."""
+def token_counts(stored: DataFrame, kind: str) -> DataFrame:
+    """(id, n) over all documents: each task adds up its own, then tasks are summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = Words.of_worker(definition), np.zeros(1 << 16, np.int64)
+        total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                packed = b"".join(words.encode(batch.column(0).slice(start, SLICE).to_pylist(), end))
-                found = np.bincount(np.frombuffer(packed, "<u4"))
+            for row in range(batch.num_rows):
+                found = np.bincount(np.frombuffer(batch.column(0)[row].as_buffer(), kind))
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[: len(found)] += found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-    rows = documents(docs).select("text").mapInArrow(run, StructType([field("id", LONG), field("n", LONG)]))
-    return rows.groupBy("id").agg(F.sum("n").alias("n"))
+    return stored.select("ids").mapInArrow(run, StructType([field("id", LONG), field("n", LONG)])).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, definition: str, end: int, folder: str, file_tokens: int = FILE_TOKENS) -> DataFrame:
@@ -212,7 +309,10 @@ def write(docs: DataFrame, definition: str, end: int, folder: str, file_tokens:
     ``folder`` may be any address that pyarrow can open.
     """
     spark = docs.sparkSession
-    counted = token_counts(docs, definition, end).orderBy(F.desc("n"), "id").collect()  # one row per vocabulary id
+    kind = Words(definition).kind
+    width = np.dtype(kind).itemsize
+    stored = tokenised(docs, definition, end)
+    counted = token_counts(stored, kind).orderBy(F.desc("n"), "id").collect()  # one row per vocabulary id
     order = np.array([row.id for row in counted], np.int64)
     rank_of = np.zeros(int(order.max(initial=0)) + 1, np.uint32)
     rank_of[order] = np.arange(len(order), dtype=np.uint32)
@@ -224,7 +324,6 @@ def write(docs: DataFrame, definition: str, end: int, folder: str, file_tokens:
         from pyarrow import fs
 
         files, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
-        words = Words.of_worker(definition)
         task, number = TaskContext.get().partitionId(), 0
         ids, counts, packed = [], [], Packed()
 
@@ -238,20 +337,19 @@ def write(docs: DataFrame, definition: str, end: int, folder: str, file_tokens:
                 [("name", pa.string()), *((k, pa.int64()) for k in ("task", "number", "n_docs", "n_tokens"))]))
 
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                for doc_id, own in zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist(), end)):
-                    if ids and packed.size + len(own) // 4 > file_tokens:
-                        yield flush()
-                        number, ids, counts, packed = number + 1, [], [], Packed()
-                    ids.append(doc_id)
-                    counts.append(len(own) // 4)
-                    packed.add(rank_of[np.frombuffer(own, "<u4")])
+            for row in range(batch.num_rows):
+                own = batch.column(1)[row].as_buffer()
+                if ids and packed.size + own.size // width > file_tokens:
+                    yield flush()
+                    number, ids, counts, packed = number + 1, [], [], Packed()
+                ids.append(batch.column(0)[row].as_py())
+                counts.append(own.size // width)
+                packed.add(rank_of[np.frombuffer(own, kind)])
         if ids:
             yield flush()
 
     schema = StructType([field("name", STRING), *(field(k, LONG) for k in ("task", "number", "n_docs", "n_tokens"))])
-    ordered = documents(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = stored.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     return materialise(ordered.mapInArrow(run, schema), "token-manifest")
 
 

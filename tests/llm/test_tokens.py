@@ -96,18 +96,16 @@ def test_parts_encoded_together_are_as_apart():
     rng = random.Random(9)
     definition = open(P.path("word_bpe_49k.json"), encoding="utf-8").read()
     tokenizer = Tokenizer.from_str(definition)
-    tokenizer.encode_special_tokens = True
-    alphabet = "aAeb tT  \n\t\x85\xa0'sdm019.,!?-é ñß́日本\U0001f600_%$#'\ue000\ue001ΣΑ"
+    alphabet = [*"aAeb tT  \n\t\x85\xa0'sdm019.,!?-é ñß́日本\U0001f600_%$#'\ue000\ue001ΣΑ\x1c\x7f", "<|endoftext|>", "<|startoftext|>", "'LL", "'re"]
     texts = ["".join(rng.choice(alphabet) for _ in range(n)) for n in [0, 1, 2, 5, 20, 90] * 80]
     words = token_files.Words(definition)
     words.TOGETHER = 50
     for text, packed in zip(texts, words.encode(texts, 1)):
-        assert np.frombuffer(packed, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1], repr(text)
+        assert np.frombuffer(packed, words.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1], repr(text)
 
 
 def _wanted(pairs):
     tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     want, start = [], 0
     for doc_id, text in pairs:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
