@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shoplens.session import materialise, scratch_path
 
-__all__ = ["SPACE", "apply_rows", "documents", "materialise", "need", "numbered", "scratch_path", "table", "with_columns"]
+__all__ = ["SPACE", "apply_rows", "carry", "documents", "materialise", "need", "numbered", "restore", "scratch_path", "table", "with_columns"]
 
 #: The white space between words, as in ``[\x20\x09-\x0D]``; bytes.split() cuts at the same.
 SPACE = " \t\n\x0b\x0c\r"
@@ -32,6 +32,20 @@ def documents(df: DataFrame) -> DataFrame:
     return need(df, doc_id="long", text="string")
 
 
+CARRIED = "__carried"
+
+
+def carry(df: DataFrame, *needed: str) -> DataFrame:
+    """``needed`` and one struct with all other columns, so these may have any name while helpers add their own."""
+    rest = [F.col(f"`{name}`") for name in df.columns if name not in needed] or [F.lit(0).alias("none")]
+    return df.select(*(F.col(f"`{name}`") for name in needed), F.struct(*rest).alias(CARRIED))
+
+
+def restore(df: DataFrame, columns: Sequence[str], *needed: str) -> DataFrame:
+    """``columns`` of the table that was carried: ``needed`` as they are now, all others as they were."""
+    return df.select(*(F.col(f"`{name}`") if name in needed else F.col(CARRIED).getField(name).alias(name) for name in columns))
+
+
 def with_columns(schema: StructType, added: Sequence[StructField]) -> StructType:
     """``schema`` with ``added``; a column of the same name (in any case) gives way."""
     names = {field.name.lower() for field in added}

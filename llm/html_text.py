@@ -3,7 +3,8 @@
 Each page is read once.  Elements that hold menus, headers, footers, sidebars,
 adverts, notices, forms, scripts, styles or comments go with all they hold.
 Where only a class or id tells so, an element that is or holds the article
-stays, and so does everything when the page has no other text.
+stays, and so does everything when the page has no other text.  The same holds
+for forms.  Articles beside a text of TEASERS times their length are teasers.
 What is left is a list of blocks; those in an article (or main) element are
 certain, others are not.
 
@@ -50,7 +51,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary "
     "table tbody td tfoot th thead tr ul".split())
 DROPPED = frozenset(
-    "applet aside audio button canvas dialog embed footer form frameset head iframe input map menu nav noscript object "
+    "applet aside audio button canvas dialog embed footer frameset head iframe input map menu nav noscript object "
     "script search select style svg template textarea title video".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -63,14 +64,18 @@ DROPPED_WORDS = frozenset(
 IMPLIED_END = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
                "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 
-_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z))""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|(?=[^"'])|\Z))*)(?:>|\Z))""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 _WORD = re.compile(r"[a-z]+")
 #: Class names that begin or end so tell of another element or a state: has-sidebar, no-ads, comments-open.
 TELLS, STATES = frozenset("has no not with without".split()), frozenset("closed disabled enabled open".split())
 #: Of the dropped words, those of elements whose articles are others' texts: readers' comments and teasers.
 OTHERS_WORDS = frozenset(
     "comment comments disqus outbrain promoted recommended related replies respond taboola".split())
+#: With these a header is that of the article and not of the page.
+TITLE_WORDS = frozenset("article content entry headline post story title".split())
+#: Text outside of the articles that is so many times as long makes these teasers.
+TEASERS = 3
 #: How sure it is that an element goes: not at all, by its class or id, the same and its articles are others', for certain.
 STAYS, BY_CLASS, OTHERS, GOES = range(4)
 
@@ -88,6 +93,8 @@ def _named(names: str) -> set[str]:
 def _drops(name: str, attributes: str, in_article: bool) -> int:
     if name in DROPPED or (name == "header" and not in_article):
         return GOES
+    if name == "form":  # some pages are one form
+        return BY_CLASS
     if not attributes or name in ("html", "body", "main") or not attributes.strip(" \t\n/"):
         return STAYS
     found = {k.lower(): html.unescape(v.strip("\"'")).lower() for k, v in _ATTRIBUTE.findall(attributes)}
@@ -96,7 +103,7 @@ def _drops(name: str, attributes: str, in_article: bool) -> int:
     words = _named(f"{found.get('class', '')} {found.get('id', '')}")
     if words & OTHERS_WORDS:
         return OTHERS
-    return BY_CLASS if words & DROPPED_WORDS or (not in_article and "header" in words) else STAYS
+    return BY_CLASS if words & DROPPED_WORDS or (not in_article and "header" in words and not words & TITLE_WORDS) else STAYS
 
 
 def blocks(page: str | None) -> tuple[list[str], list[bool]]:
@@ -112,6 +119,7 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
     found: list[tuple[str, int, int, bool]] = []
     pieces: dict[tuple[int, int, bool], list[str]] = {}
     stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}  # open elements by name
     depths = [0, 0, 0, 0]  # open elements of each kind of _drops
     dropped = articles = mains = 0
     # for the outermost open article (2) and main (1): the kind of what is or holds it, and how many such elements are open
@@ -133,6 +141,7 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
         nonlocal dropped, articles, mains
         for _ in range(count):
             name, drop = stack.pop()
+            opened[name] -= 1
             depths[drop] -= 1
             dropped -= drop == GOES
             articles -= name == "article"
@@ -161,17 +170,18 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
         if name in BLOCKS and not dropped:
             flush()
         if tag[1]:
-            for depth in range(1, len(stack) + 1):
-                if stack[-depth][0] == name:
-                    pop(depth)
-                    break
+            if opened.get(name):  # every step down the stack closes an element
+                depth = 1
+                while stack[-depth][0] != name:
+                    depth += 1
+                pop(depth)
             continue
         if name == "br" and not dropped:
             add(" ")
         if name in VOID:
             continue
         for open_name, enders in IMPLIED_END.items():
-            if name in enders:
+            if name in enders and opened.get(open_name):
                 for depth in range(1, len(stack) + 1):
                     above = stack[-depth][0]
                     if above == open_name:
@@ -186,6 +196,7 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
         if drop and not dropped and name not in BLOCKS and pieces:
             add(" ")
         stack.append((name, drop))
+        opened[name] = opened.get(name, 0) + 1
         depths[drop] += 1
         dropped += drop == GOES
         articles += name == "article"
@@ -201,6 +212,10 @@ def blocks(page: str | None) -> tuple[list[str], list[bool]]:
         return [text for text, p in own if p == place], place
 
     kept, place = best(STAYS)
+    if place == 2:
+        beside = [text for text, p, holds, inside in found if p < 2 and holds == STAYS and not inside]
+        if sum(map(len, beside)) >= TEASERS * sum(map(len, kept)):
+            kept, place = beside, 0
     if place < 2:
         # teasers beside a text without an article are shorter than it
         wrapped, inner = best(BY_CLASS)

@@ -23,7 +23,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from llm.common import need, numbered
+from llm.common import carry, need, numbered, restore
 
 OTHER = "other"
 
@@ -119,13 +119,13 @@ def positions(docs: DataFrame, weights: Mapping[str, float], block_rows: int, pe
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, float], block_rows: int, period: int = 100) -> DataFrame:
-    """All columns of ``docs``, its rows in the order of the mix: written as files, the files follow that order."""
-    return (
-        schedule(docs, weights, block_rows, period)
+    """All columns of ``docs``, whatever their names, its rows in the order of the mix: written as files, the files follow that order."""
+    ordered = (
+        schedule(carry(docs, "doc_id", "source"), weights, block_rows, period)
         .repartitionByRange("slot", "block_offset")
         .sortWithinPartitions("slot", "block_offset")
-        .select(*(f"`{c}`" for c in docs.columns))
     )
+    return restore(ordered, docs.columns, "doc_id", "source")
 
 
 def oracle_sql(weights: Mapping[str, float], block_rows: int, period: int = 100) -> str:

@@ -13,8 +13,11 @@ shuffle.
 
 Null or empty text has no features, so it scores as a text without findings.
 Labels that are null count as unlabelled; repeated labels of a document count
-once, with the greatest value.  Without labels of both kinds fitting raises
-ValueError.  An empty table to score gives no rows.
+once, with the greatest value.  Without labels of both kinds, or without
+labelled documents, nothing can be told: the model has no features and every
+text scores as one without findings, grade 0.  An empty table to score gives
+no rows.  Texts of any length are scored whole.  Other columns of the table
+may have any name but severity, grade and toxic, which are replaced.
 """
 
 from __future__ import annotations
@@ -137,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_fea
     rows = labelled(docs, labels, most_rows)
     totals = {row.toxic: row.n for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
-        raise ValueError("labels of toxic and of other documents are needed")
+        return Model({}, np.zeros(0), np.full(GRADES - 1, np.inf))
     toxic, clean = F.col("toxic_docs"), F.col("clean_docs")
     counted = (
         _feature_counts(rows).groupBy("feature")

@@ -130,3 +130,32 @@ def test_query_equals_a_plain_reading(spark, small):
         parts = re.split(r"</?(?:p|h1|div|ul|li)>", inner)
         want = "\n".join(t for t in (" ".join(html.unescape(re.sub(r"<[^<>]*>", " ", p)).split()) for p in parts) if t)
         assert got[page.page_id].text == want and got[page.page_id].url == page.url
+
+
+def test_a_form_around_the_page_keeps_its_text():
+    page = '<body><form id="aspnetForm"><p>All of the text.</p><article><h1>Title</h1><form><label>Mail</label></form><p>Body.</p></article></form></body>'
+    assert html_text.blocks(page)[0] == ["Title", "Body."]
+    assert html_text.blocks('<form action="/"><p>All of the text.</p></form>')[0] == ["All of the text."]
+    assert html_text.blocks("<p>Text.</p><form><label>Mail</label></form>")[0] == ["Text."]
+
+
+def test_quotes_in_values_without_quotes_are_plain():
+    assert html_text.blocks("<p>Don't <a href=it's>read</a> this</p><p>it's fine</p>")[0] == ["Don't read this", "it's fine"]
+    assert html_text.blocks("<p title=\"a > b\" id='c > d'>one</p><p class=x>two</p>")[0] == ["one", "two"]
+
+
+def test_teasers_and_titles():
+    teaser = "<article><p>A short teaser.</p></article>"
+    assert html_text.blocks(f"{teaser}<div>{'<p>The long text goes on.</p>' * 4}</div>")[0] == ["The long text goes on."] * 4
+    assert html_text.blocks(f"{teaser}<div><p>Less text.</p></div>")[0] == ["A short teaser."]
+    page = '<div class="site-header">Site</div><div class="post-header"><h1>Title</h1></div><p>Text.</p>'
+    assert html_text.blocks(page)[0] == ["Title", "Text."]
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    for page in ("<div>" * 100_000 + "</x>" * 150_000, "<b>" * 50_000 + "<p>x" * 50_000 + "</i>" * 50_000, "<a " + "= '" * 200_000):
+        begun = time.process_time()
+        html_text.blocks(page)
+        assert time.process_time() - begun < 6  # 1 MB; a quadratic walk takes many minutes

@@ -123,3 +123,33 @@ def test_odd_rows_pass(spark, make_docs, tmp_path):
     assert found[5] == 1 and found[6] == 0  # a repeated row and a copy
     assert found[31] == 0 and found[30] == 1 and found[32] == 0
     assert {1, 2, 3, 4, 7, 8, 9, 10, 11, 12} <= set(found)
+
+
+CLASHING = ["slot", "block", "stream", "block_offset", "release", "deadline", "position", "removed_bytes", "n_chunks", "n_repeated_chunks",
+            "first_doc_ids", "severity", "grade", "toxic", "component_id", "n_shingles", "owners", "digest", "__doc", "__owners", "__least",
+            "__rows", "__file", "__row", "__task", "__carried", "n_tokens", "ids"]
+
+
+def test_columns_of_any_name_pass_all_stages(spark, small):
+    """A caller's column comes out as it went in, whatever helpers call their own."""
+    texts = [(k, f"some words of text {k} " * 6, f"src{k % 3}") for k in range(12)] + [(20, None, None), (None, "no id", "src0")]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{name} long" for name in CLASHING)
+    docs = spark.createDataFrame([(*row, *range(700, 700 + len(CLASHING))) for row in texts], schema)
+    out = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialise(stage(spark, out, small), "test")
+        assert out.columns == docs.columns and out.count() > 0
+        for row in out.collect():
+            assert list(row)[3:] == list(range(700, 700 + len(CLASHING)))
+    assert corpus_pipeline.encode(spark, out, small).count() == out.count()
+
+
+def test_empty_documents_and_labels_pass(spark, small, tmp_path):
+    docs, labels = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "labels"))
+    for name, pair in (("no-docs", (docs.limit(0), labels)), ("no-labels", (docs.limit(30), labels.limit(0)))):
+        for table, df in zip(("documents", "labels"), pair):
+            df.coalesce(1).write.parquet(f"{tmp_path}/{name}/{table}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/no-docs").collect() == []
+    out = corpus_pipeline.run(spark, f"{tmp_path}/no-labels")
+    assert 0 < out.count() <= 30
+    assert queries.QUERIES["op7_toxic_severity"](spark, f"{tmp_path}/no-docs").collect() == []

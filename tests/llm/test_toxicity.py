@@ -1,7 +1,9 @@
 """Severity by ordinal regression: held-out accuracy, ordered thresholds, odd rows."""
 
+import math
+from collections import Counter
+
 import numpy as np
-import pytest
 from conftest_llm import ODD
 from pyspark.sql import functions as F
 
@@ -44,5 +46,53 @@ def test_odd_rows_score_as_clean(make_docs, spark):
     found = {(r.doc_id, r.toxic) for r in out.collect()}
     assert {d for d, t in found if t} == {90}
     assert toxicity.score(make_docs([]), model).collect() == []
-    with pytest.raises(ValueError):
-        toxicity.fit(docs, labels.where("toxic = 0"))
+    for one_kind in (labels.where("toxic = 0"), labels.where("toxic = 1"), labels.limit(0)):
+        scored = toxicity.score(docs, toxicity.fit(docs, one_kind)).collect()
+        assert len(scored) == 40 and {(r.grade, r.toxic) for r in scored} == {(0, False)} and max(r.severity for r in scored) < 1e-9
+    assert toxicity.fit(make_docs([]), labels).numbers == {}
+
+
+def test_query_equals_a_plain_fold(spark, small):
+    """Features, grades and scores of the whole table, counted plainly; only the solver is shared."""
+    from llm.queries import QUERIES
+
+    docs = dict(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())
+    truth = {}
+    for doc_id, toxic in spark.read.parquet(f"{small}/labels.parquet").select("doc_id", "toxic").collect():
+        if doc_id in docs and toxic is not None:
+            truth[doc_id] = max(toxic, truth.get(doc_id, 0))
+    assert 0 < len(truth) < toxicity.MOST_ROWS
+
+    def named(text):
+        for word in text.lower().split():
+            word = word.strip(toxicity.ENDS)
+            yield from ([word] if word else [])
+            yield from (word[:n] + "^" for n in (4, 5, 6) if len(word) > n)
+
+    n = [sum(t == kind for t in truth.values()) for kind in (0, 1)]
+    seen = [Counter(f for d, t in truth.items() if t == kind for f in set(named(docs[d]))) for kind in (0, 1)]
+    chosen = []
+    for f in seen[0] | seen[1]:
+        ratio = ((seen[1][f] + 0.5) / (n[1] + 1)) / ((seen[0][f] + 0.5) / (n[0] + 1))
+        evidence = seen[1][f] * math.log(ratio)
+        if evidence >= toxicity.LEAST_EVIDENCE + 2 * math.log(sum(n)) and ratio >= 3:
+            chosen.append((-evidence, f, ratio))
+    chosen = sorted(chosen)[: toxicity.MOST_FEATURES]
+    number = {f: k for k, (_, f, _) in enumerate(chosen)}
+    assert chosen
+
+    def vector(text):
+        counts = sorted(Counter(number[f] for f in named(text) if f in number).items())
+        return np.array([k for k, _ in counts], int), np.array([1 + math.log(c) for _, c in counts]), dict(counts)
+
+    markers = {number[f] for _, f, ratio in chosen if ratio >= 10 and not f.endswith("^")}
+    fold = [(vector(docs[d]), truth[d]) for d in sorted(truth)]
+    marked = [sum(c for k, c in v[2].items() if k in markers) for v, _ in fold]
+    grades = np.array([0 if not t else 1 + (m >= 3) + (m >= 8) for (_, t), m in zip(fold, marked)])
+    weights, thresholds = toxicity.fit_cumulative([v[0] for v, _ in fold], [v[1] for v, _ in fold], grades, len(number), 4)
+    got = {r.doc_id: r for r in QUERIES["op7_toxic_severity"](spark, small).collect()}
+    assert set(got) == set(docs)
+    for doc_id, text in docs.items():
+        index, values, _ = vector(text or "")
+        severity = sum(1 - 1 / (1 + math.exp(-(t - float(weights[index] @ values if len(index) else 0)))) for t in thresholds)
+        assert abs(got[doc_id].severity - severity) < 1e-6 and got[doc_id].toxic == (severity >= toxicity.REJECT)
