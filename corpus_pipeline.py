@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame; its result is
 stored before the next one reads it.  All but the last give the columns of
 ``docs``; the last gives each row's position in the mix, as readers of stored
-files do not keep their order.  Rows with null ids or texts pass every stage, and an empty table
-gives empty results (but for the labels that the first stage needs).
+files do not keep their order.  Columns of ``docs`` may have any name and
+stay as they are.  Rows with null ids or texts pass every stage, and an empty
+table gives empty results; without labels of both kinds no document is toxic.
 """
 
 from __future__ import annotations
@@ -13,14 +14,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from llm import bpe, chunks, jaccard, mixing, toxicity
-from llm.common import materialise, table
+from llm.common import carry, materialise, restore, table
 from llm.queries import MIX, MIX_BLOCK_ROWS, TOXIC_FROM
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of an expected severity below TOXIC_FROM."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, TOXIC_FROM).where(~F.col("toxic")).select(*docs.columns)
+    scored = toxicity.score(carry(docs, "doc_id", "text"), model, TOXIC_FROM).where(~F.col("toxic"))
+    return restore(scored, docs.columns, "doc_id", "text")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,19 +33,21 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
         .agg(F.min("component_id").alias("__least"), F.count("*").alias("__rows"))
         .where("__least <> __doc or __rows > 1")
     )
-    marked = docs.join(marks, F.col("doc_id").cast("long") == F.col("__doc"), "left").where(
+    rows = carry(docs, "doc_id", "text")
+    marked = rows.join(marks, F.col("doc_id").cast("long") == F.col("__doc"), "left").where(
         F.col("__doc").isNull() | (F.col("__least") == F.col("__doc")))
-    once = marked.where("__rows is null").select(*docs.columns)
-    repeated = marked.where("__rows > 1").select(*docs.columns)
-    return once.union(repeated.dropDuplicates(["doc_id", "text"]))
+    once = marked.where("__rows is null").select(*rows.columns)
+    repeated = marked.where("__rows > 1").select(*rows.columns)
+    return restore(once.union(repeated.dropDuplicates(["doc_id", "text"])), docs.columns, "doc_id", "text")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; a document of nothing else goes."""
-    cut = chunks.dedup(docs).where((F.col("removed_bytes") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    cut = chunks.dedup(carry(docs, "doc_id", "text")).where((F.col("removed_bytes") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    cut = restore(cut, docs.columns, "doc_id", "text")
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return cut
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
