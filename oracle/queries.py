@@ -522,6 +522,98 @@ _ORDERS_ONLY |= {
 }
 
 
+_PAGES = """(
+        select page, count(*) as n_records, page % 25 = 3 as bad,
+               case page % 5 when 0 then '20260101_000000' when 1 then '20260101_003000' when 2 then '20260101_010000'
+                             when 3 then '20260101_013000' else '20260101_020000' end as ingestion_timestamp
+        from (select seq // 100 as page from raw_properties where source_system = 'catalog_api') group by page)"""
+_PAGE_TOTALS = f"""(
+        select ingestion_timestamp, sum(n_records) as found, coalesce(sum(n_records) filter (where not bad), 0) as landed,
+               count(*) filter (where bad) > 0 as broken
+        from {_PAGES} group by ingestion_timestamp)"""
+_BATCHES = """(
+        select 'events' as data_type, count(*) as n from raw_{s} union all
+        select 'item_properties', count(*) from raw_properties union all select 'category_tree', count(*) from raw_tree)"""
+
+_ORDERS_ONLY |= {
+    "batch_landing_manifest": f"""
+        select 'catalog_batch' as source_system, data_type, '20260101_000000' as ingestion_timestamp, 'csv' as format, n as row_count,
+               true as same_files, true as same_bytes, true as same_checksum, cast(null as varchar) as api_contract,
+               cast(null as bigint) as api_count, cast(null as bigint) as total_rows, cast(null as bigint) as unread_rows,
+               cast(null as boolean) as api_success, cast(null as varchar) as cursor from {_BATCHES}""",
+    "batch_quality_report": f"""
+        select 'raw_batch_' || data_type as dataset_name, check_name,
+               case when data_type = 'category_tree' and check_name in ('row_count_matches_metadata', 'checksum_matches_metadata')
+                    then 'FAIL' else 'PASS' end as status,
+               case check_name
+                    when 'partition_name' then 'ingestion_timestamp=20260101_000000'
+                    when 'row_count_matches_metadata' then
+                        case when data_type = 'category_tree' then 'metadata=' || n || ', actual=' || 2 * n else cast(n as varchar) end
+                    when 'source_system' then 'catalog_batch' end as details
+        from {_BATCHES}, (values ('raw_file_exists'), ('partition_name'), ('row_count_matches_metadata'),
+                                 ('checksum_matches_metadata'), ('source_system')) c(check_name)
+        union all
+        select 'raw_batch_prices', 'raw_batch_validation', 'FAIL', 'no landed partitions of prices as csv: run the landing step first'""",
+    "csv_events_roundtrip": _STAGED_EVENTS,
+    "csv_properties_roundtrip": 'select "timestamp", itemid, property, value from raw_properties',
+    "json_array_rows": """select "timestamp", itemid, property, value from raw_properties where source_system = 'catalog_api'""",
+    "landed_presence": """
+        select 'item_properties_delta' as data_type, format, ingestion_timestamp,
+               case when format = 'json' and ingestion_timestamp = '20260101_003000' then 'missing' else 'present' end as presence
+        from landed_counts, (values ('parquet'), ('json')) f(format)
+        union all select 'item_properties_delta', 'parquet', '20260101_023000', 'unlisted'""",
+    "response_contract_report": f"""
+        select 'raw_api_item_properties_delta:ingestion_timestamp=' || ingestion_timestamp as dataset_name, check_name,
+               case check_name when 'csv_exists' then 'FAIL'
+                               when 'raw_response_contract' then case when broken then 'FAIL' else 'PASS' end
+                               when 'row_count_matches_metadata' then case when found = landed then 'PASS' else 'FAIL' end
+                               else 'PASS' end as status,
+               case check_name when 'csv_exists' then 'not landed'
+                               when 'raw_response_contract' then case when broken then 'success is false' else 'data_contract' end
+                               when 'row_count_matches_metadata' then case when found = landed then cast(found as varchar)
+                                    else 'metadata=' || landed || ', actual=' || found end
+                               when 'normalized_parquet_row_count' then cast(landed as varchar)
+                               when 'source_system' then 'catalog_api' end as details
+        from {_PAGE_TOTALS}, (values ('parquet_exists'), ('csv_exists'), ('raw_response_exists'), ('raw_response_contract'),
+                                     ('row_count_matches_metadata'), ('normalized_parquet_schema'), ('normalized_parquet_row_count'),
+                                     ('checksum_matches_metadata'), ('source_system')) c(check_name)
+        union all
+        select 'raw_api_item_properties_delta', check_name, 'PASS',
+               case check_name when 'partition_count_positive' then 'Found ' || partitions || ' API delta partitions'
+                               when 'total_partition_rows_positive' then 'Total rows across API partitions: ' || total
+                               when 'state_file_exists' then last_stamp else 'none' end
+        from (select count(*) as partitions, sum(landed) as total, max(ingestion_timestamp) as last_stamp from {_PAGE_TOTALS}),
+             (values ('partition_count_positive'), ('total_partition_rows_positive'), ('state_file_exists'), ('state_cursor')) c(check_name)""",
+    "quarantined_pages": f"""
+        select ingestion_timestamp, 'success is false' as problem, cast(n_records as integer) as n_records from {_PAGES} where bad""",
+    "streamed_response_records": f"""
+        select "timestamp", itemid, property, value, source_system, ingestion_timestamp
+        from raw_properties join {_PAGES} p on seq // 100 = page where source_system = 'catalog_api' and not bad""",
+    "event_type_csv_report": _TYPE_SUMMARY,
+    "layer_inventory": """
+        select schema_name, relation_name, relation_type, n as row_count, column_count, 'PASS' as status
+        from (select count(*) as n from staged_{s}),
+             (values ('staged', 'events', 'BASE TABLE', 6), ('curated', 'interactions', 'BASE TABLE', 4), ('mart', 'interactions', 'VIEW', 4))
+             r(schema_name, relation_name, relation_type, column_count)
+        union all select 'mart', 'gone', 'MISSING', null, null, 'FAIL'""",
+    "layer_schema_summary": """
+        select schema_name, table_name, column_name, ordinal_position, data_type, 'YES' as is_nullable
+        from (values ('staged', 'events', 'event_timestamp_ms', 1, 'bigint'), ('staged', 'events', 'event_datetime', 2, 'timestamp'),
+                     ('staged', 'events', 'visitor_id', 3, 'bigint'), ('staged', 'events', 'event_type', 4, 'string'),
+                     ('staged', 'events', 'item_id', 5, 'bigint'), ('staged', 'events', 'transaction_id', 6, 'bigint'),
+                     ('curated', 'interactions', 'user_id', 1, 'bigint'), ('curated', 'interactions', 'item_id', 2, 'bigint'),
+                     ('curated', 'interactions', 'event_type', 3, 'string'), ('curated', 'interactions', 'interaction_weight', 4, 'double'),
+                     ('mart', 'interactions', 'user_id', 1, 'bigint'), ('mart', 'interactions', 'item_id', 2, 'bigint'),
+                     ('mart', 'interactions', 'event_type', 3, 'string'), ('mart', 'interactions', 'interaction_weight', 4, 'double'))
+             c(schema_name, table_name, column_name, ordinal_position, data_type)""",
+    "mart_view_totals": """
+        select event_type, count(*) as row_count, round(sum(interaction_weight), 6) as total_weight from interactions_{s} group by event_type""",
+    "stored_model_recommendations": _POP_SERVED_ROWS,
+    "listed_user_features": """
+        select user_id, total_events, unique_items from user_features_{s} where user_id in (select user_id from (""" + _ACTIVE + "))",
+}
+
+
 def all_statements() -> dict[str, str]:
     found = {}
     for name, body in {**_BOTH, **_ORDERS_ONLY}.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -11,12 +12,13 @@ from shoplens import constants as C
 from shoplens.operators.merge import replace_by_key, stack
 from shoplens.plans import comparison, content, expectations, popularity, profiling, registry, serving, split, training
 from shoplens.plans import curation, features, latest, raw_checks, staging
-from shoplens.session import materialise, scratch_path, use_utc
-from shoplens.sinks import landing as landing_sink, tables
-from shoplens.sources import landing as landing_source, payloads
+from shoplens.session import delete_path, materialise, scratch_path, use_utc
+from shoplens.sinks import landing as landing_sink, reports, tables
+from shoplens.sources import blocks, external, landing as landing_source, payloads
 from shoplens.sources.fixtures import FixtureTables
 from shoplens.streaming.delta import append_delta, read_delta_stream
 from shoplens.streaming.latest_state import LatestPropertyState
+from shoplens.streaming.responses import ResponseSplit
 
 TEST_DAYS = {"clicks": 7, "orders": 180}
 
@@ -629,6 +631,176 @@ def payload_records(lab: Lab) -> DataFrame:
     return payloads.normalise_records(parsed, STAMPS[0])
 
 
+def _write_csv(df: DataFrame, label: str) -> str:
+    """A source folder of CSV files as a shop's export would be."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.options(**landing_source.CSV_WRITE).csv(path)
+    return path
+
+
+def _land_batches(lab: Lab) -> str:
+    """Events, properties and category tree as CSV exports, landed byte for byte; returns the raw root."""
+    root = scratch_path(lab.spark, "raw")
+    for data_type, rows in (
+        ("events", lab.raw_events), ("item_properties", lab.raw_properties.drop("seq", "source_system")),
+        ("category_tree", lab.fixtures.category_tree()),
+    ):
+        source = _write_csv(rows, data_type)
+        landing_sink.land_batch(lab.spark, source, root, data_type, STAMPS[0], rows.columns)
+    return root
+
+
+def batch_landing_manifest(lab: Lab) -> DataFrame:
+    """Manifest of the batch landing; digests and sizes, which differ from run to run, against the stored files."""
+    root = _land_batches(lab)
+    manifest = landing_source.read_manifest(lab.spark, root, required=True)
+    stored = blocks.digests(lab.spark, root, "part-*").groupBy(
+        landing_source.path_fact(F.col("path"), "type").alias("data_type")).agg(*[
+            column.alias(f"actual_{name}") for name, column in zip(("files", "bytes", "checksum"), blocks.partition_totals())])
+    return manifest.join(stored, "data_type", "left").select(
+        "source_system", "data_type", "ingestion_timestamp", "format", "row_count",
+        (F.col("file_count") == F.col("actual_files")).alias("same_files"),
+        (F.col("file_bytes") == F.col("actual_bytes")).alias("same_bytes"),
+        (F.col("checksum_sha256") == F.col("actual_checksum")).alias("same_checksum"),
+        "api_contract", "api_count", "total_rows", "unread_rows", "api_success", "cursor")
+
+
+def batch_quality_report(lab: Lab) -> DataFrame:
+    """The report after a landing of which one partition got further rows; one type was never landed."""
+    root = _land_batches(lab)
+    path = landing_source.partition_path(root, "category_tree", "csv", STAMPS[0])
+    lab.fixtures.category_tree().write.mode("append").options(**landing_source.CSV_WRITE).csv(path)
+    report = raw_checks.batch_report(lab.spark, root, ["events", "item_properties", "category_tree", "prices"])
+    # paths and digests differ from run to run
+    run_specific = F.col("check_name").isin("raw_file_exists", "checksum_matches_metadata")
+    return report.withColumn("details", F.when(~run_specific, F.col("details")))
+
+
+def csv_events_roundtrip(lab: Lab) -> DataFrame:
+    """Events staged from their landed CSV files."""
+    path = landing_source.partition_path(_land_batches(lab), "events", "csv", STAMPS[0])
+    return staging.stage_events(external.read_events(lab.spark, path), lab.source)
+
+
+def csv_properties_roundtrip(lab: Lab) -> DataFrame:
+    path = landing_source.partition_path(_land_batches(lab), "item_properties", "csv", STAMPS[0])
+    return external.read_item_properties(lab.spark, path)
+
+
+def json_array_rows(lab: Lab) -> DataFrame:
+    """Properties from files that each hold one JSON array."""
+    fields = ["timestamp", "itemid", "property", "value"]
+    rows = lab.raw_properties.where(F.col("source_system") == C.API_SOURCE).select(*fields, "seq")
+    # an array holds the rows of at most fifty orders
+    arrays = rows.groupBy(F.floor(F.col("seq") / 500).alias("page")).agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
+    path = scratch_path(lab.spark, "json-arrays")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return external.read_json_array(lab.spark, path, rows.drop("seq").schema)
+
+
+def landed_presence(lab: Lab) -> DataFrame:
+    """Presence after one landed partition was lost and one came that no manifest row tells of."""
+    root = _land_deltas(lab, ("parquet", "json"))
+    delete_path(lab.spark, landing_source.partition_path(root, C.DELTA_FEED, "json", STAMPS[1]))
+    lab.raw_properties.limit(1).coalesce(1).write.parquet(
+        landing_source.partition_path(root, C.DELTA_FEED, "parquet", "20260101_023000"))
+    return landing_source.presence(lab.spark, root).select("data_type", "format", "ingestion_timestamp", "presence")
+
+
+def _land_responses(lab: Lab) -> str:
+    """API pages landed as five partitions of raw responses with their records; every page of 25 that is third fails."""
+    root = scratch_path(lab.spark, "raw")
+    rows = lab.raw_properties.where(F.col("source_system") == C.API_SOURCE)
+    # a page holds the rows of at most ten orders, so it is small by construction
+    pages = rows.groupBy(F.floor(F.col("seq") / 100).alias("page")).agg(
+        F.collect_list(F.struct("timestamp", "itemid", "property", "value")).alias("records"))
+    stamp = F.element_at(F.array(*map(F.lit, STAMPS)), (F.col("page") % len(STAMPS) + 1).cast("int"))
+    bodies = materialise(pages.select(stamp.alias("ingestion_timestamp"), F.to_json(F.struct(
+        F.col("records").alias("data"), (F.col("page") % 25 != 3).alias("success"), F.size("records").alias("count"),
+        F.lit(0).alias("total_rows"), F.lit(0).alias("unread_rows"))).alias("value")), "bodies")
+    landing_sink.land_partitions(bodies, root, landing_source.response_type(C.DELTA_FEED), C.API_SOURCE)
+    parsed = payloads.parse_payloads(bodies.withColumnRenamed("value", "body"))
+    landing_sink.land_partitions(payloads.normalise_records(parsed, F.col("ingestion_timestamp")), root, C.DELTA_FEED, C.API_SOURCE)
+    return root
+
+
+def response_contract_report(lab: Lab) -> DataFrame:
+    """The delta report with its raw responses, one partition of which breaks the contract; csv was never landed."""
+    report = raw_checks.delta_report(lab.spark, _land_responses(lab), C.DELTA_FEED, expected_formats=("parquet", "csv"))
+    run_specific = F.col("check_name").isin(
+        "parquet_exists", "raw_response_exists", "checksum_matches_metadata", "normalized_parquet_schema")
+    return report.withColumn("details", F.when(~run_specific, F.col("details")))
+
+
+def _split_responses(lab: Lab) -> ResponseSplit:
+    found = ResponseSplit(lab.spark, scratch_path(lab.spark, "responses"))
+    found.absorb(_land_responses(lab), C.DELTA_FEED, files_per_batch=8).awaitTermination()
+    return found
+
+
+def quarantined_pages(lab: Lab) -> DataFrame:
+    """Rejected pages of the stream with their reason and number of records."""
+    return _split_responses(lab).read("rejected").select(
+        "ingestion_timestamp", "problem", F.json_array_length(F.get_json_object("body", "$.data")).alias("n_records"))
+
+
+def streamed_response_records(lab: Lab) -> DataFrame:
+    return _split_responses(lab).read("records")
+
+
+# --- stored layers --------------------------------------------------------------------------
+
+def event_type_csv_report(lab: Lab) -> DataFrame:
+    """A report written as one CSV file and read again."""
+    report, path = profiling.event_type_summary(lab.raw_events), scratch_path(lab.spark, "report")
+    reports.write_csv_report(report, path)
+    return lab.spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def _stored_layers(lab: Lab) -> dict[str, str]:
+    """Databases of this run for the layers, with a bucketed table and a view over another."""
+    run = uuid.uuid4().hex[:12]
+    layers = {name: f"{name}_{run}" for name in ("staged", "curated", "mart")}
+    tables.reset_layers(lab.spark, layers.values())
+    tables.save_table(lab.events.drop("_source_system", "_source_file"), layers["staged"], "events", "visitor_id", 8)
+    weighed = curation.curated_interactions(lab.events, lab.metadata)
+    tables.save_table(weighed.select("user_id", "item_id", "event_type", "interaction_weight"), layers["curated"], "interactions")
+    tables.create_view(lab.spark, layers["mart"], "interactions", f"{layers['curated']}.interactions")
+    return layers
+
+
+def layer_inventory(lab: Lab) -> DataFrame:
+    """Tables and views of the catalog, one of them missing."""
+    layers = _stored_layers(lab)
+    wanted = [(layers["staged"], "events"), (layers["curated"], "interactions"), (layers["mart"], "interactions"), (layers["mart"], "gone")]
+    return tables.table_inventory(lab.spark, wanted).withColumn("schema_name", F.split_part("schema_name", F.lit("_"), F.lit(1)))
+
+
+def layer_schema_summary(lab: Lab) -> DataFrame:
+    return tables.catalog_schema_summary(lab.spark, _stored_layers(lab).values()).withColumn(
+        "schema_name", F.split_part("schema_name", F.lit("_"), F.lit(1)))
+
+
+def mart_view_totals(lab: Lab) -> DataFrame:
+    """Totals by type through the view over the stored table."""
+    return lab.spark.table(f"{_stored_layers(lab)['mart']}.interactions").groupBy("event_type").agg(
+        F.count("*").alias("row_count"), F.sum("interaction_weight").alias("total_weight"))
+
+
+def stored_model_recommendations(lab: Lab) -> DataFrame:
+    """Lists from a model that was stored and loaded again."""
+    store = tables.LayerStore(lab.spark, scratch_path(lab.spark, "store"))
+    store.save(lab.popularity_model, "models", "popularity_items")
+    model = store.load("models", "popularity_items", "the training step")
+    return serving.recommend_popularity(lab.history.select("user_id"), lab.history, model)
+
+
+def listed_user_features(lab: Lab) -> DataFrame:
+    """Features of a short list of users: the most active ones, with their ids as the list."""
+    ids = [row["user_id"] for row in serving.active_users(lab.user_view).select("user_id").collect()]
+    return registry.retrieve(external.users_from(lab.spark, ids), lab.user_view, registry.USER_VIEW, ["total_events", "unique_items"])
+
+
 # --- inventory ------------------------------------------------------------------------------
 
 def table_inventory(lab: Lab) -> DataFrame:
@@ -690,6 +862,9 @@ _ON_ORDERS = (
     landing_manifest, landing_fingerprints, landed_delta_rows, latest_partition_rows, ingest_counters,
     raw_quality_report, payload_records, table_inventory,
     stream_latest_category, stream_latest_availability, stream_delta_append,
+    batch_landing_manifest, batch_quality_report, csv_events_roundtrip, csv_properties_roundtrip, json_array_rows,
+    landed_presence, response_contract_report, quarantined_pages, streamed_response_records,
+    event_type_csv_report, layer_inventory, layer_schema_summary, mart_view_totals, stored_model_recommendations, listed_user_features,
 )
 _ON_CLICKS = (
     stage_events, curated_interactions, curated_items, curated_user_items, user_features, item_features,

@@ -21,7 +21,9 @@ from shoplens.sources import external, landing, payloads
 from shoplens.sources.blocks import CsvRecords, digests
 from shoplens.sources.fixtures import FixtureTables
 from shoplens.streaming.delta import append_delta, read_delta_stream
+from shoplens.streaming import responses
 from shoplens.streaming.latest_state import LatestPropertyState
+from shoplens.streaming.responses import ResponseSplit
 
 RECORD = {"timestamp": 1431226800000, "itemid": 46, "property": "categoryid", "value": "1"}
 PAGES = {
@@ -189,6 +191,34 @@ def test_state_does_not_grow_with_the_batches(spark, small, tmp_path):
     assert state.current().count() == totals[0] == state.newest(staging.stage_properties_delta(part)).count()
 
 
+def test_responses_are_split_once_across_restarts(spark, tmp_path, monkeypatch):
+    """A batch that fails between its two tables is written again under its name; no page is taken twice."""
+    root, bodies = str(tmp_path / "raw"), {name: json.dumps(page) for name, page in PAGES.items()}
+
+    def land(stamp, *names):
+        rows = spark.createDataFrame([(bodies[name], stamp) for name in names], "value string, ingestion_timestamp string")
+        sink.land_partitions(rows, root, landing.response_type(DELTA_FEED), API_SOURCE)
+
+    split = ResponseSplit(spark, str(tmp_path / "split"))
+    with pytest.raises(FileNotFoundError):
+        split.read("records")
+    land("20260101_000000", "a", "b", "count", "none")
+    broken = ResponseSplit(spark, split.target)
+    monkeypatch.setattr(responses, "normalise_records", lambda pages, stamp: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        broken.absorb(root, DELTA_FEED).awaitTermination()
+    monkeypatch.undo()
+    for stamp, names in (("20260102_000000", ("fail", "last")), ("20260103_000000", ("b", "nomore"))):
+        split.absorb(root, DELTA_FEED).awaitTermination()
+        land(stamp, *names)
+    split.absorb(root, DELTA_FEED).awaitTermination()
+    split.absorb(root, DELTA_FEED).awaitTermination()
+    assert split.read("records").count() == 3 + 2
+    got = sorted((r.ingestion_timestamp[:8], r.problem) for r in split.read("rejected").collect())
+    assert got == [("20260101", "count differs from the number of records"), ("20260101", "neither data nor records"),
+                   ("20260102", "success is false"), ("20260103", "has_more is missing")]
+
+
 def test_appended_delta_keeps_duplicates_and_takes_files_once(spark, small, tmp_path):
     _, api = _api_rows(spark, small)
     rows_in = api.withColumn("ingestion_timestamp", F.lit("r"))
