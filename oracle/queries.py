@@ -456,20 +456,37 @@ _DESCRIPTIVE = {
     "has_availability_metadata", "first_event_timestamp_ms", "last_event_timestamp_ms", "first_event_datetime",
     "last_event_datetime", "strongest_event_type",
 }
-_NOT_WHOLE = ("_rate", "_score", "_weight", "_label", "_datetime", "events_per_unique_item")
+_DOUBLES = ("_rate", "_score", "_weight", "_label", "events_per_unique_item")
+_INTEGERS = ("is_available", "has_category_metadata", "has_availability_metadata", "has_transaction", "has_addtocart")
+_TEXTS = ("available_raw_value", "strongest_event_type")
+
+
+def _type(name: str) -> str:
+    if name.endswith(_DOUBLES):
+        return "double"
+    return "timestamp" if name.endswith("_datetime") else "int" if name in _INTEGERS else "string" if name in _TEXTS else "bigint"
+
+
+def _role(view: str, name: str) -> str:
+    return "entity_key" if name in _VIEW_KEYS[view] else "metadata" if name in _DESCRIPTIVE else "feature"
 
 
 def _documented(view: str, name: str, place: int) -> str:
-    role = "entity_key" if name in _VIEW_KEYS[view] else "metadata" if name in _DESCRIPTIVE else "feature"
-    source = name.replace("_datetime", "_timestamp_ms")
-    extremes = ", ".join(
-        f"cast(null as varchar) as {end}_value" if name.endswith(_NOT_WHOLE) else f"cast({end}({source}) as varchar) as {end}_value"
-        for end in ("min", "max")
-    )
+    source, kind = name.replace("_datetime", "_timestamp_ms"), _type(name)
+    extremes = []
+    for end in ("min", "max"):
+        value = f"{end}({source})"
+        text = "cast(null as varchar)" if kind == "double" else datetime(value) if kind == "timestamp" else f"cast({value} as varchar)"
+        number = f"round({value}, 6)" if kind == "double" else "cast(null as double)"
+        extremes += [f"{text} as {end}_value", f"{number} as {end}_number"]
     return f"""
-    select '{view}' as feature_view_name, '{name}' as column_name, {place} as ordinal_position, '{role}' as feature_role,
-           round(count(*) filter (where {source} is null)::double / count(*), 6) as null_rate,
-           count(distinct {source}) as distinct_values, {extremes} from {view}_{{s}}"""
+    select '{view}' as feature_view_name, '{name}' as column_name, {place} as ordinal_position, '{kind}' as data_type,
+           '{_role(view, name)}' as feature_role, round(count(*) filter (where {source} is null)::double / count(*), 6) as null_rate,
+           count(distinct {source}) as distinct_values, {", ".join(extremes)} from {view}_{{s}}"""
+
+
+def _object(entries: dict[str, str]) -> str:
+    return "{" + ",".join(f'"{key}":"{value}"' for key, value in sorted(entries.items())) + "}"
 
 
 def _registered(view: str) -> str:
@@ -479,7 +496,9 @@ def _registered(view: str) -> str:
     return f"""
     select '{view}' as feature_view_name, 'v1' as feature_view_version, '[{quoted}]' as entity_keys,
            'features.{view}' as source_table, true as source_exists, {len(names)} as feature_count,
-           '{", ".join(names)}' as feature_names, count(*) as row_count, count(distinct ({", ".join(keys)})) as distinct_keys
+           '{", ".join(names)}' as feature_names,
+           '{_object({name: _type(name) for name in _VIEW_COLUMNS[view]})}' as data_types,
+           '{_object({name: _role(view, name) for name in _VIEW_COLUMNS[view]})}' as feature_roles, count(*) as row_count, count(distinct ({", ".join(keys)})) as distinct_keys
     from {view}_{{s}}"""
 
 

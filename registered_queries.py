@@ -490,18 +490,21 @@ def retrieval_summary(lab: Lab) -> DataFrame:
 def registry_summary(lab: Lab) -> DataFrame:
     return registry.registry_summary(lab.spark, lab.stored_views).select(
         "feature_view_name", "feature_view_version", "entity_keys", "source_table", "source_exists", "feature_count",
-        "feature_names", "row_count", "distinct_keys",
+        "feature_names", "data_types", "feature_roles", "row_count", "distinct_keys",
     )
 
 
 def feature_documentation(lab: Lab) -> DataFrame:
-    """Every column with role and exact statistics; extremes of whole numbers and text."""
-    comparable_type = F.col("data_type").isin("bigint", "int", "string")
+    """Every column with type, role, exact statistics and extremes; doubles as numbers, instants as text."""
+    kind = F.col("data_type")
+    extremes = []
+    for name in ("min", "max"):
+        value = F.col(f"{name}_value")
+        instant = F.date_format(F.when(kind == "timestamp", value).cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS")
+        extremes += [F.when(kind == "timestamp", instant).when(kind != "double", value).alias(f"{name}_value"),
+                     F.when(kind == "double", value).cast("double").alias(f"{name}_number")]
     return registry.feature_documentation(lab.spark, lab.stored_views).select(
-        "feature_view_name", "column_name", "ordinal_position", "feature_role", "null_rate", "distinct_values",
-        F.when(comparable_type, F.col("min_value")).alias("min_value"),
-        F.when(comparable_type, F.col("max_value")).alias("max_value"),
-    )
+        "feature_view_name", "column_name", "ordinal_position", "data_type", "feature_role", "null_rate", "distinct_values", *extremes)
 
 
 # --- comparison and reports ---------------------------------------------------------

@@ -71,8 +71,11 @@ def validate(store: LayerStore, strict: bool = True) -> DataFrame:
     """The quality report, stored; raises on a failed check when strict."""
     names = expectations.REQUIRED_COLUMNS
     layer = {name: "curated" if name in _CURATED else "staged" for name in names}
-    datasets = {name: store.load(layer[name], name, "build") for name in names if store.exists(layer[name], name)}
-    report = store.save(expectations.quality_report(store.spark, datasets), "reports", "quality")
+    found = {name: expectations.readable(lambda name=name: store.load(layer[name], name, "build"))
+             for name in names if store.exists(layer[name], name)}
+    datasets = {name: df for name, (df, _) in found.items() if df is not None}
+    unreadable = {name: reason for name, (_, reason) in found.items() if reason is not None}
+    report = store.save(expectations.quality_report(store.spark, datasets, unreadable), "reports", "quality")
     if strict:
         expectations.require_passed(report)
     return report

@@ -6,9 +6,11 @@ report rows (dataset_name, check_name, status, details).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.constants import EVENT_TYPES, MIN_COVERAGE, SELECTED_PROPERTIES, VALID_WEIGHTS
@@ -191,15 +193,32 @@ def coverage_report(coverage: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(spark: SparkSession, datasets: Mapping[str, DataFrame]) -> DataFrame:
+def readable(load: Callable[[], DataFrame]) -> tuple[DataFrame | None, str | None]:
+    """The dataset that ``load`` gives, or the reason why it cannot be read: its schema, or the footer of any of its files."""
+    try:
+        df = load()
+        df.agg(F.count("*")).collect()  # no column is read
+        return df, None
+    except (AnalysisException, Py4JError, PySparkException) as error:
+        return None, str(error).strip().splitlines()[0]
+
+
+def quality_report(
+    spark: SparkSession, datasets: Mapping[str, DataFrame], unreadable: Mapping[str, str] | None = None
+) -> DataFrame:
     """All checks on the given datasets; a dataset that is absent fails once.
 
-    A dataset that lacks required columns gets its presence rows only.
+    A dataset that lacks required columns gets its presence rows only, and one
+    of ``unreadable`` (name and reason, see ``readable``) a failed read.
     """
     parts: list[DataFrame] = []
+    unreadable = unreadable or {}
     for name in REQUIRED_COLUMNS:
         df = datasets.get(name)
-        if df is None:
+        if name in unreadable:
+            parts.append(spark.createDataFrame([
+                (name, "file_exists", PASS, f"Found dataset: {name}"), (name, "read_parquet", FAIL, unreadable[name])], QUALITY_ROW))
+        elif df is None:
             parts.append(
                 spark.createDataFrame([(name, "file_exists", FAIL, f"Missing dataset: {name}")], QUALITY_ROW)
             )
@@ -211,7 +230,7 @@ def quality_report(spark: SparkSession, datasets: Mapping[str, DataFrame]) -> Da
     needed = ("events", "item_category_latest", "item_availability_latest")
     absent = [name for name in needed if datasets.get(name) is None]
     if absent:
-        missing = f"Missing dataset: {', '.join(absent)}"
+        missing = f"{'Unreadable' if set(absent) <= set(unreadable) else 'Missing'} dataset: {', '.join(absent)}"
         parts.append(spark.createDataFrame([("referential_coverage", "file_exists", FAIL, missing)], QUALITY_ROW))
     else:
         parts.append(coverage_report(metadata_coverage(*[datasets[name] for name in needed])))

@@ -393,6 +393,31 @@ def test_newest_partition_in_a_format_is_read(spark, tmp_path):
         landing.read_latest(spark, root, "mixed", "json", rows.schema)
 
 
+def test_an_unreadable_dataset_fails_and_the_report_goes_on(spark, small, tmp_path):
+    """One by its schema, one by a file in its midst."""
+    props, api = _api_rows(spark, small)
+    store = tables.LayerStore(spark, str(tmp_path / "store"))
+    fixtures = FixtureTables(spark, small)
+    build.build(store, build.RawInputs(
+        fixtures.order_events(), fixtures.category_tree(), props.where(F.col("source_system") != API_SOURCE), api))
+    for layer, name in (("staged", "category_tree"), ("staged", "item_availability_latest")):
+        folder = store.path(layer, name)
+        files = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+        shutil.copy(f"{folder}/{files[0]}", f"{folder}/part-99999-whole.parquet")
+        broken = files if name == "category_tree" else files[-1:]
+        for file in [*broken, *(["part-99999-whole.parquet"] if name == "category_tree" else [])]:
+            open(f"{folder}/{file}", "wb").write(b"no parquet")
+        for file in os.listdir(folder):
+            if file.endswith(".crc"):
+                os.remove(f"{folder}/{file}")
+    report = build.validate(store, strict=False).collect()
+    failed = {(r.dataset_name, r.check_name) for r in report if r.status == "FAIL"}
+    assert failed == {("category_tree", "read_parquet"), ("item_availability_latest", "read_parquet"), ("referential_coverage", "file_exists")}
+    assert {r.status for r in report if r.dataset_name == "events"} == {"PASS"} or len(report) > 40
+    with pytest.raises(RuntimeError):
+        build.validate(store)
+
+
 def test_end_to_end_run(spark, small, tmp_path):
     fixtures = FixtureTables(spark, small)
     props, api = _api_rows(spark, small)
