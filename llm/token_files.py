@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
@@ -35,7 +36,7 @@ MAGIC = b"FRB1"
 #: Tokens after which a task starts its next file; a longer document has a file of its own.
 FILE_TOKENS = 2_000_000
 #: Parts, and pieces, in each of two generations that a Python worker remembers.
-CACHE_WORDS = 200_000
+CACHE_PARTS, CACHE_PIECES = 100_000, 500_000
 
 #: Byte lengths of the four values that a control byte describes.
 LENGTHS = np.array([[(c >> shift & 3) + 1 for shift in (0, 2, 4, 6)] for c in range(256)], np.int64)
@@ -125,6 +126,13 @@ def read_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
     return [int(i) if k else None for i, k in zip(ids, known)], counts, ranks
 
 
+def byte_signs() -> list[str]:
+    """The sign that stands for each byte in vocabularies of bytes: itself where it can be seen, else the next one from U+0100 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return [chr(b) if b in seen else chr(0x100 + hidden.index(b)) for b in range(256)]
+
+
 class Memory(dict):
     """Values of two generations of keys: what is still asked for comes along when the older one is dropped."""
 
@@ -150,27 +158,31 @@ class Words:
     """Ids of texts by the tokenizers library; remembers words.
 
     The vocabulary drops white space and never joins what stands on both
-    sides of a space.  ASCII text between spaces is so cut by the vocabulary's
-    own pattern, and the library's model encodes each new piece.  Other parts
-    are encoded by the whole library, new ones together with a mark between
+    sides of a space.  Text of ASCII, composed Latin letters and common signs is
+    cut by the vocabulary's own pattern, and the library's model encodes each
+    new piece.  Of other texts, ASCII between spaces is; the parts beside it are encoded by the whole library, new ones together with a mark between
     them, as one call costs much more than one word; the mark's last character
     ends no other part's bytes.  Text with a special token, or with the mark,
     is the library's altogether.
     """
 
     MARK, TOGETHER, CHARS = "\ue000", 2_000, 1 << 20
-    #: The pattern of the vocabulary, on lower-case ASCII.
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\v\f\ra-z0-9]+")
+    #: Letters that lower case keeps among them and that are composed already; signs that are no letters, numbers or spaces.
+    LATIN, SIGNS = "À-ÖØ-öø-įı-ſ", "¡-©«-¬®-±´¶-¸»¿\u2010-\u2027\u2030-\u205e€"
+    SIMPLE = re.compile(rf"[\x00-\x7f{LATIN}{SIGNS}]*")
+    #: The pattern of the vocabulary, on lower case.
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įı-ſ]+|[0-9]|[^ \t\n\v\f\ra-z0-9ß-öø-įı-ſ]+")
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
-        self.parts, self.pieces = Memory(CACHE_WORDS), Memory(CACHE_WORDS)
+        self.parts, self.pieces = Memory(CACHE_PARTS), Memory(CACHE_PIECES)
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.whole = [self.MARK, *(token.content for token in self.tokenizer.get_added_tokens_decoder().values())]
         self.mark = self._ids(self.MARK)
+        self.bytes = byte_signs()
         self.by_pieces = True
         self.by_pieces = self._cuts_as_pieces()
 
@@ -193,6 +205,8 @@ class Words:
         """Whether the vocabulary is one whose ASCII text may be cut by PIECES: tried on every pair of characters."""
         signs = [chr(c) for c in range(1, 0x7F)]
         tried = [f"A{a}{b}z" for a in signs for b in signs] + ["it's", "x'll", "'re1", "Don'T", "..'s", "a\nb"]
+        others = [chr(c) for c in range(0x80, 0x2100) if self.SIMPLE.fullmatch(chr(c))]
+        tried += [f"{a}{c}{c}{b}" for c in others for a, b in (("a", "b"), ("é", "."), ("1", "É"), ("'", "s"), (" ", "-"))]
         whole = self.tokenizer.encode_batch_fast(tried, add_special_tokens=False)
         return self.encode(tried, 0) == [np.array([*found.ids, 0], self.kind).tobytes() for found in whole]
 
@@ -200,9 +214,13 @@ class Words:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def _learn_pieces(self, pieces: Iterable[str]) -> None:
-        tokenize, pack = self.model.tokenize, struct.Struct("<H" if self.kind == "<u2" else "<I").pack
+        tokenize, kind = self.model.tokenize, "H" if self.kind == "<u2" else "I"
         for piece in pieces:
-            self.pieces[piece] = b"".join([pack(token.id) for token in tokenize(piece)]) if piece.isprintable() else self._ids(piece).tobytes()
+            if not piece.isprintable():
+                self.pieces[piece] = self._ids(piece).tobytes()
+                continue
+            signs = piece if piece.isascii() else "".join([self.bytes[b] for b in piece.encode()])
+            self.pieces[piece] = array(kind, [token.id for token in tokenize(signs)]).tobytes()
 
     def _learn_parts(self, parts: list[str]) -> None:
         for start in range(0, len(parts), self.TOGETHER):
@@ -222,7 +240,7 @@ class Words:
     def _runs(self, text: str) -> list[tuple[Memory, list[str]]]:
         """Pieces and parts of a text in order, each run with the memory that knows it."""
         cut = self.PIECES.findall
-        if self.by_pieces and text.isascii():
+        if self.by_pieces and (text.isascii() or self.SIMPLE.fullmatch(text)):
             return [(self.pieces, cut(text.lower()))]
         words = text.split(" ")
         if not self.by_pieces:
@@ -289,8 +307,11 @@ def token_counts(stored: DataFrame, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for row in range(batch.num_rows):
-                found = np.bincount(np.frombuffer(batch.column(0)[row].as_buffer(), kind))
+            packed = batch.column(0)
+            if len(packed):
+                # the values of a batch lie one after another
+                ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset: packed.offset + len(packed) + 1]
+                found = np.bincount(np.frombuffer(packed.buffers()[2], np.uint8)[ends[0]: ends[-1]].view(kind))
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[: len(found)] += found
