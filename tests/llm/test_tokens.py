@@ -148,3 +148,16 @@ def test_token_query_on_a_table(spark, small):
     texts = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     got = QUERIES["op6_token_files"](spark, small).orderBy("doc_id").collect()
     assert [tuple(r) for r in got] == _wanted([tuple(r) for r in texts])
+
+
+def test_higher_order_functions_fold_as_the_library(spark, library):
+    """The fold as column expressions with a literal rank map gives the ids of the fast one."""
+    from llm import bpe_columns
+
+    rng = random.Random(12)
+    words = [b"understanding", b"abababababab", b" the", b"xxxxxxxxx", "straße".encode(), "日本語".encode(), bytes([0, 255, 10]), b"a", b""]
+    words += ["".join(rng.choice("abcdeinorst é") for _ in range(rng.randrange(1, 14))).encode() for _ in range(40)]
+    frame = spark.createDataFrame([(w,) for w in dict.fromkeys(words)] + [(None,)], "word binary").coalesce(2)
+    for row in bpe_columns.join_pieces(bpe_columns.fold_words(frame, RANKS), RANKS).collect():
+        assert row.ids == (bpe.fold_merges(bytes(row.word), RANKS) if row.word else [])
+        assert bytes(row.decoded) == bytes(row.word or b"")
