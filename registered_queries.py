@@ -466,7 +466,9 @@ def feature_retrieval(lab: Lab) -> DataFrame:
 
 
 def feature_point_lookup(lab: Lab) -> DataFrame:
-    source = materialise(lab.user_item_view, "user-items")
+    """The strongest pair, looked up in the view as it is stored for lookups."""
+    store = tables.LayerStore(lab.spark, scratch_path(lab.spark, "store"))
+    source = store.save_keyed(lab.user_item_view, "features", registry.USER_ITEM_VIEW.name, registry.USER_ITEM_VIEW.entity_keys)
     pair = registry.sample_pair(source).first()
     return registry.point_lookup(source, registry.USER_ITEM_VIEW, user_id=pair["user_id"], item_id=pair["item_id"])
 

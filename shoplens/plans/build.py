@@ -59,9 +59,11 @@ def build(store: LayerStore, raw: RawInputs, lineage: bool = False) -> None:
 
     users = store.save(features.mart_user_features(pairs), "mart", "user_features")
     mart_items = store.save(features.mart_item_features(items), "mart", "item_features")
-    store.save(features.user_features(users), "features", "user_features")
-    store.save(features.item_features(mart_items), "features", "item_features")
-    store.save(features.user_item_features(user_items), "features", "user_item_features")
+    for view, rows in (
+        (registry.USER_VIEW, features.user_features(users)), (registry.ITEM_VIEW, features.item_features(mart_items)),
+        (registry.USER_ITEM_VIEW, features.user_item_features(user_items)),
+    ):
+        store.save_keyed(rows, "features", view.name, view.entity_keys)
 
 
 _CURATED = ("curated_interactions", "curated_items", "curated_user_item_interactions")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -45,6 +45,27 @@ def create_view(spark: SparkSession, layer: str, name: str, source: str) -> Data
     return spark.table(f"{layer}.{name}")
 
 
+#: Bytes of a row group of keyed tables, and distinct keys that its Bloom filters are made for.
+ROW_GROUP_BYTES, GROUP_KEYS = 8 << 20, 50_000
+
+
+def write_keyed(df: DataFrame, path: str, keys: Sequence[str], row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """A Parquet folder in which a key is found in few row groups.
+
+    Rows are range-partitioned and sorted by the keys, so the least and
+    greatest value of a row group leave out nearly all others for the first
+    key; Bloom filters do so for keys after the first. Row groups are small,
+    as one is the least that a lookup reads.
+    """
+    order = [F.col(key) for key in keys]
+    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").option("parquet.block.size", row_group_bytes).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{key}", GROUP_KEYS)
+    writer.parquet(path)
+
+
 class LayerStore:
     """Datasets as Parquet folders: <root>/<layer>/<name>."""
 
@@ -61,6 +82,12 @@ class LayerStore:
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_keyed(self, df: DataFrame, layer: str, name: str, keys: Sequence[str]) -> DataFrame:
+        """As ``save``, for tables in which single keys are looked up."""
+        path = self.path(layer, name)
+        write_keyed(df, path, keys)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def exists(self, layer: str, name: str) -> bool:
         return path_exists(self.spark, f"{self.path(layer, name)}/_SUCCESS")
 

@@ -393,6 +393,35 @@ def test_newest_partition_in_a_format_is_read(spark, tmp_path):
         landing.read_latest(spark, root, "mixed", "json", rows.schema)
 
 
+def _rows_scanned(df):
+    """Rows that the scan gave, which are those of the row groups it read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan
+    while plan.children().size():
+        plan = plan.children().apply(0)
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_a_key_is_found_in_few_row_groups(spark, tmp_path):
+    rng = random.Random(2)
+    pairs = [(user, rng.randrange(10 ** 9), rng.random()) for user in range(4000) for _ in range(10)]
+    frame = spark.createDataFrame(pairs, "user_id bigint, item_id bigint, weight double").orderBy(F.rand(1))
+    plain, keyed = str(tmp_path / "plain"), str(tmp_path / "keyed")
+    frame.write.option("parquet.block.size", 32 << 10).parquet(plain)
+    tables.write_keyed(frame, keyed, ["user_id", "item_id"], row_group_bytes=32 << 10)
+    user, item, weight = pairs[777]
+    read = {}
+    for name, condition in (("first", f"user_id = {user}"), ("second", f"item_id = {item}"), ("both", f"user_id = {user} and item_id = {item}"),
+                            ("none", "item_id = -5")):
+        for path in (plain, keyed):
+            found = spark.read.parquet(path).where(condition)
+            assert {r.weight for r in found.collect()} == {w for u, i, w in pairs if eval(condition.replace(" = ", " == "), {"user_id": u, "item_id": i})}
+            read[name, path] = _rows_scanned(spark.read.parquet(path).where(condition))
+    assert read["first", keyed] * 5 < read["first", plain] and read["both", keyed] * 5 < read["both", plain]
+    assert read["second", keyed] * 5 < read["second", plain] and read["none", keyed] * 5 < len(pairs)
+
+
 def test_an_unreadable_dataset_fails_and_the_report_goes_on(spark, small, tmp_path):
     """One by its schema, one by a file in its midst."""
     props, api = _api_rows(spark, small)
