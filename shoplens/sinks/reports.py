@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.operators.merge import replace_by_key
-from shoplens.session import materialise, path_exists
+from shoplens.session import delete_path, path_exists, publish_path
 
 
 def write_csv_report(df: DataFrame, path: str) -> None:
@@ -25,14 +27,16 @@ def read_model_report(spark: SparkSession, path: str) -> DataFrame:
 def merge_csv_report(current: DataFrame, path: str, value: str, key: str = "model_key") -> DataFrame:
     """Replace one model's rows in a small CSV report.
 
-    The old report is stored aside before its folder is overwritten.
+    The merged report is written beside the old one and takes its name when it
+    is whole. After a failure in between, one of the two is still there: the
+    old one under its name, or the new one as ``<name>.merged-<run>``.
     """
     spark = current.sparkSession
-    existing = None
-    if path_exists(spark, path):
-        old = spark.read.option("header", True).csv(path)
-        existing = materialise(old, "old-report")
+    existing = spark.read.option("header", True).csv(path) if path_exists(spark, path) else None
     text = current.select(*[F.col(name).cast("string").alias(name) for name in current.columns])
-    merged = replace_by_key(existing, text, key, value)
-    write_csv_report(merged, path)
+    pending = f"{path.rstrip('/')}.merged-{uuid.uuid4().hex}"
+    write_csv_report(replace_by_key(existing, text, key, value), pending)
+    if existing is not None:
+        delete_path(spark, path)
+    publish_path(spark, pending, path)
     return spark.read.option("header", True).csv(path)
