@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 import struct
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -36,7 +36,7 @@ MAGIC = b"FRB1"
 #: Tokens after which a task starts its next file; a longer document has a file of its own.
 FILE_TOKENS = 2_000_000
 #: Parts, and pieces, in each of two generations that a Python worker remembers.
-CACHE_PARTS, CACHE_PIECES = 100_000, 500_000
+CACHE_PARTS, CACHE_PIECES = 100_000, 800_000
 
 #: Byte lengths of the four values that a control byte describes.
 LENGTHS = np.array([[(c >> shift & 3) + 1 for shift in (0, 2, 4, 6)] for c in range(256)], np.int64)
@@ -76,11 +76,13 @@ class Packed:
 
     def __init__(self) -> None:
         self.control, self.data, self.waiting, self.size = bytearray(), bytearray(), [], 0
+        self.unpacked = 0
 
     def add(self, values: np.ndarray) -> None:
         self.waiting.append(values)
         self.size += len(values)
-        if sum(map(len, self.waiting)) >= self.SOME:
+        self.unpacked += len(values)
+        if self.unpacked >= self.SOME:
             self._pack(4)
 
     def _pack(self, multiple: int) -> None:
@@ -91,6 +93,7 @@ class Packed:
             self.control += control
             self.data += data
         self.waiting = [values[whole:]]
+        self.unpacked = len(values) - whole
 
     def file(self, ids: list[int | None], counts: list[int]) -> bytes:
         self._pack(1)
@@ -154,6 +157,21 @@ class Memory(dict):
             self.clear()
 
 
+class Pieces(Memory):
+    """A memory that asks ``learn`` for a key when the key is first looked up."""
+
+    def __init__(self, most: int, learn: Callable[[str], bytes]) -> None:
+        super().__init__(most)
+        self.learn = learn
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.learn(key)
+        self[key] = found
+        return found
+
+
 class Words:
     """Ids of texts by the tokenizers library; remembers words.
 
@@ -176,7 +194,7 @@ class Words:
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
-        self.parts, self.pieces = Memory(CACHE_PARTS), Memory(CACHE_PIECES)
+        self.parts, self.pieces = Memory(CACHE_PARTS), Pieces(CACHE_PIECES, self._piece)
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
@@ -213,14 +231,11 @@ class Words:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _learn_pieces(self, pieces: Iterable[str]) -> None:
-        tokenize, kind = self.model.tokenize, "H" if self.kind == "<u2" else "I"
-        for piece in pieces:
-            if not piece.isprintable():
-                self.pieces[piece] = self._ids(piece).tobytes()
-                continue
-            signs = piece if piece.isascii() else "".join([self.bytes[b] for b in piece.encode()])
-            self.pieces[piece] = array(kind, [token.id for token in tokenize(signs)]).tobytes()
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isprintable():
+            return self._ids(piece).tobytes()
+        signs = piece if piece.isascii() else "".join([self.bytes[b] for b in piece.encode()])
+        return array("H" if self.kind == "<u2" else "I", [token.id for token in self.model.tokenize(signs)]).tobytes()
 
     def _learn_parts(self, parts: list[str]) -> None:
         for start in range(0, len(parts), self.TOGETHER):
@@ -250,14 +265,10 @@ class Words:
 
     def _some(self, texts: list[str]) -> list[bytes]:
         cut = [None if any(token in text for token in self.whole) else self._runs(text) for text in texts]
-        asked = {id(self.pieces): set(), id(self.parts): set()}
-        for runs in cut:
-            for memory, keys in runs or ():
-                asked[id(memory)].update(keys)
         self.pieces.turn()
         self.parts.turn()
-        self._learn_pieces(self.pieces.unknown(asked[id(self.pieces)]))
-        self._learn_parts(list(self.parts.unknown(asked[id(self.parts)])))
+        asked = set().union(*(keys for runs in cut for memory, keys in runs or () if memory is self.parts))
+        self._learn_parts(list(self.parts.unknown(asked)))
         return [self._ids(text).tobytes() if runs is None else b"".join([b"".join(map(memory.__getitem__, keys)) for memory, keys in runs])
                 for text, runs in zip(texts, cut)]
 
