@@ -26,6 +26,16 @@ def top_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def by_key(stored: DataFrame, *keys: str, rows_per_task: int) -> DataFrame:
+    """The rows of a stored table by ``keys``, in as many tasks as their number asks for.
+
+    A task's memory so stays the same for any input, whatever the session's
+    number of shuffle partitions; adaptive execution does not merge them.
+    """
+    tasks = -(-stored.count() // rows_per_task)
+    return stored.repartition(max(1, tasks, stored.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
     """The first ``n`` rows; tasks keep ``n`` rows each, then merge.
 

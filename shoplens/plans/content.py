@@ -14,7 +14,7 @@ from shoplens.functions.scores import (
     ratio_or_zero,
     settled,
 )
-from shoplens.operators.ranking import rank_all, top_k_per_key, top_n
+from shoplens.operators.ranking import by_key, rank_all, top_k_per_key, top_n
 from shoplens.operators.rollup import train_item_stats
 from shoplens.plans.curation import with_metadata
 from shoplens.session import materialise
@@ -29,6 +29,9 @@ SERVING_TIES = (("train_event_count", False), ("item_id", False))
 # Wider than the rounding of a score, so that a floor never cuts a tie.
 FLOOR_SLACK = 1e-8
 
+# Rows of the per-user working table that one task takes: each may become some tens of candidates.
+ROWS_PER_TASK = 200_000
+
 # kinds of row in the per-user working table
 _CATEGORY, _PARENT, _USER = 1, 2, 3
 
@@ -150,40 +153,48 @@ def _working_rows(users: DataFrame, history: DataFrame, metadata: DataFrame, slo
         "item_id", "slot", F.col("category_id").alias("_stored_category"),
         F.col("parent_category_id").alias("_stored_parent"),
     )
-    rows = _categorised(history, metadata).join(stored, "item_id", "left")
-    is_candidate = F.col("slot").isNotNull()
+    # a row per user and category, before any row is repeated for its kinds; a small set of users is pushed below
+    rows = (
+        _categorised(history, metadata)
+        .join(stored, "item_id", "left")
+        .groupBy("user_id", "category_id", "parent_category_id", "_stored_category", "_stored_parent")
+        .agg(F.sum(F.col("weight").cast("double")).alias("weight"), F.count("slot").alias("seen"))
+        .join(users, "user_id", "left_semi")
+    )
 
     def row(kind: int, key: Column, weight: Column, seen: Column) -> Column:
         return F.struct(
             F.lit(kind).alias("kind"),
             key.cast("bigint").alias("key"),
             weight.cast("double").alias("weight"),
-            seen.cast("int").alias("seen"),
+            seen.cast("bigint").alias("seen"),
         )
 
     def same(current: str, saved: str) -> Column:
         return F.col(saved).eqNullSafe(F.col(current))
 
-    nothing, one = F.lit(0.0), F.lit(1)
+    nothing, none = F.lit(0.0), F.lit(0)
     same_category = same("category_id", "_stored_category")
     same_parent = same("parent_category_id", "_stored_parent")
-    facts = rows.select(
-        "user_id",
-        F.inline(
-            F.array_compact(
-                F.array(
-                    row(_CATEGORY, F.col("category_id"), F.col("weight"), same_category),
-                    row(_PARENT, F.col("parent_category_id"), F.col("weight"), same_parent),
-                    row(_USER, F.lit(0), F.col("weight"), is_candidate),
-                    F.when(is_candidate & ~same_category, row(_CATEGORY, F.col("_stored_category"), nothing, one)),
-                    F.when(is_candidate & ~same_parent, row(_PARENT, F.col("_stored_parent"), nothing, one)),
-                )
-            )
-        ),
-    )
-    everyone = users.select("user_id", F.inline(F.array(row(_USER, F.lit(0), nothing, F.lit(0)))))
+    has_history, has_seen = F.col("category_id").isNotNull(), F.col("seen") > 0
     return (
-        facts.unionByName(everyone)
+        users.join(rows, "user_id", "left")
+        .select(
+            "user_id",
+            F.inline(
+                F.array_compact(
+                    F.array(
+                        row(_USER, F.lit(0), F.coalesce("weight", nothing), F.coalesce("seen", none)),
+                        F.when(has_history, row(
+                            _CATEGORY, F.col("category_id"), F.col("weight"), F.when(same_category, F.col("seen")).otherwise(none))),
+                        F.when(has_history, row(
+                            _PARENT, F.col("parent_category_id"), F.col("weight"), F.when(same_parent, F.col("seen")).otherwise(none))),
+                        F.when(has_seen & ~same_category, row(_CATEGORY, F.col("_stored_category"), nothing, F.col("seen"))),
+                        F.when(has_seen & ~same_parent, row(_PARENT, F.col("_stored_parent"), nothing, F.col("seen"))),
+                    )
+                )
+            ),
+        )
         .groupBy("user_id", "kind", "key")
         .agg(F.sum("weight").alias("weight"), F.sum("seen").alias("seen"))
         .where((F.col("weight") > 0) | (F.col("kind") == _USER))
@@ -212,7 +223,7 @@ def _lists(slots: DataFrame) -> DataFrame:
         F.inline(F.array(entry(_CATEGORY, category, parent), entry(_PARENT, parent, parent), entry(_USER, none, none))),
     )
     ranked = rank_all(listed, [*map(F.col, _LIST), F.col("slot")], "_rank")
-    bounds = ranked.groupBy(*_LIST).agg(F.min("_rank").alias("_first"), F.count("*").alias("size"))
+    bounds = materialise(ranked.groupBy(*_LIST).agg(F.min("_rank").alias("_first"), F.count("*").alias("size")), "list-bounds")
     return ranked.join(bounds, _LIST).select(
         *_LIST, (F.col("_rank") - F.col("_first") + 1).alias("place"), "size", "slot", "static_score"
     )
@@ -260,22 +271,34 @@ def recommend(
     grouped. Work per user grows with the profile and the history, not with
     the number of candidates.
 
+    No user looks deeper into a list than k places beyond the most items that
+    any user has seen of it. Only these places, their candidates and the pairs
+    that hold one of them are kept, so that pairs of users and candidates are
+    shuffled neither to look places up nor to drop what was seen, and the
+    lists of a user are worked off in one task, of about ROWS_PER_TASK rows.
+
     ``history``: user_id, item_id, weight, one row per pair; its items count
-    as seen. Candidates are all of the table, or its first ``n``. Candidates
-    and lists are stored; the planner picks the joins by their size.
+    as seen, and users other than ``users`` do not matter. Candidates are all
+    of the table, or its first ``n``. What is reached is stored; the planner
+    picks the joins by their size.
     """
     slots = _slots(candidates if n is None else top_n(candidates, candidate_order(), n), ties)
     wanted = users.select("user_id").distinct()
-    history = history.join(wanted, "user_id", "left_semi")
-    rows = _working_rows(wanted, history, metadata, slots)
+    rows = materialise(_working_rows(wanted, history, metadata, slots), "working")
 
-    per_user = Window.partitionBy("user_id")
-    shares = rows.withColumn("_total", F.max(F.when(F.col("kind") == _USER, F.col("weight"))).over(per_user)).withColumn(
-        "share", F.when(F.col("kind").isin(_CATEGORY, _PARENT), share("weight", "_total"))
+    deepest = materialise(rows.groupBy("kind", "key").agg((F.max("seen") + k).alias("_deepest")), "depths")
+    places = materialise(
+        _lists(slots).join(deepest, ["kind", "key"]).where(F.col("place") <= F.col("_deepest")).drop("_deepest"), "places"
     )
-    lists = materialise(_lists(slots), "lists")
-    heads = lists.where("place = 1").select(*_LIST, "size", F.col("static_score").alias("top_static"))
-    places = lists.select(*_LIST, "place", "slot", "static_score")
+    reached = materialise(slots.join(places.select("slot").distinct(), "slot", "left_semi"), "reached")
+    seen = materialise(history.join(reached.select("item_id", "slot"), "item_id").select("user_id", "slot"), "seen")
+    heads = places.where("place = 1").select(*_LIST, "size", F.col("static_score").alias("top_static"))
+    places = places.select(*_LIST, "place", "slot", "static_score")
+
+    per_user = Window.partitionBy("user_id")
+    shares = by_key(rows, "user_id", rows_per_task=ROWS_PER_TASK).withColumn(
+        "_total", F.max(F.when(F.col("kind") == _USER, F.col("weight"))).over(per_user)
+    ).withColumn("share", F.when(F.col("kind").isin(_CATEGORY, _PARENT), share("weight", "_total")))
 
     is_category = F.col("kind") == _CATEGORY
     of_parent = F.max(F.when(F.col("kind") == _PARENT, F.col("share"))).over(Window.partitionBy("user_id", "parent"))
@@ -290,7 +313,6 @@ def recommend(
         return F.col("floor").isNull() | (F.col("offset") + F.col(static) >= F.col("floor") - FLOOR_SLACK)
 
     depth = F.least(F.col("size"), F.lit(k) + F.col("seen"))
-    seen = history.join(slots.select("item_id", "slot"), "item_id").select("user_id", "slot")
     picked = (
         _score_floor(listed, places, k)
         .where(reaches_floor("top_static"))
@@ -307,6 +329,6 @@ def recommend(
         )
         .join(seen, ["user_id", "slot"], "left_anti")
     )
-    scored = picked.join(slots, "slot").withColumn("content_score", content_score())
+    scored = picked.join(reached, "slot").withColumn("content_score", content_score())
     order = [F.col("content_score").desc(), *tie_order(ties)]
     return top_k_per_key(scored, ["user_id"], order, k, "recommendation_rank").drop("slot", "static_score")

@@ -20,6 +20,7 @@ from shoplens.constants import (
     TOP_K,
 )
 from shoplens.functions.values import instant
+from shoplens.operators.rollup import train_pairs
 from shoplens.plans import content, popularity
 from shoplens.plans.evaluation import catalog_coverage, ranking_metrics, recommendation_outcomes
 from shoplens.plans.split import (
@@ -127,7 +128,7 @@ def train_content(
     targets = materialise(test_targets(split, CONTENT_RULE, sample_users), "targets")
     history = seen_by(split, targets)
     lists = materialise(
-        content.recommend(targets, history, metadata, model, k, None, content.EVALUATION_TIES), "content-lists"
+        content.recommend(targets, train_pairs(split), metadata, model, k, None, content.EVALUATION_TIES), "content-lists"
     )
     metrics = ranking_metrics(recommendation_outcomes(targets, lists), k)
     summary = metrics.select(

@@ -137,3 +137,12 @@ def test_profiles_copy_no_raw_row_per_distinct_count(spark):
     assert (row.row_count, row.distinct_visitors, row.distinct_items, row.max_timestamp_ms) == (100, 7, 5, 99)
     empty = profiling.profile_events(raw.where("false")).first()
     assert (empty.row_count, empty.distinct_visitors, empty.max_timestamp_ms) == (0, 0, None)
+
+
+def test_content_lists_shuffle_no_pairs_of_users_and_candidates(spark, store):
+    events, metadata = store.load("staged", "interactions"), store.load("curated", "item_metadata")
+    pairs = split.split_pairs(events, split.find_window(events, 2), split.CONTENT_RULE)
+    history = split.seen_by(pairs, events)
+    lists = content.recommend(events.select("user_id"), history, metadata, content.candidate_items(pairs, metadata), 5)
+    shuffles = [line for line in _plan(lists).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "hashpartitioning(user_id" in shuffles[0] and "REPARTITION_BY_NUM" in shuffles[0]
