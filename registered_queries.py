@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from shoplens import constants as C
 from shoplens.operators.fingerprint import fingerprint_columns
 from shoplens.operators.merge import replace_by_key, stack
+from shoplens.operators.rollup import pair_rollup
 from shoplens.plans import comparison, content, expectations, popularity, profiling, registry, serving, split, training
 from shoplens.plans import curation, features, latest, raw_checks, staging
 from shoplens.session import delete_path, materialise, scratch_path, use_utc
@@ -100,6 +101,11 @@ class Lab:
     def interactions(self) -> DataFrame:
         return curation.as_interactions(self.events)
 
+    @cached_property
+    def stored_interactions(self) -> DataFrame:
+        """Interactions as the table that window, split, training and history read one after the other."""
+        return materialise(self.interactions, "interactions")
+
     @cached_property
     def pairs(self) -> DataFrame:
         return curation.event_pairs(self.events)
@@ -153,13 +159,13 @@ class Lab:
 
     @cached_property
     def window(self) -> split.Window:
-        return split.find_window(self.interactions, self.days)
+        return split.find_window(self.stored_interactions, self.days)
 
     def split(self, rule: split.SplitRule) -> DataFrame:
-        return split.split_pairs(self.interactions, self.window, rule)
+        return split.split_pairs(self.stored_interactions, self.window, rule)
 
     def train_split(self, rule: split.SplitRule) -> DataFrame:
-        return split.train_split(self.interactions, self.window, rule)
+        return split.train_split(self.stored_interactions, self.window, rule)
 
     @cached_property
     def scored_items(self) -> DataFrame:
@@ -176,15 +182,15 @@ class Lab:
 
     @cached_property
     def history(self) -> DataFrame:
-        return materialise(serving.full_history(self.interactions), "history")
+        return materialise(serving.full_history(self.stored_interactions), "history")
 
     @cached_property
     def popularity(self) -> training.Training:
-        return training.train_popularity(self.interactions, self.metadata, test_days=self.days)
+        return training.train_popularity(self.stored_interactions, self.metadata, test_days=self.days)
 
     @cached_property
     def content(self) -> training.Training:
-        return training.train_content(self.interactions, self.stored_metadata, test_days=self.days)
+        return training.train_content(self.stored_interactions, self.stored_metadata, test_days=self.days)
 
     @cached_property
     def stored_datasets(self) -> dict[str, DataFrame]:
@@ -384,7 +390,7 @@ def popularity_metrics(lab: Lab) -> DataFrame:
 
 def popularity_metrics_sampled(lab: Lab) -> DataFrame:
     """Metrics over a sample of users, smaller than the users there are."""
-    run = training.train_popularity(lab.interactions, lab.metadata, test_days=lab.days, sample_users=SAMPLE_USERS)
+    run = training.train_popularity(lab.stored_interactions, lab.metadata, test_days=lab.days, sample_users=SAMPLE_USERS)
     return run.metrics
 
 
@@ -430,7 +436,7 @@ def content_recommendations_head(lab: Lab) -> DataFrame:
 
 
 def content_metrics_sampled(lab: Lab) -> DataFrame:
-    run = training.train_content(lab.interactions, lab.stored_metadata, test_days=lab.days, sample_users=SAMPLE_USERS)
+    run = training.train_content(lab.stored_interactions, lab.stored_metadata, test_days=lab.days, sample_users=SAMPLE_USERS)
     return run.metrics
 
 
@@ -448,8 +454,9 @@ def content_examples(lab: Lab) -> DataFrame:
 
 def active_user_recommendations(lab: Lab) -> DataFrame:
     """Both models for the default active users, in the common schema."""
-    users = materialise(serving.active_users(lab.user_view), "users")
-    theirs = lab.interactions.join(users.select("user_id"), "user_id", "left_semi")
+    pairs = pair_rollup(lab.stored_interactions, C.CURATED_UNKNOWN_WEIGHT)
+    users = materialise(serving.active_users(features.user_features(features.mart_user_features(pairs))), "users")
+    theirs = lab.stored_interactions.join(users.select("user_id"), "user_id", "left_semi")
     history = materialise(serving.full_history(theirs), "history")
     return stack(
         serving.recommend_popularity(users, history, lab.popularity_model),

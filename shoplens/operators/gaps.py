@@ -21,6 +21,8 @@ def first_free_ranks(users: DataFrame, taken: DataFrame, k: int, block: int = BL
     """
     blocks = taken.groupBy("user_id", F.floor((F.col("rank") - 1) / block).alias("_block")).agg(
         F.sort_array(F.collect_set(F.col("rank").cast("bigint"))).alias("_ranks"))
+    # rows of other users go here, after the grouping; the planner pushes a small set of users below it
+    blocks = blocks.join(users.select("user_id"), "user_id", "left_semi")
     per_user = Window.partitionBy("user_id").orderBy("_block")
     earlier = per_user.rowsBetween(Window.unboundedPreceding, -1)
     regions = users.select("user_id").join(blocks, "user_id", "left").select(

@@ -97,8 +97,7 @@ def recommend(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int, n: i
     if n is not None:
         ranked = ranked.where(F.col("rank") <= n)
     wanted = users.select("user_id").distinct()
-    history = seen.select("user_id", "item_id").join(wanted, "user_id", "left_semi")
-    taken = history.join(ranked.select("item_id", "rank"), "item_id").select("user_id", "rank")
+    taken = seen.select("user_id", "item_id").join(ranked.select("item_id", "rank"), "item_id").select("user_id", "rank")
     free = first_free_ranks(wanted, taken, k)
     is_head = F.col("rank") <= HEAD_RANKS
     met = free.where(is_head).join(F.broadcast(ranked.where(is_head)), "rank").unionByName(

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from registered_queries import Lab
 from shoplens.constants import DAY_MS
 from shoplens.plans import content, curation, latest, popularity, profiling, split
 from shoplens.operators.ranking import rank_all
@@ -146,3 +147,10 @@ def test_content_lists_shuffle_no_pairs_of_users_and_candidates(spark, store):
     lists = content.recommend(events.select("user_id"), history, metadata, content.candidate_items(pairs, metadata), 5)
     shuffles = [line for line in _plan(lists).splitlines() if "Exchange hashpartitioning" in line]
     assert len(shuffles) == 1 and "hashpartitioning(user_id" in shuffles[0] and "REPARTITION_BY_NUM" in shuffles[0]
+
+
+def test_window_split_and_history_read_the_stored_interactions(spark, small):
+    lab = Lab(spark, small)
+    for df in (lab.split(split.POPULARITY_RULE), lab.train_split(split.CONTENT_RULE)):
+        assert "Join" not in _plan(df)
+    assert lab.stored_interactions.count() == lab.interactions.count()
