@@ -113,7 +113,7 @@ def _land(df, root, data_type, source_system, formats, source_file, facts: DataF
         landed = _read_back(spark, path, fmt, df.schema)
         count, mark = fingerprint_columns(df.columns)
         counts = landed.groupBy(STAMP).agg(count.alias("row_count"), mark.alias("fingerprint"))
-        files = digests(spark, path, "part-*").groupBy(path_fact(F.col("path"), STAMP).alias(STAMP)).agg(*partition_totals())
+        files = digests(spark, path, "part-*", with_records=False).groupBy(path_fact(F.col("path"), STAMP).alias(STAMP)).agg(*partition_totals())
         rows.append(facts.join(files, STAMP).join(counts, STAMP, "left").withColumns({
             "row_count": F.coalesce("row_count", F.lit(0)), "fingerprint": F.coalesce("fingerprint", F.lit(EMPTY_FINGERPRINT)),
             "format": F.lit(fmt),

@@ -19,13 +19,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
+#: Marks of CSV text that are Python objects at one time.
+MARKS = 1 << 14
 
 _QUOTE, _COMMA, _LINE, _RETURN = 34, 44, 10, 13
 # a byte of CSV text stands at a field's start, in plain or quoted text, or after a quote in quoted text
 _START, _PLAIN, _QUOTED, _CLOSED = range(4)
 
 
+def _pairs(block: np.ndarray, marks: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Place and byte of every mark, a bounded number of them at a time."""
+    for start in range(0, len(marks), MARKS):
+        some = marks[start:start + MARKS]
+        yield from zip(some.tolist(), block[some].tolist())
+
+
 class CsvRecords:
     """Logical records of CSV text that comes in blocks, the header among them.
 
@@ -53,7 +62,7 @@ class CsvRecords:
     def _slowly(self, block: np.ndarray, marks: np.ndarray) -> bool:
         state, last = self.state, -1
         after_return = self.after_return
-        for at, byte in zip(marks.tolist(), block[marks].tolist()):
+        for at, byte in _pairs(block, marks):
             if at > last + 1:  # other bytes before the mark
                 state, after_return = _QUOTED if state == _QUOTED else _PLAIN, False
             if byte == _QUOTE:
@@ -95,11 +104,15 @@ def _known_store(path: str) -> bool:
     return True
 
 
-def digests(spark: SparkSession, path: str, glob: str = "*", copy_to: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def digests(
+    spark: SparkSession, path: str, glob: str = "*", copy_to: str | None = None, block_bytes: int = BLOCK_BYTES,
+    with_records: bool = True,
+) -> DataFrame:
     """Path, name, bytes, SHA-256 and logical CSV records of every file; with ``copy_to`` each is copied there under its name.
 
     A repeated task writes the same bytes again. Files that are copied need
-    different names.
+    different names. Without ``with_records`` their number is null: files that
+    are no CSV have none, and Spark counts the rows of its own.
     """
     by_address = _known_store(path)
     source = listed(spark, path, glob) if by_address else (
@@ -140,7 +153,8 @@ def digests(spark: SparkSession, path: str, glob: str = "*", copy_to: str | None
                     for block in blocks(batch, row, address):
                         digest.update(block)
                         size += len(block)
-                        records.add(np.frombuffer(block, np.uint8))
+                        if with_records:
+                            records.add(np.frombuffer(block, np.uint8))
                         if out is not None:
                             out.write(block)
                 finally:
@@ -148,7 +162,7 @@ def digests(spark: SparkSession, path: str, glob: str = "*", copy_to: str | None
                         out.close()
                 yield pa.RecordBatch.from_pydict({
                     "path": [address], "name": [name], "file_bytes": pa.array([size], pa.int64()),
-                    "checksum_sha256": [digest.hexdigest()], "records": pa.array([records.total()], pa.int64())})
+                    "checksum_sha256": [digest.hexdigest()], "records": pa.array([records.total() if with_records else None], pa.int64())})
 
     return source.mapInArrow(run, "path string, name string, file_bytes long, checksum_sha256 string, records long")
 

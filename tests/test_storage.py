@@ -308,6 +308,24 @@ def _csv_folder(folder, files=3):
     return folder
 
 
+def test_marks_of_a_block_are_few_python_objects_at_a_time():
+    import tracemalloc
+
+    body = np.frombuffer(b'"a","b"\n' * 100_000, np.uint8)
+    tracemalloc.start()
+    records = CsvRecords()
+    records.add(body)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert records.total() == 100_000 and peak < 16e6
+
+
+def test_digests_without_records_are_the_same_digests(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": "1,2"}\n' * 1000)
+    known, plain = digests(spark, str(tmp_path)).first(), digests(spark, str(tmp_path), with_records=False).first()
+    assert (known.checksum_sha256, known.file_bytes) == (plain.checksum_sha256, plain.file_bytes) and plain.records is None
+
+
 def test_digests_do_not_depend_on_the_block(spark, tmp_path):
     folder = _csv_folder(tmp_path / "csv")
     whole = digests(spark, str(folder)).select("name", "file_bytes", "checksum_sha256", "records").collect()
