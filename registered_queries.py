@@ -711,12 +711,15 @@ def csv_properties_roundtrip(lab: Lab) -> DataFrame:
     return external.read_item_properties(lab.spark, path)
 
 
+ARRAY_ORDERS = 20_000
+
+
 def json_array_rows(lab: Lab) -> DataFrame:
     """Properties from files that each hold one JSON array."""
     fields = ["timestamp", "itemid", "property", "value"]
     rows = lab.raw_properties.where(F.col("source_system") == C.API_SOURCE).select(*fields, "seq")
-    # an array holds the rows of at most fifty orders
-    arrays = rows.groupBy(F.floor(F.col("seq") / 500).alias("page")).agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
+    # an array holds the rows of at most twenty thousand orders: files of some hundred KB, and not one per few rows
+    arrays = rows.groupBy(F.floor(F.col("seq") / (10 * ARRAY_ORDERS)).alias("page")).agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
     path = scratch_path(lab.spark, "json-arrays")
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return external.read_json_array(lab.spark, path, rows.drop("seq").schema)

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from registered_queries import Lab, json_array_rows
 from shoplens.constants import API_SOURCE, CONTENT_KEY, DELTA_FEED, POPULARITY_KEY
 from shoplens.plans import build, expectations, latest, raw_checks, staging
 from shoplens.schemas import CATEGORY_TREE_CSV, DELTA_RECORD, EVENTS_CSV, ITEM_PROPERTIES_CSV
@@ -326,6 +327,12 @@ def test_digests_without_records_are_the_same_digests(spark, tmp_path):
     assert (known.checksum_sha256, known.file_bytes) == (plain.checksum_sha256, plain.file_bytes) and plain.records is None
 
 
+def test_json_arrays_are_no_file_per_few_rows(spark, small):
+    lab = Lab(spark, small)
+    found = json_array_rows(lab)
+    assert len(found.inputFiles()) <= 2 < found.count()
+
+
 def test_digests_do_not_depend_on_the_block(spark, tmp_path):
     folder = _csv_folder(tmp_path / "csv")
     whole = digests(spark, str(folder)).select("name", "file_bytes", "checksum_sha256", "records").collect()
