@@ -89,7 +89,9 @@ def user_profiles(history: DataFrame, metadata: DataFrame) -> DataFrame:
     profile_kind (category | parent_category), profile_key, profile_weight,
     profile_share.
     """
-    rows = _categorised(history, metadata).select(
+    # a row per user and category first, so that rows of pairs are not repeated for the two kinds
+    sums = _categorised(history, metadata).groupBy("user_id", "category_id", "parent_category_id").agg(F.sum("weight").alias("weight"))
+    rows = sums.select(
         "user_id",
         F.inline(
             F.array(
