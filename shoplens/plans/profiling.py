@@ -54,9 +54,13 @@ def _measured(
         *[value.alias(name) for name, value in sums.items()], *[end(span).alias(name) for name, end in spans.items()]
     )
 
+    # keys of one type stay what they are: numbers take less of a task's memory than their texts
+    kinds = set(dict(raw.select(*columns).dtypes).values())
+
     def entry(place: int, column: str) -> Column:
         kept = [(F.col(name) if place == 0 else F.lit(0).cast("bigint")).alias(name) for name in sums]
-        return F.struct(F.lit(place).alias("_kind"), F.col(column).cast("string").alias("_key"), *kept, *map(F.col, spans))
+        key = F.col(column) if len(kinds) == 1 else F.col(column).cast("string")
+        return F.struct(F.lit(place).alias("_kind"), key.alias("_key"), *kept, *map(F.col, spans))
 
     listed = reduced.select(*by, F.inline(F.array(*[entry(place, column) for place, column in enumerate(columns)])))
     totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums]
@@ -165,7 +169,9 @@ def activity_histogram(users: DataFrame, bins: int = HISTOGRAM_BINS, quantile: f
 
 
 def event_distribution(raw: DataFrame) -> DataFrame:
-    return event_type_summary(raw).select("event", "row_count")
+    """Rows by type, as in ``event_type_summary`` but without its distinct counts: one row per type is shuffled."""
+    counts = raw.groupBy("event").agg(F.count("*").alias("row_count"))
+    return counts.orderBy(F.col("row_count").desc(), F.col("event").asc_nulls_last())
 
 
 def top_item_bars(ranked: DataFrame, limit: int = PLOTTED_TOP_N) -> DataFrame:

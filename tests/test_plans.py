@@ -154,3 +154,20 @@ def test_window_split_and_history_read_the_stored_interactions(spark, small):
     for df in (lab.split(split.POPULARITY_RULE), lab.train_split(split.CONTENT_RULE)):
         assert "Join" not in _plan(df)
     assert lab.stored_interactions.count() == lab.interactions.count()
+
+
+def test_event_distribution_groups_by_type_alone(spark):
+    raw = spark.range(100).select(F.lit("view").alias("event"), F.col("id").alias("visitorid"), F.col("id").alias("itemid"))
+    found = profiling.event_distribution(raw)
+    assert "visitorid" not in _plan(found) and [tuple(row) for row in found.collect()] == [("view", 100)]
+
+
+def test_profiles_keep_number_keys_and_group_before_they_repeat_rows(spark, store):
+    raw = spark.range(100).select(
+        F.lit("view").alias("event"), (F.col("id") % 7).alias("visitorid"), (F.col("id") % 5).alias("itemid"), F.lit("t").alias("transactionid"))
+    summary = profiling.event_type_summary(raw)
+    assert "as string" not in _plan(summary) and tuple(summary.first()) == ("view", 100, 7, 5, 100)
+    history = store.load("staged", "interactions").select("user_id", "item_id", F.lit(1.0).alias("weight"))
+    plan = _plan(content.user_profiles(history, store.load("curated", "item_metadata")))
+    below = plan[plan.index("Generate inline"):]
+    assert "HashAggregate" in below
