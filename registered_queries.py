@@ -157,6 +157,17 @@ class Lab:
             "user_item_features": self.stored_user_item_view,
         }
 
+    @property
+    def views(self) -> dict[str, DataFrame]:
+        """The feature views over the stored pairs, for what reads each of them once."""
+        items = curation.curated_items(self.stored_pairs, self.stored_metadata)
+        user_items = curation.curated_user_items(self.stored_pairs, self.stored_metadata)
+        return {
+            "user_features": features.user_features(features.mart_user_features(self.stored_pairs)),
+            "item_features": features.item_features(features.mart_item_features(items)),
+            "user_item_features": features.user_item_features(user_items),
+        }
+
     @cached_property
     def window(self) -> split.Window:
         return split.find_window(self.stored_interactions, self.days)
@@ -513,7 +524,7 @@ def feature_documentation(lab: Lab) -> DataFrame:
         instant = F.date_format(F.when(kind == "timestamp", value).cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS")
         extremes += [F.when(kind == "timestamp", instant).when(kind != "double", value).alias(f"{name}_value"),
                      F.when(kind == "double", value).cast("double").alias(f"{name}_number")]
-    return registry.feature_documentation(lab.spark, lab.stored_views).select(
+    return registry.feature_documentation(lab.spark, lab.views).select(
         "feature_view_name", "column_name", "ordinal_position", "data_type", "feature_role", "null_rate", "distinct_values", *extremes)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -134,12 +134,50 @@ def registry_summary(
     )
 
 
-def distinct_values(df: DataFrame) -> DataFrame:
-    """column_name, distinct_values: exact, for all columns with one shuffle of the distinct (column, value) pairs."""
-    values = df.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")) for name in df.columns
-    ])))
-    return values.where("value is not null").distinct().groupBy("column_name").agg(F.count("*").alias("distinct_values"))
+def _cells(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """ordinal_position and one column per type: every value of every row, in the column of its type; their names.
+
+    Values keep their types, as text costs more to make and to compare than a number. ``UNPIVOT`` makes the rows inside
+    the task that has the row, so ``df`` is read once.
+    """
+    kinds = list(dict.fromkeys(field.dataType for field in df.schema.fields))
+    typed = [f"as_{number}" for number in range(len(kinds))]
+    places = range(1, len(df.columns) + 1)
+    wide = df.select(
+        *[F.col(name).alias(f"column_{place}") for place, name in zip(places, df.columns)],
+        *[F.lit(place).alias(f"place_{place}") for place in places],
+        *[F.lit(None).cast(kind).alias(f"no_{number}") for number, kind in enumerate(kinds)],
+    )
+    cells = ", ".join(
+        "(" + ", ".join([f"place_{place}", *[
+            f"column_{place}" if field.dataType == kind else f"no_{number}" for number, kind in enumerate(kinds)
+        ]]) + ")"
+        for place, field in zip(places, df.schema.fields)
+    )
+    names = ", ".join(["ordinal_position", *typed])
+    query = f"SELECT {names} FROM {{wide}} UNPIVOT INCLUDE NULLS (({names}) FOR place IN ({cells}))"
+    return df.sparkSession.sql(query, wide=wide), typed
+
+
+def column_statistics(df: DataFrame) -> DataFrame:
+    """ordinal_position, null_rate, distinct_values, min_value, max_value: exact, none for a table without rows.
+
+    All follow from the distinct values of each column and how often they occur: one pass over ``df``, whose shuffle has
+    what is distinct in a task.
+    """
+    cells, typed = _cells(df)
+    is_null = reduce(lambda left, right: left & right, [F.col(name).isNull() for name in typed])
+    values = cells.groupBy("ordinal_position", *typed).agg(F.count("*").alias("_n")).withColumn("_is_null", is_null)
+
+    def extreme(function: Callable[[str], Column]) -> Column:
+        return F.coalesce(*[function(name).cast("string") for name in typed])
+
+    return values.groupBy("ordinal_position").agg(
+        (F.sum(F.when(F.col("_is_null"), F.col("_n")).otherwise(0)) / F.sum("_n")).alias("null_rate"),
+        F.count_if(~F.col("_is_null")).alias("distinct_values"),
+        extreme(F.min).alias("min_value"),
+        extreme(F.max).alias("max_value"),
+    )
 
 
 def _view_documentation(spark: SparkSession, view: FeatureView, df: DataFrame | None) -> DataFrame:
@@ -152,20 +190,7 @@ def _view_documentation(spark: SparkSession, view: FeatureView, df: DataFrame |
             F.lit(None).cast("bigint").alias("distinct_values"), nothing.alias("min_value"), nothing.alias("max_value"),
             *_explained(view),
         )
-    count = F.count("*").cast("double")
-    statistics = df.agg(*[
-        F.struct(
-            F.when(count > 0, F.count_if(F.col(name).isNull()) / count).alias("null_rate"),
-            F.min(name).cast("string").alias("min_value"),
-            F.max(name).cast("string").alias("max_value"),
-        ).alias(name)
-        for name in df.columns
-    ])
-    # One row of structs, one per column, turned into one row per column.
-    per_column = statistics.select(
-        F.inline(F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(f"{name}.*")) for name in df.columns]))
-    )
-    known = schema_rows(spark, view, df).join(per_column, "column_name").join(distinct_values(df), "column_name", "left")
+    known = schema_rows(spark, view, df).join(column_statistics(df), "ordinal_position", "left")
     return known.withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0))).select(
         *_described(view), F.lit(True).alias("source_exists"), "column_name", "ordinal_position", "data_type",
         "feature_role", "null_rate", "distinct_values", "min_value", "max_value", *_explained(view),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shoplens.constants import CONTENT_UNKNOWN_WEIGHT, CURATED_UNKNOWN_WEIGHT, DAY_MS
 from shoplens.functions import columns, scores, values
 from shoplens.operators import fingerprint, merge, ranking
-from shoplens.plans import curation, evaluation, expectations, features, latest, profiling, split, staging
+from shoplens.plans import curation, evaluation, expectations, features, latest, profiling, registry, split, staging
 
 HOUR = 3_600_000
 
@@ -252,3 +252,25 @@ def test_staging_filters_batch_but_not_delta(spark, rows):
     assert (batch.count(), delta.count()) == (2, 3)
     combined = staging.combine_properties(batch, delta)
     assert combined.count() == 5 and "ingestion_timestamp" in combined.columns
+
+
+def test_feature_documentation_counts_values_as_sql_does(spark):
+    df = spark.sql("""
+        select * from values
+            (9L, 0.0D, 'b', true, date'2026-01-02', 1.50, array(2), cast(null as string)),
+            (10L, -0.0D, '', null, date'2026-01-02', 1.5, array(10), null),
+            (-1L, double('NaN'), null, false, null, null, array(2), null),
+            (10L, null, 'b', true, null, 20, null, null)
+        as t(user_id, ratio, name, flag, day, price, list, nothing)""")
+    got = registry.feature_documentation(spark, {"user_features": df}, [registry.USER_VIEW])
+    wanted = ["column_name", "ordinal_position", "null_rate", "distinct_values", "min_value", "max_value"]
+    assert [tuple(row)[:6] for row in got.select(*wanted).orderBy("ordinal_position").collect()] == [
+        ("user_id", 1, 0.0, 3, "-1", "10"), ("ratio", 2, 0.25, 2, "0.0", "NaN"), ("name", 3, 0.25, 2, "", "b"),
+        ("flag", 4, 0.25, 2, "false", "true"), ("day", 5, 0.5, 1, "2026-01-02", "2026-01-02"),
+        ("price", 6, 0.25, 2, "1.50", "20.00"), ("list", 7, 0.25, 2, "[2]", "[10]"), ("nothing", 8, 1.0, 0, None, None),
+    ]
+    for name in df.columns:
+        assert got.where(got.column_name == name).first().distinct_values == df.select(F.count_distinct(name)).first()[0]
+    empty = registry.feature_documentation(spark, {"user_features": df.where("false")}, [registry.USER_VIEW])
+    assert {(row.null_rate, row.distinct_values, row.min_value) for row in empty.collect()} == {(None, 0, None)}
+    assert empty.count() == 8

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from registered_queries import Lab
 from shoplens.constants import DAY_MS
-from shoplens.plans import content, curation, latest, popularity, profiling, split
+from shoplens.plans import content, curation, latest, popularity, profiling, registry, split
 from shoplens.operators.ranking import rank_all
 from shoplens.sinks.tables import LayerStore
 
@@ -171,3 +171,11 @@ def test_profiles_keep_number_keys_and_group_before_they_repeat_rows(spark, stor
     plan = _plan(content.user_profiles(history, store.load("curated", "item_metadata")))
     below = plan[plan.index("Generate inline"):]
     assert "HashAggregate" in below
+
+
+def test_feature_documentation_reads_a_view_once_and_groups_typed_values(spark, store):
+    view = store.load("curated", "item_metadata")
+    plan = _plan(registry.feature_documentation(spark, {"item_features": view}, [registry.ITEM_VIEW]))
+    assert plan.count("FileScan") == 1 and "Generate" not in plan
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning(ordinal_position" in line and "as_1" in line]
+    assert shuffled and "as string" not in plan[plan.index(shuffled[0]):]
